@@ -1,0 +1,41 @@
+"""The five-table chain as lazy DataFrames.
+
+stg_events -> experiment_exposures -> experiment_conversions ->
+experiment_metrics_daily / experiment_metrics_summary. Nothing runs until an
+action; Catalyst sees the whole chain and prunes what a query does not use.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from liftlens.config import DEFAULT_CONFIG, ExperimentConfig
+from liftlens.operators.conversions import attribute_conversions
+from liftlens.operators.exposures import first_exposures
+from liftlens.operators.metrics import daily_metrics, summary_metrics
+from liftlens.operators.staging import stage_events
+
+
+@dataclass(frozen=True)
+class Tables:
+    staged: DataFrame
+    exposures: DataFrame
+    conversions: DataFrame
+
+    @property
+    def daily(self) -> DataFrame:
+        return daily_metrics(self.conversions)
+
+    @property
+    def summary(self) -> DataFrame:
+        return summary_metrics(self.conversions)
+
+
+def build_tables(raw_events: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
+                 lookback_days: int | None = None) -> Tables:
+    staged = stage_events(raw_events)
+    exposures = first_exposures(staged)
+    conversions = attribute_conversions(exposures, staged, lookback_days, config)
+    return Tables(staged, exposures, conversions)
