@@ -46,6 +46,7 @@ def build_session(master: str | None = None, cores: int | None = None,
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.default.parallelism", str(cores))
         .config("spark.sql.adaptive.enabled", "true")

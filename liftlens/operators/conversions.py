@@ -50,17 +50,23 @@ def _checkout_instants(checkouts: DataFrame) -> DataFrame:
             .agg(F.sum("revenue").alias("revenue")))
 
 
-def hot_users(rows: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG) -> DataFrame:
+def hot_users(rows: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
+              count_col: str = "revenue") -> DataFrame:
     """Users whose row count exceeds the split bound, with their bucket count.
 
     Returns at most ``config.max_hot_users`` rows: the bound is at least
     ``total / max_hot_users`` and counts are strictly above it.
+
+    Rows are counted with ``count(count_col)`` over a never-NULL column that
+    the join side also reads, so the pruned plan of ``rows`` is the same in
+    both branches and Spark reuses its shuffle instead of recomputing it.
+    The total is a scalar subquery over the per-user counts (reused as well).
     """
-    total = rows.select(F.count(F.lit(1))).scalar()
+    per_user = rows.groupBy("user_id").agg(F.count(count_col).alias("_n"))
+    total = per_user.select(F.sum("_n")).scalar()
     bound = F.greatest(F.lit(config.rows_per_split).cast("long"),
                        F.ceil(total / F.lit(config.max_hot_users)).cast("long"))
-    return (rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > bound)
+    return (per_user.where(F.col("_n") > bound)
             .select("user_id", F.ceil(F.col("_n") / bound).cast("int").alias(_SPLITS)))
 
 
