@@ -1,6 +1,6 @@
 """Daily, per-variant and summary metrics over attributed conversions.
 
-All metric definitions live in ``metric_columns`` and are shared by the
+All metric definitions live in ``_aggregates`` / ``_finish`` and are shared by the
 warehouse tables and the slice/segment operators: exposed users (rows),
 converters (rows with a conversion time), conversion rate (4 dp), total
 revenue and revenue per user (2 dp). Rates and per-user revenue are computed
@@ -21,10 +21,17 @@ LIFT_NAMES = ("absolute_lift", "relative_lift_pct", "rpu_lift")
 
 
 def _aggregates() -> list[Column]:
+    # Revenue is summed exactly, in integer cents (attributed revenue is
+    # already rounded to 2 decimals), and turned into a double once. A double
+    # SUM depends on the order rows arrive in, i.e. on partitioning, and that
+    # last bit decides the 2-dp rounding of revenue per user at exact ties
+    # (e.g. 324.36 / 8 = 40.545). The exact sum makes every metric
+    # independent of the physical plan.
+    cents = F.round(F.col("revenue") * F.lit(100.0), 0).cast("long")
     return [
         F.count(F.lit(1)).alias("_n"),
         F.count("conversion_ts").alias("_conv"),
-        F.sum("revenue").alias("_rev"),
+        (F.sum(cents).cast("double") / F.lit(100.0)).alias("_rev"),
     ]
 
 

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from liftlens.schema import RAW_EVENTS, STAGED_COLUMNS
 
-# Text layout of timestamps in the JSON files: ISO date, space, time with
-# microseconds (the reader also accepts the text without fraction).
+# Text layout of timestamps written to JSON: ISO date, space, time with
+# microseconds. Reading uses Spark's default parser, which accepts this and
+# the text without fraction (or with a 'T' separator).
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 # The mapping from benchmark events to product events.
@@ -38,10 +39,7 @@ def read_ndjson_events(spark: SparkSession, path: str) -> DataFrame:
     FAILFAST makes a malformed line or an unparsable timestamp fail the read,
     as a failed cast would, instead of silently turning into NULLs.
     """
-    return (spark.read.schema(RAW_EVENTS)
-            .option("mode", "FAILFAST")
-            .option("timestampNTZFormat", JSON_TIMESTAMP_FORMAT)
-            .json(path))
+    return spark.read.schema(RAW_EVENTS).option("mode", "FAILFAST").json(path)
 
 
 def _pick(index: Column, values: tuple[str, ...]) -> Column:
@@ -99,6 +97,5 @@ def ndjson_round_trip(events: DataFrame) -> DataFrame:
     """
     line = F.to_json(F.struct(*[F.col(c) for c in STAGED_COLUMNS]),
                      {"timestampNTZFormat": JSON_TIMESTAMP_FORMAT})
-    parsed = F.from_json(line, RAW_EVENTS,
-                         {"mode": "FAILFAST", "timestampNTZFormat": JSON_TIMESTAMP_FORMAT})
+    parsed = F.from_json(line, RAW_EVENTS, {"mode": "FAILFAST"})
     return events.select(parsed.alias("e")).select("e.*")
