@@ -13,8 +13,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def round_half_away_sql(expr: str, digits: int) -> str:
+    """SQL text rounding the double ``expr`` to ``digits`` decimals, half away from zero."""
+    scale = f"{float(10 ** digits)!r}D"
+    return f"(round(({expr}) * {scale}, 0) / {scale})"
+
+
 def round_half_away(col: Column | str, digits: int) -> Column:
-    """Round a double column to ``digits`` decimals, half away from zero."""
-    c = F.col(col) if isinstance(col, str) else col
+    """Column form of ``round_half_away_sql``; a string is a SQL expression."""
+    if isinstance(col, str):
+        return F.expr(round_half_away_sql(col, digits))
     scale = float(10 ** digits)
-    return F.round(c * F.lit(scale), 0) / F.lit(scale)
+    return F.round(col * F.lit(scale), 0) / F.lit(scale)

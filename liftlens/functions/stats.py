@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from liftlens.functions.rounding import round_half_away
+from liftlens.functions.rounding import round_half_away_sql
 
 # Cody's coefficients, in the order of his published tables.
 # |x| <= 0.46875: erf(x) = x * A(x^2) / B(x^2)
@@ -40,38 +40,41 @@ _MEDIUM = 4.0
 _INV_SQRT_PI = 1.0 / math.sqrt(math.pi)
 
 
-def _ratio(x: Column, num: tuple, den: tuple, lead: int) -> tuple[Column, Column]:
-    """Horner evaluation shared by the three ranges.
+def _horner(x: str, num: tuple, den: tuple, lead: int) -> tuple[str, str]:
+    """SQL text of the Horner recurrences shared by the three ranges.
 
     Starts from ``num[-1] * x`` / ``x`` and folds in the first ``lead``
     coefficient pairs, returning the unfinished numerator and denominator.
     """
-    n = F.lit(num[-1]) * x
-    d = x
+    n, d = f"({num[-1]!r}D * {x})", x
     for i in range(lead):
-        n = (n + F.lit(num[i])) * x
-        d = (d + F.lit(den[i])) * x
+        n = f"(({n} + {num[i]!r}D) * {x})"
+        d = f"(({d} + {den[i]!r}D) * {x})"
     return n, d
 
 
-def erfc(x: Column) -> Column:
-    """Complementary error function of a non-negative double column."""
-    xsq = x * x
-    # small arguments: 1 - erf(x)
-    n1, d1 = _ratio(xsq, _A, _B, 3)
-    small = F.lit(1.0) - x * (n1 + F.lit(_A[3])) / (d1 + F.lit(_B[3]))
-    # medium arguments
-    n2, d2 = _ratio(x, _C, _D, 7)
-    medium = F.exp(-xsq) * (n2 + F.lit(_C[7])) / (d2 + F.lit(_D[7]))
-    # large arguments (x > 4, so the divisions are safe; try_divide keeps the
-    # unevaluated branch harmless under ANSI mode)
-    z = F.try_divide(F.lit(1.0), xsq)
-    n3, d3 = _ratio(z, _P, _Q, 4)
-    r = z * (n3 + F.lit(_P[4])) / (d3 + F.lit(_Q[4]))
-    large = F.try_divide(F.exp(-xsq) * (F.lit(_INV_SQRT_PI) - r), x)
-    return (F.when(x <= F.lit(_SMALL), small)
-            .when(x <= F.lit(_MEDIUM), medium)
-            .otherwise(large))
+def erfc_sql(x: str) -> str:
+    """SQL text of the complementary error function of the non-negative double ``x``.
+
+    ``x`` should be a column name (it is repeated many times in the text).
+    """
+    xsq = f"({x} * {x})"
+    n1, d1 = _horner(xsq, _A, _B, 3)
+    small = f"(1.0D - {x} * ({n1} + {_A[3]!r}D) / ({d1} + {_B[3]!r}D))"
+    n2, d2 = _horner(x, _C, _D, 7)
+    medium = f"(exp(-{xsq}) * ({n2} + {_C[7]!r}D) / ({d2} + {_D[7]!r}D))"
+    # x > 4 here; try_divide keeps the branch harmless under ANSI mode anyway
+    z = f"try_divide(1.0D, {xsq})"
+    n3, d3 = _horner(z, _P, _Q, 4)
+    r = f"({z} * ({n3} + {_P[4]!r}D) / ({d3} + {_Q[4]!r}D))"
+    large = f"try_divide(exp(-{xsq}) * ({_INV_SQRT_PI!r}D - {r}), {x})"
+    return (f"CASE WHEN {x} <= {_SMALL!r}D THEN {small} "
+            f"WHEN {x} <= {_MEDIUM!r}D THEN {medium} ELSE {large} END")
+
+
+def erfc(x: str) -> Column:
+    """Complementary error function of a non-negative double column (by name)."""
+    return F.expr(erfc_sql(x))
 
 
 def with_two_proportion_test(df: DataFrame, control_converters: str, control_users: str,
@@ -88,20 +91,16 @@ def with_two_proportion_test(df: DataFrame, control_converters: str, control_use
     every branch of erfc) in its own projection instead of inlining copies,
     which keeps the generated code small enough for whole-stage codegen.
     """
-    c_conv, c_n, t_conv, t_n = (F.col(c).cast("double") for c in (
+    cc, cn, tc, tn = (f"CAST({c} AS DOUBLE)" for c in (
         control_converters, control_users, treatment_converters, treatment_users))
-    pooled = F.try_divide(c_conv + t_conv, c_n + t_n)
-    variance = pooled * (F.lit(1.0) - pooled) * (
-        F.try_divide(F.lit(1.0), c_n) + F.try_divide(F.lit(1.0), t_n))
-    p1 = F.try_divide(c_conv, c_n)
-    p2 = F.try_divide(t_conv, t_n)
-    tmp = ["_zt_var", "_zt_z", "_zt_y"]
-    out = df.withColumn("_zt_var", variance)
-    out = out.withColumn("_zt_z", F.when(
-        (F.least(c_n, t_n) > 0) & (F.col("_zt_var") > 0),
-        F.try_divide(p2 - p1, F.sqrt(F.col("_zt_var")))))
-    out = out.withColumn("_zt_y", F.abs(F.col("_zt_z")) / F.lit(math.sqrt(2.0)))
-    out = out.withColumn(p_name, round_half_away(erfc(F.col("_zt_y")), 6))
-    out = out.withColumn(z_name, round_half_away(F.col("_zt_z"), 4))
-    cols = [c for c in out.columns if c not in tmp and c not in (z_name, p_name)]
-    return out.select(*cols, z_name, p_name)
+    pooled = f"try_divide({cc} + {tc}, {cn} + {tn})"
+    variance = (f"{pooled} * (1.0D - {pooled}) * "
+                f"(try_divide(1.0D, {cn}) + try_divide(1.0D, {tn}))")
+    z = (f"CASE WHEN least({cn}, {tn}) > 0 AND _zt_var > 0 THEN "
+         f"try_divide(try_divide({tc}, {tn}) - try_divide({cc}, {cn}), sqrt(_zt_var)) END")
+    keep = [f"`{c}`" for c in df.columns if c not in (z_name, p_name)]
+    out = df.selectExpr(*keep, f"{variance} AS _zt_var")
+    out = out.selectExpr(*keep, f"{z} AS _zt_z")
+    out = out.selectExpr(*keep, "_zt_z", f"abs(_zt_z) / {math.sqrt(2.0)!r}D AS _zt_y")
+    return out.selectExpr(*keep, f"{round_half_away_sql('_zt_z', 4)} AS `{z_name}`",
+                          f"{round_half_away_sql(erfc_sql('_zt_y'), 6)} AS `{p_name}`")

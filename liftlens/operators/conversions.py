@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftlens.config import DEFAULT_CONFIG, ExperimentConfig
-from liftlens.functions.rounding import round_half_away
+from liftlens.functions.rounding import round_half_away_sql
 from liftlens.schema import CHECKOUT_EVENT, EXPOSURE_COLUMNS
 
 _SALT = "_salt"
@@ -38,16 +38,15 @@ _SPLITS = "_splits"
 def checkout_events(staged: DataFrame) -> DataFrame:
     """Completed checkouts: user_id, conversion_ts, revenue (NULL -> 0)."""
     return (staged.where(F.col("event_name") == F.lit(CHECKOUT_EVENT))
-            .select("user_id",
-                    F.col("event_ts").alias("conversion_ts"),
-                    F.coalesce(F.col("revenue"), F.lit(0.0)).alias("revenue")))
+            .selectExpr("user_id", "event_ts AS conversion_ts",
+                        "coalesce(revenue, 0.0D) AS revenue"))
 
 
 def _checkout_instants(checkouts: DataFrame) -> DataFrame:
     """Checkouts summed per (user_id, conversion_ts) -- exact for window tests."""
-    return (checkouts.where(F.col("user_id").isNotNull() & F.col("conversion_ts").isNotNull())
+    return (checkouts.where("user_id IS NOT NULL AND conversion_ts IS NOT NULL")
             .groupBy("user_id", "conversion_ts")
-            .agg(F.sum("revenue").alias("revenue")))
+            .agg(F.expr("sum(revenue) AS revenue")))
 
 
 def hot_users(rows: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
@@ -62,36 +61,34 @@ def hot_users(rows: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
     both branches and Spark reuses its shuffle instead of recomputing it.
     The total is a scalar subquery over the per-user counts (reused as well).
     """
-    per_user = rows.groupBy("user_id").agg(F.count(count_col).alias("_n"))
-    total = per_user.select(F.sum("_n")).scalar()
-    bound = F.greatest(F.lit(config.rows_per_split).cast("long"),
-                       F.ceil(total / F.lit(config.max_hot_users)).cast("long"))
+    per_user = rows.groupBy("user_id").agg(F.expr(f"count(`{count_col}`) AS _n"))
+    total = per_user.select(F.expr("sum(_n)")).scalar()
+    bound = F.greatest(F.lit(int(config.rows_per_split)),
+                       F.ceil(total / F.lit(int(config.max_hot_users))))
     return (per_user.where(F.col("_n") > bound)
             .select("user_id", F.ceil(F.col("_n") / bound).cast("int").alias(_SPLITS)))
 
 
 def _salted_sides(exposures: DataFrame, checkouts: DataFrame, hot: DataFrame,
-                  salt_of: list) -> tuple[DataFrame, DataFrame]:
+                  salt_of: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Exposures replicated once per bucket of their user; checkouts hashed to one bucket."""
     hot_b = F.broadcast(hot)
-    splits = F.coalesce(F.col(_SPLITS), F.lit(1))
     left = (exposures.join(hot_b, "user_id", "left")
-            .withColumn(_SALT, F.explode(F.sequence(F.lit(0), splits - 1)))
-            .drop(_SPLITS))
+            .selectExpr(*[f"`{c}`" for c in exposures.columns],
+                        f"explode(sequence(0, coalesce({_SPLITS}, 1) - 1)) AS {_SALT}"))
+    hashed = ", ".join(f"`{c}`" for c in salt_of)
     right = (checkouts.join(hot_b, "user_id", "left")
-             .withColumn(_SALT, F.when(F.col(_SPLITS).isNull(), F.lit(0)).otherwise(
-                 F.pmod(F.xxhash64(*salt_of), splits.cast("long")).cast("int")))
-             .drop(_SPLITS)
-             .withColumnRenamed("user_id", "_c_user_id")
-             .withColumnRenamed(_SALT, "_c_salt"))
+             .selectExpr("user_id AS _c_user_id",
+                         *[f"`{c}`" for c in checkouts.columns if c != "user_id"],
+                         f"CASE WHEN {_SPLITS} IS NULL THEN 0 ELSE CAST(pmod(xxhash64({hashed}), "
+                         f"CAST({_SPLITS} AS BIGINT)) AS INT) END AS _c_salt"))
     return left, right
 
 
-def _window_condition(left: DataFrame, right: DataFrame, lookback_days: int):
-    end = F.col("exposure_ts") + F.make_dt_interval(days=F.lit(lookback_days))
-    return ((F.col("user_id") == F.col("_c_user_id"))
-            & (F.col(_SALT) == F.col("_c_salt"))
-            & (F.col("conversion_ts") >= F.col("exposure_ts"))
-            & (F.col("conversion_ts") < end))
+def _window_condition(lookback_days: int):
+    return F.expr(
+        f"user_id = _c_user_id AND {_SALT} = _c_salt AND conversion_ts >= exposure_ts "
+        f"AND conversion_ts < exposure_ts + make_dt_interval({int(lookback_days)})")
 
 
 def attribute_conversions(exposures: DataFrame, staged: DataFrame,
@@ -103,10 +100,10 @@ def attribute_conversions(exposures: DataFrame, staged: DataFrame,
     hot = hot_users(instants, config)
     left, right = _salted_sides(exposures.select(*EXPOSURE_COLUMNS), instants, hot,
                                 ["conversion_ts"])
-    joined = left.join(right, _window_condition(left, right, lookback), "left")
+    joined = left.join(right, _window_condition(lookback), "left")
     return (joined.groupBy(*EXPOSURE_COLUMNS)
-            .agg(F.min("conversion_ts").alias("conversion_ts"),
-                 round_half_away(F.coalesce(F.sum("revenue"), F.lit(0.0)), 2).alias("revenue")))
+            .agg(F.expr("min(conversion_ts) AS conversion_ts"),
+                 F.expr(f"{round_half_away_sql('coalesce(sum(revenue), 0.0D)', 2)} AS revenue")))
 
 
 def exposure_checkout_pairs(exposures: DataFrame, staged: DataFrame,
@@ -123,13 +120,12 @@ def exposure_checkout_pairs(exposures: DataFrame, staged: DataFrame,
     """
     lookback = config.lookback_days if lookback_days is None else lookback_days
     checkouts = (staged.where(F.col("event_name") == F.lit(CHECKOUT_EVENT))
-                 .select("user_id", "event_id",
-                         F.col("event_ts").alias("conversion_ts"),
-                         F.coalesce(F.col("revenue"), F.lit(0.0)).alias("revenue")))
+                 .selectExpr("user_id", "event_id", "event_ts AS conversion_ts",
+                             "coalesce(revenue, 0.0D) AS revenue"))
     hot = hot_users(checkouts.where(F.col("user_id").isNotNull()), config)
     left, right = _salted_sides(exposures.select(*EXPOSURE_COLUMNS), checkouts, hot,
                                 ["event_id", "conversion_ts"])
-    matched = (left.join(right, _window_condition(left, right, lookback), "inner")
+    matched = (left.join(right, _window_condition(lookback), "inner")
                .select(*EXPOSURE_COLUMNS, "conversion_ts", "revenue"))
     if conversions is None:
         conversions = attribute_conversions(exposures, staged, lookback, config)

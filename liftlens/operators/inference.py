@@ -8,11 +8,11 @@ reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftlens.config import DEFAULT_CONFIG
-from liftlens.functions.rounding import round_half_away
+from liftlens.functions.rounding import round_half_away_sql as rha
 from liftlens.functions.stats import with_two_proportion_test
 from liftlens.schema import CONTROL, TREATMENT
 
@@ -27,24 +27,20 @@ DECISION_NONE = "Treatment is directionally positive, but the result is not yet
 DECISION_NO_DATA = "No data matched the selected filters."
 SIGNIFICANCE_LEVEL = 0.05
 
+_ARMS = ((CONTROL, "control"), (TREATMENT, "treatment"))
 
-def _arm(variant: str, column: str) -> Column:
-    return F.max(F.when(F.col("variant") == F.lit(variant), F.col(column)))
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _arm_columns(prefix_cols: list[tuple[str, str]]) -> list[Column]:
-    out = []
-    for arm, label in ((CONTROL, "control"), (TREATMENT, "treatment")):
-        for column, name in prefix_cols:
-            out.append(_arm(arm, column).alias(f"{label}_{name}"))
-    return out
 
+def _arm(variant: str, column: str) -> str:
+    return f"max(CASE WHEN variant = {_lit(variant)} THEN `{column}` END)"
 
-def significance(summary: DataFrame) -> DataFrame:
-    """Per experiment: the arms' counts and the two-proportion z-test."""
-    arms = summary.groupBy("experiment_key").agg(*_arm_columns(
-        [("converters", "converters"), ("exposed_users", "users")]))
-    return _with_test(arms)
+
+def _arm_columns(inputs: list[tuple[str, str]], over: str = "") -> list:
+    return [F.expr(f"{_arm(v, column)} {over} AS {label}_{name}")
+            for v, label in _ARMS for column, name in inputs]
 
 
 def _with_test(arms: DataFrame) -> DataFrame:
@@ -52,18 +48,25 @@ def _with_test(arms: DataFrame) -> DataFrame:
                                     "treatment_converters", "treatment_users")
 
 
+def significance(summary: DataFrame) -> DataFrame:
+    """Per experiment: the arms' counts and the two-proportion z-test."""
+    arms = summary.groupBy("experiment_key").agg(*_arm_columns(
+        [("converters", "converters"), ("exposed_users", "users")]))
+    return _with_test(arms)
+
+
 def summary_enriched(summary: DataFrame) -> DataFrame:
     """The summary with its experiment's z_score and p_value on every row.
 
     Window over experiment_key on top of the summary's own window: same
     partitioning, so no extra exchange and no join.
     """
-    w = Window.partitionBy("experiment_key")
-    arms = [("_cc", CONTROL, "converters"), ("_cn", CONTROL, "exposed_users"),
-            ("_tc", TREATMENT, "converters"), ("_tn", TREATMENT, "exposed_users")]
-    with_arms = summary.select("*", *[_arm(v, c).over(w).alias(n) for n, v, c in arms])
-    tested = with_two_proportion_test(with_arms, "_cc", "_cn", "_tc", "_tn")
-    return tested.drop(*[n for n, _, _ in arms])
+    over = "OVER (PARTITION BY experiment_key)"
+    with_arms = summary.select("*", *_arm_columns(
+        [("converters", "_cc"), ("exposed_users", "_cn")], over))
+    tested = with_two_proportion_test(with_arms, "control__cc", "control__cn",
+                                      "treatment__cc", "treatment__cn")
+    return tested.drop("control__cc", "control__cn", "treatment__cc", "treatment__cn")
 
 
 def experiment_report(summary: DataFrame, lookback_days: int = DEFAULT_CONFIG.lookback_days) -> DataFrame:
@@ -73,47 +76,12 @@ def experiment_report(summary: DataFrame, lookback_days: int = DEFAULT_CONFIG.lo
     """
     arms = summary.groupBy("experiment_key").agg(*_arm_columns(
         [("converters", "converters"), ("exposed_users", "users"), ("conversion_rate", "rate")]))
-    c_rate, t_rate = F.col("control_rate"), F.col("treatment_rate")
-    uplift = F.when(c_rate.isNotNull() & (c_rate != F.lit(0.0)) & t_rate.isNotNull(),
-                    round_half_away((t_rate - c_rate) * F.lit(100.0), 2))
-    return _with_test(arms).select("experiment_key", F.lit(lookback_days).alias("lookback_days"),
-                                   c_rate, t_rate, uplift.alias("uplift_pp"), "z_score", "p_value")
-
-
-def _snapshot(arms: DataFrame, key: Column) -> DataFrame:
-    """Snapshot fields from one row of arm values (see ``experiment_snapshot``)."""
-    c = lambda n: F.col(f"control_{n}")      # noqa: E731
-    t = lambda n: F.col(f"treatment_{n}")
-    present = c("users").isNotNull() & t("users").isNotNull()
-    arms = _with_test(arms)
-    z, p = F.col("z_score"), F.col("p_value")
-    uplift = round_half_away((t("rate") - c("rate")) * F.lit(100.0), 2)
-    significant = p.isNotNull() & (p < F.lit(SIGNIFICANCE_LEVEL))
-    winner = (F.when(significant & (uplift > 0), F.lit(WINNER_TREATMENT))
-              .when(significant & (uplift < 0), F.lit(WINNER_CONTROL))
-              .otherwise(F.lit(WINNER_NONE)))
-    decision = (F.when(significant & (uplift > 0), F.lit(DECISION_TREATMENT))
-                .when(significant & (uplift < 0), F.lit(DECISION_CONTROL))
-                .otherwise(F.lit(DECISION_NONE)))
-
-    def when_present(col: Column, name: str) -> Column:
-        return F.when(present, col).alias(name)
-
-    return arms.select(
-        key.alias("experiment_key"),
-        F.when(present, winner).otherwise(F.lit(WINNER_NO_DATA)).alias("winner"),
-        F.when(present, c("users") + t("users")).otherwise(F.lit(0).cast("long")).alias("exposed_users"),
-        when_present(c("rate"), "control_rate"),
-        when_present(t("rate"), "treatment_rate"),
-        when_present(uplift, "uplift_pp"),
-        when_present(round_half_away(t("relative_lift"), 2), "relative_lift_pct"),
-        when_present(c("rpu"), "control_rpu"),
-        when_present(t("rpu"), "treatment_rpu"),
-        when_present(round_half_away(t("rpu") - c("rpu"), 2), "rpu_lift"),
-        when_present(z, "z_score"),
-        when_present(p, "p_value"),
-        F.when(present, decision).otherwise(F.lit(DECISION_NO_DATA)).alias("decision"),
-    )
+    uplift = (f"CASE WHEN control_rate IS NOT NULL AND control_rate <> 0.0D "
+              f"AND treatment_rate IS NOT NULL "
+              f"THEN {rha('(treatment_rate - control_rate) * 100.0D', 2)} END")
+    return _with_test(arms).selectExpr(
+        "experiment_key", f"{int(lookback_days)} AS lookback_days", "control_rate",
+        "treatment_rate", f"{uplift} AS uplift_pp", "z_score", "p_value")
 
 
 _SNAPSHOT_INPUTS = [("converters", "converters"), ("exposed_users", "users"),
@@ -121,6 +89,39 @@ _SNAPSHOT_INPUTS = [("converters", "converters"), ("exposed_users", "users"),
                     ("relative_lift_pct", "relative_lift")]
 
 
+def _snapshot(arms: DataFrame, key_sql: str) -> DataFrame:
+    """Snapshot fields from one row of arm values (see ``experiment_snapshot``)."""
+    present = "(control_users IS NOT NULL AND treatment_users IS NOT NULL)"
+    uplift = rha("(treatment_rate - control_rate) * 100.0D", 2)
+    sig = f"(p_value IS NOT NULL AND p_value < {SIGNIFICANCE_LEVEL!r}D)"
+
+    def choose(win: str, lose: str, neither: str, none: str) -> str:
+        return (f"CASE WHEN NOT {present} THEN {_lit(none)} "
+                f"WHEN {sig} AND {uplift} > 0 THEN {_lit(win)} "
+                f"WHEN {sig} AND {uplift} < 0 THEN {_lit(lose)} ELSE {_lit(neither)} END")
+
+    def when_present(expr: str, name: str) -> str:
+        return f"CASE WHEN {present} THEN {expr} END AS {name}"
+
+    return _with_test(arms).selectExpr(
+        f"{key_sql} AS experiment_key",
+        choose(WINNER_TREATMENT, WINNER_CONTROL, WINNER_NONE, WINNER_NO_DATA) + " AS winner",
+        f"CASE WHEN {present} THEN control_users + treatment_users ELSE CAST(0 AS BIGINT) END"
+        " AS exposed_users",
+        when_present("control_rate", "control_rate"),
+        when_present("treatment_rate", "treatment_rate"),
+        when_present(uplift, "uplift_pp"),
+        when_present(rha("treatment_relative_lift", 2), "relative_lift_pct"),
+        when_present("control_rpu", "control_rpu"),
+        when_present("treatment_rpu", "treatment_rpu"),
+        when_present(rha("treatment_rpu - control_rpu", 2), "rpu_lift"),
+        when_present("z_score", "z_score"),
+        when_present("p_value", "p_value"),
+        choose(DECISION_TREATMENT, DECISION_CONTROL, DECISION_NONE, DECISION_NO_DATA)
+        + " AS decision",
+    )
+
+
 def experiment_snapshot(summary: DataFrame) -> DataFrame:
     """Dashboard snapshot, one row per experiment in ``summary``.
 
@@ -130,7 +131,7 @@ def experiment_snapshot(summary: DataFrame) -> DataFrame:
     Exposed users count control + treatment only.
     """
     arms = summary.groupBy("experiment_key").agg(*_arm_columns(_SNAPSHOT_INPUTS))
-    return _snapshot(arms, F.col("experiment_key"))
+    return _snapshot(arms, "experiment_key")
 
 
 def slice_snapshot(slice_summary: DataFrame, experiment_key: str) -> DataFrame:
@@ -140,4 +141,4 @@ def slice_snapshot(slice_summary: DataFrame, experiment_key: str) -> DataFrame:
     which then reads "No data".
     """
     arms = slice_summary.agg(*_arm_columns(_SNAPSHOT_INPUTS))
-    return _snapshot(arms, F.lit(experiment_key))
+    return _snapshot(arms, _lit(experiment_key))

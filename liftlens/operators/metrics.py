@@ -1,57 +1,54 @@
 """Daily, per-variant and summary metrics over attributed conversions.
 
-All metric definitions live in ``_aggregates`` / ``_finish`` and are shared by the
-warehouse tables and the slice/segment operators: exposed users (rows),
-converters (rows with a conversion time), conversion rate (4 dp), total
-revenue and revenue per user (2 dp). Rates and per-user revenue are computed
-from the aggregated counts, so one partial + final aggregate does it all.
+All metric definitions live in ``_AGGREGATES`` / ``_metric_exprs`` and are
+shared by the warehouse tables and the slice/segment operators: exposed users
+(rows), converters (rows with a conversion time), conversion rate (4 dp),
+total revenue and revenue per user (2 dp). Rates and per-user revenue are
+computed from the aggregated counts, so one partial + final aggregate does it
+all. Expressions are SQL text: one driver call per projection.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from liftlens.functions.rounding import round_half_away
+from liftlens.functions.rounding import round_half_away_sql as rha
 from liftlens.schema import CONTROL
 
 METRIC_NAMES = ("exposed_users", "converters", "conversion_rate",
                 "total_revenue", "revenue_per_user")
 LIFT_NAMES = ("absolute_lift", "relative_lift_pct", "rpu_lift")
 
-
-def _aggregates() -> list[Column]:
-    # Revenue is summed exactly, in integer cents (attributed revenue is
-    # already rounded to 2 decimals), and turned into a double once. A double
-    # SUM depends on the order rows arrive in, i.e. on partitioning, and that
-    # last bit decides the 2-dp rounding of revenue per user at exact ties
-    # (e.g. 324.36 / 8 = 40.545). The exact sum makes every metric
-    # independent of the physical plan.
-    cents = F.round(F.col("revenue") * F.lit(100.0), 0).cast("long")
-    return [
-        F.count(F.lit(1)).alias("_n"),
-        F.count("conversion_ts").alias("_conv"),
-        (F.sum(cents).cast("double") / F.lit(100.0)).alias("_rev"),
-    ]
-
-
-def _finish(n: Column, conv: Column, rev: Column, include_total: bool = True) -> list[Column]:
-    cols = [
-        n.alias("exposed_users"),
-        conv.alias("converters"),
-        round_half_away(F.try_divide(conv.cast("double"), n.cast("double")), 4).alias("conversion_rate"),
+# Revenue is summed exactly, in integer cents (attributed revenue is already
+# rounded to 2 decimals), and turned into a double once. A double SUM depends
+# on the order rows arrive in, i.e. on partitioning, and that last bit decides
+# the 2-dp rounding of revenue per user at exact ties (324.36 / 8 = 40.545).
+# The exact sum makes every metric independent of the physical plan.
+_AGGREGATES = (
+    "count(1) AS _n",
+    "count(conversion_ts) AS _conv",
+    "CAST(sum(CAST(round(revenue * 100.0D, 0) AS BIGINT)) AS DOUBLE) / 100.0D AS _rev",
+)
+
+
+def _metric_exprs(include_total: bool = True) -> list[str]:
+    exprs = [
+        "_n AS exposed_users",
+        "_conv AS converters",
+        f"{rha('try_divide(CAST(_conv AS DOUBLE), CAST(_n AS DOUBLE))', 4)} AS conversion_rate",
     ]
     if include_total:
-        cols.append(round_half_away(rev, 2).alias("total_revenue"))
-    cols.append(round_half_away(F.try_divide(rev, n.cast("double")), 2).alias("revenue_per_user"))
-    return cols
+        exprs.append(f"{rha('_rev', 2)} AS total_revenue")
+    exprs.append(f"{rha('try_divide(_rev, CAST(_n AS DOUBLE))', 2)} AS revenue_per_user")
+    return exprs
 
 
 def grouped_metrics(conversions: DataFrame, keys: list[str],
                     include_total: bool = True) -> DataFrame:
     """The shared metric set, one row per group of ``keys`` (column names)."""
-    agg = conversions.groupBy(*keys).agg(*_aggregates())
-    return agg.select(*keys, *_finish(F.col("_n"), F.col("_conv"), F.col("_rev"), include_total))
+    agg = conversions.groupBy(*keys).agg(*[F.expr(a) for a in _AGGREGATES])
+    return agg.selectExpr(*[f"`{k}`" for k in keys], *_metric_exprs(include_total))
 
 
 def daily_metrics(conversions: DataFrame) -> DataFrame:
@@ -68,23 +65,23 @@ def variant_metrics(conversions: DataFrame) -> DataFrame:
 def control_metrics(variants: DataFrame) -> DataFrame:
     """The control arm's rate and revenue per user, one row per experiment."""
     return (variants.where(F.col("variant") == F.lit(CONTROL))
-            .select("experiment_key",
-                    F.col("conversion_rate").alias("control_conversion_rate"),
-                    F.col("revenue_per_user").alias("control_revenue_per_user")))
+            .selectExpr("experiment_key",
+                        "conversion_rate AS control_conversion_rate",
+                        "revenue_per_user AS control_revenue_per_user"))
 
 
-def lift_columns(rate: Column, rpu: Column, control_rate: Column, control_rpu: Column) -> list[Column]:
+def lift_exprs(rate: str, rpu: str, control_rate: str, control_rpu: str) -> list[str]:
     """Lifts against control, computed from the already rounded metrics.
 
     Relative lift is NULL when the control rate is 0; all three are NULL
     when there is no control arm.
     """
-    relative = F.when(control_rate == F.lit(0.0), F.lit(None).cast("double")).otherwise(
-        (F.try_divide(rate, control_rate) - F.lit(1.0)) * F.lit(100.0))
+    relative = (f"CASE WHEN {control_rate} = 0.0D THEN CAST(NULL AS DOUBLE) "
+                f"ELSE (try_divide({rate}, {control_rate}) - 1.0D) * 100.0D END")
     return [
-        round_half_away(rate - control_rate, 4).alias("absolute_lift"),
-        round_half_away(relative, 2).alias("relative_lift_pct"),
-        round_half_away(rpu - control_rpu, 2).alias("rpu_lift"),
+        f"{rha(f'{rate} - {control_rate}', 4)} AS absolute_lift",
+        f"{rha(relative, 2)} AS relative_lift_pct",
+        f"{rha(f'{rpu} - {control_rpu}', 2)} AS rpu_lift",
     ]
 
 
@@ -95,11 +92,16 @@ def with_lifts(variants: DataFrame, partition: list[str]) -> DataFrame:
     a self-join: the input is already aggregated (one row per variant), and
     at most one control row exists per partition.
     """
-    w = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
-    control_rate = F.max(F.when(F.col("variant") == F.lit(CONTROL), F.col("conversion_rate"))).over(w)
-    control_rpu = F.max(F.when(F.col("variant") == F.lit(CONTROL), F.col("revenue_per_user"))).over(w)
-    return variants.select("*", *lift_columns(F.col("conversion_rate"), F.col("revenue_per_user"),
-                                              control_rate, control_rpu))
+    over = (f"OVER (PARTITION BY {', '.join(f'`{p}`' for p in partition)})"
+            if partition else "OVER ()")
+    control = f"'{CONTROL}'"
+    with_control = variants.selectExpr(
+        "*",
+        f"max(CASE WHEN variant = {control} THEN conversion_rate END) {over} AS _c_rate",
+        f"max(CASE WHEN variant = {control} THEN revenue_per_user END) {over} AS _c_rpu")
+    cols = [f"`{c}`" for c in variants.columns]
+    return with_control.selectExpr(*cols, *lift_exprs(
+        "conversion_rate", "revenue_per_user", "_c_rate", "_c_rpu"))
 
 
 def summary_metrics(conversions: DataFrame) -> DataFrame:

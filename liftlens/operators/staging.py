@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from liftlens.schema import STAGED_COLUMNS, STAGED_TYPES
 
@@ -14,4 +13,5 @@ def stage_events(raw: DataFrame) -> DataFrame:
     Casts are ANSI: a value that cannot be converted fails the job rather
     than becoming NULL.
     """
-    return raw.select(*[F.col(c).cast(STAGED_TYPES[c]).alias(c) for c in STAGED_COLUMNS])
+    return raw.selectExpr(*[f"CAST(`{c}` AS {STAGED_TYPES[c].simpleString()}) AS `{c}`"
+                            for c in STAGED_COLUMNS])

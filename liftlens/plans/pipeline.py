@@ -1,13 +1,14 @@
 """The five-table chain as lazy DataFrames.
 
 stg_events -> experiment_exposures -> experiment_conversions ->
-experiment_metrics_daily / experiment_metrics_summary. Nothing runs until an
-action; Catalyst sees the whole chain and prunes what a query does not use.
+experiment_metrics_daily / experiment_metrics_summary. Each table is
+defined on first use only, and nothing runs until an action; Catalyst sees
+the whole chain and prunes what a query does not use.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -18,24 +19,34 @@ from liftlens.operators.metrics import daily_metrics, summary_metrics
 from liftlens.operators.staging import stage_events
 
 
-@dataclass(frozen=True)
 class Tables:
-    staged: DataFrame
-    exposures: DataFrame
-    conversions: DataFrame
+    def __init__(self, raw_events: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
+                 lookback_days: int | None = None):
+        self.raw_events = raw_events
+        self.config = config
+        self.lookback_days = config.lookback_days if lookback_days is None else lookback_days
 
-    @property
+    @cached_property
+    def staged(self) -> DataFrame:
+        return stage_events(self.raw_events)
+
+    @cached_property
+    def exposures(self) -> DataFrame:
+        return first_exposures(self.staged)
+
+    @cached_property
+    def conversions(self) -> DataFrame:
+        return attribute_conversions(self.exposures, self.staged, self.lookback_days, self.config)
+
+    @cached_property
     def daily(self) -> DataFrame:
         return daily_metrics(self.conversions)
 
-    @property
+    @cached_property
     def summary(self) -> DataFrame:
         return summary_metrics(self.conversions)
 
 
 def build_tables(raw_events: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
                  lookback_days: int | None = None) -> Tables:
-    staged = stage_events(raw_events)
-    exposures = first_exposures(staged)
-    conversions = attribute_conversions(exposures, staged, lookback_days, config)
-    return Tables(staged, exposures, conversions)
+    return Tables(raw_events, config, lookback_days)

@@ -8,7 +8,7 @@ schema so every query can run on the shared test tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftlens.schema import RAW_EVENTS, STAGED_COLUMNS
@@ -42,45 +42,42 @@ def read_ndjson_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_EVENTS).option("mode", "FAILFAST").json(path)
 
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
-    expr = F.when(index == 0, F.lit(values[0]))
-    for i, v in enumerate(values[1:], start=1):
-        expr = expr.when(index == i, F.lit(v))
-    return expr
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _pick_sql(index: str, values: tuple[str, ...]) -> str:
+    arms = " ".join(f"WHEN {i} THEN {_sql_str(v)}" for i, v in enumerate(values))
+    return f"CASE {index} {arms} END"
 
 
 def canonical_events(events: DataFrame) -> DataFrame:
-    """Benchmark ``events`` rows -> raw product events (one row each)."""
-    k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    etype = F.col("event_type")
-    uid = F.col("user_id")
-    is_signup = etype == F.lit("signup")
-    is_purchase = etype == F.lit(PURCHASE_TYPE)
-    completed = is_purchase & (k < COMPLETED_BELOW_K)
-
-    name = F.when(completed, F.lit("checkout_completed")).when(
-        is_purchase, F.lit("checkout_started"))
-    for src, dst in EVENT_NAME_MAP.items():
-        name = name.when(etype == F.lit(src), F.lit(dst))
-    name = name.otherwise(etype)
-
-    experiment = F.when(is_signup & (k < EXPERIMENT_BELOW_K),
-                        F.concat(F.lit("exp_"), F.pmod(k, F.lit(N_EXPERIMENTS)).cast("string")))
-    arm = F.when(F.pmod(uid + F.pmod(k, F.lit(N_EXPERIMENTS)), F.lit(2)) == 0,
-                 F.lit("control")).otherwise(F.lit("treatment"))
-    variant = F.when(is_signup & ((k < VARIANT_NULL_FROM_K) | (k >= EXPERIMENT_BELOW_K)), arm)
-
-    return events.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        uid.cast("string").alias("user_id"),
-        F.concat(F.lit("session_"), uid.cast("string")).alias("session_id"),
-        name.alias("event_name"),
-        F.col("ts").alias("event_ts"),
-        experiment.alias("experiment_key"),
-        variant.alias("variant"),
-        _pick(F.pmod(uid, F.lit(len(COUNTRIES))), COUNTRIES).alias("country"),
-        _pick(F.pmod(uid, F.lit(len(DEVICES))), DEVICES).alias("device_type"),
-        F.when(completed & (k != 0), F.col("value")).alias("revenue"),
+    """Benchmark ``events`` rows -> raw product events (one row each).
+
+    Expressed as SQL text in one projection: a single call builds the whole
+    mapping (the Column API would take hundreds of driver round trips).
+    """
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    completed = f"(event_type = 'purchase' AND {k} < {COMPLETED_BELOW_K})"
+    renames = " ".join(f"WHEN event_type = {_sql_str(a)} THEN {_sql_str(b)}"
+                       for a, b in EVENT_NAME_MAP.items())
+    arm = (f"CASE WHEN pmod(user_id + pmod({k}, {N_EXPERIMENTS}), 2) = 0 "
+           f"THEN 'control' ELSE 'treatment' END")
+    return events.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CAST(user_id AS STRING) AS user_id",
+        "concat('session_', CAST(user_id AS STRING)) AS session_id",
+        f"CASE WHEN {completed} THEN 'checkout_completed' "
+        f"WHEN event_type = 'purchase' THEN 'checkout_started' {renames} "
+        f"ELSE event_type END AS event_name",
+        "ts AS event_ts",
+        f"CASE WHEN event_type = 'signup' AND {k} < {EXPERIMENT_BELOW_K} "
+        f"THEN concat('exp_', CAST(pmod({k}, {N_EXPERIMENTS}) AS STRING)) END AS experiment_key",
+        f"CASE WHEN event_type = 'signup' AND ({k} < {VARIANT_NULL_FROM_K} "
+        f"OR {k} >= {EXPERIMENT_BELOW_K}) THEN {arm} END AS variant",
+        f"{_pick_sql(f'pmod(user_id, {len(COUNTRIES)})', COUNTRIES)} AS country",
+        f"{_pick_sql(f'pmod(user_id, {len(DEVICES)})', DEVICES)} AS device_type",
+        f"CASE WHEN {completed} AND {k} <> 0 THEN value END AS revenue",
     )
 
 
