@@ -1,6 +1,6 @@
 """Everything a dashboard view needs for one experiment slice.
 
-All frames derive from the stored conversions with the same slice
+All frames derive from the attributed conversions with the same slice
 predicate, so they agree with each other and with the warehouse tables.
 """
 
@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from liftlens.config import materialize
 from liftlens.operators.inference import slice_snapshot
 from liftlens.operators.slices import (
     filter_options, filtered_daily, filtered_summary, segment_metrics,
@@ -39,3 +40,23 @@ def slice_view(conversions: DataFrame, experiment_key: str,
                                  countries, devices),
         snapshot=slice_snapshot(summary, experiment_key),
     )
+
+
+class DashboardSession:
+    """Serves many slices from one conversions table.
+
+    When the conversions are a lazy plan (not a stored table), they are
+    written once under ``spark.checkpoint.dir`` and every slice reads that
+    copy: slices stop recomputing the attribution join, and a lost executor
+    re-reads the copy instead of the raw events.
+    """
+
+    def __init__(self, conversions: DataFrame, experiment_key: str, stored: bool = False):
+        self.conversions = conversions if stored else materialize(conversions, "conversions")
+        self.experiment_key = experiment_key
+
+    def view(self, countries: Sequence[str] | None = None,
+             devices: Sequence[str] | None = None,
+             segment_dimension: str = "country") -> SliceView:
+        return slice_view(self.conversions, self.experiment_key, countries, devices,
+                          segment_dimension)

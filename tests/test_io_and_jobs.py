@@ -117,3 +117,25 @@ def test_build_warehouse_partitions(spark, tmp_path):
     build_warehouse(driver_events(spark, SF001), wh)
     assert os.path.isdir(f"{wh}/stg_events/event_name=checkout_completed")
     assert os.path.isdir(f"{wh}/experiment_conversions/experiment_key=exp_0")
+
+
+def test_checkpoint_dir_is_read_from_session(spark):
+    from liftlens.config import checkpoint_dir
+    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_dashboard_session_materializes_under_checkpoint_dir(spark):
+    from liftlens.plans.dashboard import DashboardSession
+    t = build_tables(driver_events(spark, SF001))
+    dash = DashboardSession(t.conversions, "exp_1")
+    files = dash.conversions.inputFiles()
+    assert files and all(spark.conf.get("spark.checkpoint.dir").rstrip("/") in f for f in files)
+    full, part = dash.view(), dash.view(["IN", "US", "DE"], ["mobile", "desktop"])
+    lazy = build_tables(driver_events(spark, SF001)).conversions
+    from liftlens.operators import filtered_summary
+    assert sorted(map(tuple, full.summary.collect())) == sorted(
+        map(tuple, filtered_summary(lazy, "exp_1").collect()))
+    assert part.snapshot.count() == 1 and full.snapshot.count() == 1
+    n_full = full.summary.agg(F.sum("exposed_users")).first()[0]
+    n_seg = full.segments.agg(F.sum("exposed_users")).first()[0]
+    assert n_full == n_seg
