@@ -40,7 +40,8 @@ def _experiment_rows(conversions: DataFrame, experiment_key: str | None) -> Data
 def filter_options(conversions: DataFrame, experiment_key: str | None = None) -> DataFrame:
     """Distinct values offered by the filters, long form: (dimension, value).
 
-    Both dimensions come out of one scan and one distinct aggregate.
+    Both dimensions come out of one scan and one distinct aggregate; rows are
+    ordered by dimension, then value with NULL last.
     """
     pairs = F.array(
         F.struct(F.lit("country").alias("dimension"), F.col("country").alias("value")),
@@ -48,7 +49,8 @@ def filter_options(conversions: DataFrame, experiment_key: str | None = None) ->
     )
     return (_experiment_rows(conversions, experiment_key)
             .select(F.inline(pairs))
-            .distinct())
+            .distinct()
+            .orderBy(F.col("dimension").asc(), F.col("value").asc_nulls_last()))
 
 
 def filtered_summary(conversions: DataFrame, experiment_key: str,
