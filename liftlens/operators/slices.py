@@ -62,8 +62,9 @@ def filtered_summary(conversions: DataFrame, experiment_key: str,
     then NULL).
     """
     rows = apply_filters(_experiment_rows(conversions, experiment_key), countries, devices)
-    lifted = with_lifts(grouped_metrics(rows, ["variant"]), [])
-    return lifted.select(F.lit(experiment_key).alias("experiment_key"), *lifted.columns)
+    variants = grouped_metrics(rows, ["variant"])
+    keyed = variants.select(F.lit(experiment_key).alias("experiment_key"), *variants.columns)
+    return with_lifts(keyed, ["experiment_key"])
 
 
 def filtered_daily(conversions: DataFrame, experiment_key: str,
