@@ -48,7 +48,11 @@ def main() -> None:
         timings[name] = statistics.median(_run(df) for _ in range(RUNS))
 
     if not only or "run_all" in only:
-        scratch = tempfile.mkdtemp(prefix="liftlens-bench-")
+        # shared folder of the cluster when configured; a local temp folder only
+        # for local runs where none is set
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        scratch = (f"{shared.rstrip('/')}/liftlens-bench-{int(time.time())}" if shared
+                   else tempfile.mkdtemp(prefix="liftlens-bench-"))
         runs = []
         for i in range(max(2, RUNS // 2) + 1):
             t = time.perf_counter()
