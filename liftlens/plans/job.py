@@ -85,7 +85,7 @@ def export_reports(spark: SparkSession, warehouse_dir: str, report_dir: str,
               ["experiment_key", "exposure_date", "variant"])
     report = experiment_report(wh.summary, config.lookback_days)
     write_csv(report, f"{base}/experiment_report", ["experiment_key"])
-    return spark.read.option("header", True).schema(report.schema).csv(f"{base}/experiment_report")
+    return report
 
 
 def run_quality(spark: SparkSession, warehouse_dir: str) -> DataFrame:
