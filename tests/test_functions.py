@@ -68,3 +68,19 @@ def test_round_half_away_scaled_double(spark):
     out = [r[0] for r in df.select(round_half_away(F.col("v"), 2)).collect()]
     # 1.005 * 100 = 100.49999999999999 -> 1.0 (not 1.01); 0.125 * 100 = 12.5 -> 0.13
     assert out == [1.0, 2.68, -1.0, 0.13, -0.13, None]
+
+
+def test_reference_snapshot_operator(spark):
+    """The reference's snapshot case: summary rows in, decision out."""
+    from liftlens.operators import slice_snapshot
+    summary = spark.createDataFrame(
+        [("control", 1000, 90, 0.09, 8.2, 0.0), ("treatment", 1000, 130, 0.13, 10.1, 44.44)],
+        "variant string, exposed_users long, converters long, conversion_rate double, "
+        "revenue_per_user double, relative_lift_pct double")
+    [snap] = slice_snapshot(summary, "homepage").collect()
+    assert snap.winner == "Treatment wins"
+    assert snap.p_value is not None and snap.p_value < 0.05
+    assert snap.uplift_pp == 4.0
+    assert (snap.z_score, snap.p_value) == (2.8586, 0.004255)
+    assert snap.exposed_users == 2000 and snap.rpu_lift == 1.9
+    assert snap.relative_lift_pct == 44.44 and snap.experiment_key == "homepage"
