@@ -116,7 +116,10 @@ def exposure_checkout_pairs(exposures: DataFrame, staged: DataFrame,
     no such checkout appears once with NULL conversion_ts and revenue. Built
     as a salted inner join for the matches plus the unconverted exposures
     (taken from the attributed conversions), so replicated exposure rows of
-    hot users never yield duplicate unmatched rows.
+    hot users never yield duplicate unmatched rows. Checkout rows are salted by
+    (event_id, time): a hot user's checkouts spread over buckets, but exact
+    copies of one event share a bucket (each copy is an output row here; the
+    aggregated attribution combines copies before the shuffle instead).
     """
     lookback = config.lookback_days if lookback_days is None else lookback_days
     checkouts = (staged.where(F.col("event_name") == F.lit(CHECKOUT_EVENT))

@@ -139,3 +139,18 @@ def test_dashboard_session_materializes_under_checkpoint_dir(spark):
     n_full = full.summary.agg(F.sum("exposed_users")).first()[0]
     n_seg = full.segments.agg(F.sum("exposed_users")).first()[0]
     assert n_full == n_seg
+
+
+def test_ndjson_path_equals_parquet_path(spark, tmp_path):
+    """Driver events written as NDJSON by Spark, read back FAILFAST, full job."""
+    from conftest import SF01
+    from liftlens.sources.events import JSON_TIMESTAMP_FORMAT
+    raw = driver_events(spark, SF01)
+    path = str(tmp_path / "events_json")
+    raw.write.option("timestampNTZFormat", JSON_TIMESTAMP_FORMAT).json(path)
+    from_json_files = build_tables(read_ndjson_events(spark, path))
+    from_parquet = build_tables(raw)
+    for name in ("staged", "summary", "daily"):
+        a = sorted(map(tuple, getattr(from_json_files, name).collect()), key=str)
+        b = sorted(map(tuple, getattr(from_parquet, name).collect()), key=str)
+        assert a == b, name
