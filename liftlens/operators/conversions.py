@@ -50,7 +50,7 @@ def _checkout_instants(checkouts: DataFrame) -> DataFrame:
 
 
 def hot_users(rows: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
-              count_col: str = "revenue") -> DataFrame:
+              count_col: str = "revenue", weight_col: str | None = None) -> DataFrame:
     """Users whose row count exceeds the split bound, with their bucket count.
 
     Returns at most ``config.max_hot_users`` rows: the bound is at least
@@ -59,9 +59,11 @@ def hot_users(rows: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
     Rows are counted with ``count(count_col)`` over a never-NULL column that
     the join side also reads, so the pruned plan of ``rows`` is the same in
     both branches and Spark reuses its shuffle instead of recomputing it.
-    The total is a scalar subquery over the per-user counts (reused as well).
+    With ``weight_col`` each row counts as that many rows instead. The total
+    is a scalar subquery over the per-user counts (reused as well).
     """
-    per_user = rows.groupBy("user_id").agg(F.expr(f"count(`{count_col}`) AS _n"))
+    measure = f"sum(`{weight_col}`)" if weight_col else f"count(`{count_col}`)"
+    per_user = rows.groupBy("user_id").agg(F.expr(f"{measure} AS _n"))
     total = per_user.select(F.expr("sum(_n)")).scalar()
     bound = F.greatest(F.lit(int(config.rows_per_split)),
                        F.ceil(total / F.lit(int(config.max_hot_users))))
@@ -106,6 +108,11 @@ def attribute_conversions(exposures: DataFrame, staged: DataFrame,
                  F.expr(f"{round_half_away_sql('coalesce(sum(revenue), 0.0D)', 2)} AS revenue")))
 
 
+# Largest number of identical checkout events handled as one row by the pairs
+# listing; bigger groups of copies are cut into chunks of at most this many.
+COPIES_PER_CHUNK = 10_000
+
+
 def exposure_checkout_pairs(exposures: DataFrame, staged: DataFrame,
                             lookback_days: int | None = None,
                             config: ExperimentConfig = DEFAULT_CONFIG,
@@ -113,23 +120,37 @@ def exposure_checkout_pairs(exposures: DataFrame, staged: DataFrame,
     """The exposure-checkout left join itself, before aggregation.
 
     One row per (exposure, checkout event inside its window); an exposure with
-    no such checkout appears once with NULL conversion_ts and revenue. Built
-    as a salted inner join for the matches plus the unconverted exposures
-    (taken from the attributed conversions), so replicated exposure rows of
-    hot users never yield duplicate unmatched rows. Checkout rows are salted by
-    (event_id, time): a hot user's checkouts spread over buckets, but exact
-    copies of one event share a bucket (each copy is an output row here; the
-    aggregated attribution combines copies before the shuffle instead).
+    no such checkout appears once with NULL conversion_ts and revenue.
+
+    Skew handling as in ``attribute_conversions``, plus copies: identical
+    checkout events are first combined map-side into one row with a count,
+    and a large group of copies is cut into chunks of at most
+    ``COPIES_PER_CHUNK``; chunks are salted separately, so neither a hot user
+    nor a hot group of copies lands in one task. After the join each chunk is
+    expanded back into its copies. Matches come from a salted inner join;
+    unconverted exposures come from the attributed conversions, so the
+    replicated exposure rows of hot users never yield duplicate unmatched rows.
     """
     lookback = config.lookback_days if lookback_days is None else lookback_days
-    checkouts = (staged.where(F.col("event_name") == F.lit(CHECKOUT_EVENT))
-                 .selectExpr("user_id", "event_id", "event_ts AS conversion_ts",
-                             "coalesce(revenue, 0.0D) AS revenue"))
-    hot = hot_users(checkouts.where(F.col("user_id").isNotNull()), config)
-    left, right = _salted_sides(exposures.select(*EXPOSURE_COLUMNS), checkouts, hot,
-                                ["event_id", "conversion_ts"])
+    m = int(COPIES_PER_CHUNK)
+    events = (staged.where(F.col("event_name") == F.lit(CHECKOUT_EVENT))
+              .where("user_id IS NOT NULL AND event_ts IS NOT NULL")
+              .selectExpr("user_id", "event_id", "event_ts AS conversion_ts",
+                          "coalesce(revenue, 0.0D) AS revenue"))
+    copies = (events.groupBy("user_id", "event_id", "conversion_ts", "revenue")
+              .agg(F.expr("count(1) AS _copies")))
+    chunks = copies.selectExpr(
+        "user_id", "event_id", "conversion_ts", "revenue",
+        f"posexplode(transform(sequence(0, CAST((_copies - 1) DIV {m} AS INT)), "
+        f"i -> least(CAST({m} AS BIGINT), _copies - CAST(i AS BIGINT) * {m}))) "
+        f"AS (_chunk, _chunk_copies)")
+    hot = hot_users(chunks, config, weight_col="_chunk_copies")
+    left, right = _salted_sides(exposures.select(*EXPOSURE_COLUMNS), chunks, hot,
+                                ["event_id", "conversion_ts", "_chunk"])
     matched = (left.join(right, _window_condition(lookback), "inner")
-               .select(*EXPOSURE_COLUMNS, "conversion_ts", "revenue"))
+               .selectExpr(*EXPOSURE_COLUMNS, "conversion_ts", "revenue",
+                           "explode(sequence(1, CAST(_chunk_copies AS INT))) AS _copy")
+               .drop("_copy"))
     if conversions is None:
         conversions = attribute_conversions(exposures, staged, lookback, config)
     unmatched = (conversions.where(F.col("conversion_ts").isNull())

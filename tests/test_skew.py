@@ -5,8 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+import liftlens.operators.conversions as conversions_mod
+
 from conftest import SF01, checkout, exposure, ts
 from liftlens.config import ExperimentConfig
 from liftlens.operators import attribute_conversions, exposure_checkout_pairs, hot_users
@@ -56,7 +59,9 @@ def _brute_force(rows, lookback_days=7):
     return out
 
 
-def test_hot_user_is_split_and_exact(raw):
+@pytest.mark.parametrize("chunk", [7, 10_000])
+def test_hot_user_is_split_and_exact(raw, monkeypatch, chunk):
+    monkeypatch.setattr(conversions_mod, "COPIES_PER_CHUNK", chunk)
     rows = _hot_fixture()
     df = raw(rows)
     t = build_tables(df)
@@ -81,6 +86,13 @@ def test_hot_user_is_split_and_exact(raw):
     assert counts == {k: v[2] for k, v in expected.items()}
     unmatched = pairs.where(F.col("conversion_ts").isNull()).count()
     assert unmatched == sum(1 for v in expected.values() if v[2] == 0)
+    assert pairs.count() == sum(max(1, v[2]) for v in expected.values())
+    revenue = {}
+    for r in pairs.where(F.col("conversion_ts").isNotNull()).collect():
+        key = (r.experiment_key, r.user_id)
+        revenue[key] = revenue.get(key, 0.0) + r.revenue
+    assert {k: round(v, 2) for k, v in revenue.items()} == {
+        k: v[1] for k, v in expected.items() if v[2] > 0}
 
 
 def test_hot_table_is_bounded(raw):
