@@ -154,3 +154,16 @@ def test_ndjson_path_equals_parquet_path(spark, tmp_path):
         a = sorted(map(tuple, getattr(from_json_files, name).collect()), key=str)
         b = sorted(map(tuple, getattr(from_parquet, name).collect()), key=str)
         assert a == b, name
+
+
+def test_cli_run_all_and_quality_exit_code(spark, tmp_path, capsys):
+    from liftlens.cli import main
+    wh, rep = str(tmp_path / "wh"), str(tmp_path / "rep")
+    assert main(["run-all", "--tables", SF001, "--warehouse", wh, "--reports", rep], spark) == 0
+    assert "All data quality checks passed." in capsys.readouterr().out
+    path = str(tmp_path / "one_variant")
+    _write_ndjson(path, RECORDS[:2])
+    wh2 = str(tmp_path / "wh2")
+    assert main(["build", "--events", path, "--warehouse", wh2], spark) == 0
+    assert main(["quality", "--warehouse", wh2], spark) == 1
+    assert "FAILED: expected both control and treatment variants" in capsys.readouterr().out
