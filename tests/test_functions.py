@@ -84,3 +84,17 @@ def test_reference_snapshot_operator(spark):
     assert (snap.z_score, snap.p_value) == (2.8586, 0.004255)
     assert snap.exposed_users == 2000 and snap.rpu_lift == 1.9
     assert snap.relative_lift_pct == 44.44 and snap.experiment_key == "homepage"
+
+
+def test_significant_but_zero_uplift_is_inconclusive(spark):
+    """Rates equal at 4 dp, counts far apart enough for p < 0.05 (N22)."""
+    from liftlens.operators import slice_snapshot
+    summary = spark.createDataFrame(
+        [("control", 2_000_000_000, 1_000_000_000, 0.5, 1.0, 0.0),
+         ("treatment", 2_000_000_000, 1_000_080_000, 0.5, 1.0, 0.0)],
+        "variant string, exposed_users long, converters long, conversion_rate double, "
+        "revenue_per_user double, relative_lift_pct double")
+    [snap] = slice_snapshot(summary, "x").collect()
+    assert snap.p_value < 0.05 and snap.uplift_pp == 0.0
+    assert snap.winner == "Inconclusive"
+    assert snap.decision.startswith("Treatment is directionally positive")
