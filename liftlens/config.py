@@ -19,15 +19,18 @@ class ExperimentConfig:
     stamp on their rows.
     ``rows_per_split`` / ``max_hot_users``: skew handling of the
     exposure-checkout join. A user whose checkout count exceeds
-    ``max(rows_per_split, total_checkouts / max_hot_users)`` is split over
-    several join tasks; by construction at most ``max_hot_users`` users can
-    exceed that bound, which is what caps the broadcast side.
+    ``bound = max(rows_per_split, total_checkouts / max_hot_users)`` is split
+    over several join tasks; by construction at most ``max_hot_users`` users
+    can exceed that bound, which caps the broadcast table (100k rows of user
+    id + bucket count: a few MB). The bound is also what the sort-merge join
+    buffers per (user, bucket) key: with these defaults it stays at 1M
+    checkout instants up to 10^11 instants in total.
     """
 
     experiment_key: str = "exp_1"
     lookback_days: int = 7
     rows_per_split: int = 1_000_000
-    max_hot_users: int = 10_000
+    max_hot_users: int = 100_000
 
 
 DEFAULT_CONFIG = ExperimentConfig()
