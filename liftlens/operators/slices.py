@@ -62,9 +62,9 @@ def filtered_summary(conversions: DataFrame, experiment_key: str,
     then NULL).
     """
     rows = apply_filters(_experiment_rows(conversions, experiment_key), countries, devices)
-    variants = grouped_metrics(rows, ["variant"])
-    keyed = variants.select(F.lit(experiment_key).alias("experiment_key"), *variants.columns)
-    return with_lifts(keyed, ["experiment_key"])
+    # the rows hold one experiment, so grouping by its key column is the
+    # per-variant pooling of the slice, and the lift window is partitioned
+    return with_lifts(grouped_metrics(rows, ["experiment_key", "variant"]), ["experiment_key"])
 
 
 def filtered_daily(conversions: DataFrame, experiment_key: str,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 
 import __spark_entry__ as se
@@ -26,6 +28,10 @@ def test_no_cross_joins_or_python(spark, name):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
                 "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in plan, f"{name}: {bad}"
+    # every window is partitioned (no "move all data to a single partition")
+    optimized = se.queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan()
+    windows = [n for n in json.loads(optimized.toJSON()) if n["class"].endswith("logical.Window")]
+    assert all(n["partitionSpec"] for n in windows), name
 
 
 def test_conversion_join_plan(spark):
