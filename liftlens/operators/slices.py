@@ -1,8 +1,8 @@
 """Dashboard slices: filter options, filtered summary/daily, segment breakdowns.
 
 Slices are recomputed from attributed conversions (not from the stored
-summary), so a slice is exact for any country/device selection. They pool
-the rows of one experiment and stamp its key.
+summary), so a slice is exact for any country/device selection. Each pools
+the rows of one experiment (selected by its key).
 """
 
 from __future__ import annotations
