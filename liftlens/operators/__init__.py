@@ -1,4 +1,4 @@
-"""DataFrame-in, DataFrame-out operators of the experiment pipeline."""
+"""DataFrame-in, DataFrame-out operators of the experiment measurement."""
 
 from liftlens.operators.conversions import (
     attribute_conversions, checkout_events, exposure_checkout_pairs, hot_users,

@@ -1,5 +1,5 @@
 """Composite jobs: the table chain, warehouse build, analysis, quality gate."""
 
-from liftlens.plans.pipeline import Tables, build_tables
+from liftlens.plans.chain import Tables, build_tables
 
 __all__ = ["Tables", "build_tables"]

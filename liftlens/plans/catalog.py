@@ -22,7 +22,7 @@ from liftlens.operators import (
     quality_checks, repeated_exposures, segment_metrics, significance,
     slice_snapshot, stage_events, summary_enriched, variant_metrics,
 )
-from liftlens.plans.pipeline import Tables, build_tables
+from liftlens.plans.chain import Tables, build_tables
 from liftlens.sources.events import driver_events, ndjson_round_trip
 
 # The slice every slice query asks for.

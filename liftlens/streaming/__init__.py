@@ -1,6 +1,6 @@
 """Incremental ingestion of raw event files into the staged table.
 
-The measured pipeline itself is a batch rebuild (first exposures and window
+The measurement itself is a batch rebuild (first exposures and window
 attribution need all events of a user); only staging is incremental.
 """
 

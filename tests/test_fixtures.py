@@ -13,7 +13,7 @@ from liftlens.operators import (
     quality_checks, segment_metrics, slice_snapshot,
 )
 from liftlens.operators.quality import DataQualityError, raise_on_failure
-from liftlens.plans.pipeline import build_tables
+from liftlens.plans.chain import build_tables
 
 
 def tables(raw_df, lookback=7):

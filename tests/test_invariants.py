@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from liftlens.operators import filtered_summary, segment_metrics, variant_metrics
-from liftlens.plans.pipeline import build_tables
+from liftlens.plans.chain import build_tables
 from liftlens.sources import driver_events
 
 

@@ -12,7 +12,7 @@ from conftest import SF001, checkout, exposure, ts
 from liftlens.operators import stage_events
 from liftlens.operators.quality import DataQualityError
 from liftlens.plans.job import build_warehouse, export_reports, open_warehouse, run_all, run_quality
-from liftlens.plans.pipeline import build_tables
+from liftlens.plans.chain import build_tables
 from liftlens.schema import STAGED_COLUMNS
 from liftlens.sources import driver_events, read_ndjson_events, read_table
 from liftlens.sources.tables import WAREHOUSE_TABLES

@@ -11,7 +11,7 @@ import pytest
 from conftest import T0
 from liftlens.config import ExperimentConfig
 from liftlens.operators import exposure_checkout_pairs
-from liftlens.plans.pipeline import build_tables
+from liftlens.plans.chain import build_tables
 
 
 def rha(x, digits):

@@ -14,7 +14,7 @@ from conftest import SF01, checkout, exposure, ts
 from liftlens.config import ExperimentConfig
 from liftlens.operators import attribute_conversions, exposure_checkout_pairs, hot_users
 from liftlens.operators.conversions import checkout_events
-from liftlens.plans.pipeline import build_tables
+from liftlens.plans.chain import build_tables
 from liftlens.sources import driver_events
 
 SPLIT_ALL = ExperimentConfig(rows_per_split=1, max_hot_users=100_000)
