@@ -110,3 +110,24 @@ def test_split_everything_on_driver_data(spark):
     plain = _rows(attribute_conversions(t.exposures, t.staged, 7, NO_SPLIT))
     assert len(split) == 442
     assert split == plain
+
+
+def test_third_of_rows_on_one_user_is_spread(spark):
+    """A third of the benchmark events re-keyed to one user (derived in Spark)."""
+    from liftlens.operators.conversions import _checkout_instants, _salted_sides
+    from liftlens.sources.events import canonical_events
+    events = spark.read.parquet(f"{SF01}/events.parquet").withColumn(
+        "user_id", F.expr("CASE WHEN pmod(event_id, 3) = 0 THEN 0 ELSE user_id END"))
+    t = build_tables(canonical_events(events))
+    cfg = ExperimentConfig(rows_per_split=20, max_hot_users=1000)
+    instants = _checkout_instants(checkout_events(t.staged))
+    hot = {r.user_id: r._splits for r in hot_users(instants, cfg).collect()}
+    assert hot.get("0", 0) >= 5
+    _, right = _salted_sides(t.exposures, instants, hot_users(instants, cfg), ["conversion_ts"])
+    per_bucket = right.groupBy("_c_user_id", "_c_salt").count()
+    hot_rows = instants.where("user_id = '0'").count()
+    biggest = per_bucket.agg(F.max("count")).first()[0]
+    assert biggest <= 2 * 20 < hot_rows
+    split = _rows(attribute_conversions(t.exposures, t.staged, 7, cfg))
+    plain = _rows(attribute_conversions(t.exposures, t.staged, 7, NO_SPLIT))
+    assert split == plain
