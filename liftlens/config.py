@@ -32,6 +32,12 @@ class ExperimentConfig:
     rows_per_split: int = 1_000_000
     max_hot_users: int = 100_000
 
+    def __post_init__(self) -> None:
+        if self.lookback_days < 0:
+            raise ValueError("lookback_days must be >= 0")
+        if self.rows_per_split < 1 or self.max_hot_users < 1:
+            raise ValueError("rows_per_split and max_hot_users must be >= 1")
+
 
 DEFAULT_CONFIG = ExperimentConfig()
 

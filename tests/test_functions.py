@@ -98,3 +98,10 @@ def test_significant_but_zero_uplift_is_inconclusive(spark):
     assert snap.p_value < 0.05 and snap.uplift_pp == 0.0
     assert snap.winner == "Inconclusive"
     assert snap.decision.startswith("Treatment is directionally positive")
+
+
+def test_config_validation():
+    from liftlens.config import ExperimentConfig
+    for bad in (dict(lookback_days=-1), dict(rows_per_split=0), dict(max_hot_users=0)):
+        with pytest.raises(ValueError):
+            ExperimentConfig(**bad)
