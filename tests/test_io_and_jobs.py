@@ -80,6 +80,15 @@ def test_streaming_staging_matches_batch(spark, tmp_path):
     q2 = write_staged_stream(stage_event_stream(spark, src), out, ckpt)
     q2.awaitTermination(120)
     assert spark.read.parquet(out).count() == len(RECORDS)
+    # a new file is picked up once, on the next run
+    more = [dict(r, event_id=r["event_id"] + "-b") for r in RECORDS]
+    with open(os.path.join(src, "events-2.jsonl"), "w") as fh:
+        for rec in more:
+            fh.write(json.dumps(rec) + "\n")
+    q3 = write_staged_stream(stage_event_stream(spark, src), out, ckpt)
+    q3.awaitTermination(120)
+    ids = sorted(r.event_id for r in spark.read.parquet(out).select("event_id").collect())
+    assert ids == sorted([r["event_id"] for r in RECORDS] + [r["event_id"] for r in more])
 
 
 def test_run_all_end_to_end(spark, tmp_path):
