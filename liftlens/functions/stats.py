@@ -1,4 +1,4 @@
-"""Two-proportion z-test as Column expressions.
+"""Two-proportion z-test as Spark SQL expressions.
 
 Neither Spark SQL nor the oracle database ships ``erf``/``erfc``, so the
 complementary error function is evaluated with W. J. Cody's rational
