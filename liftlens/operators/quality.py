@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from liftlens.operators.exposures import duplicate_groups
 
 # Check names and failure messages.
 CHECKS = (
@@ -35,28 +34,47 @@ def _row(observed: DataFrame, index: int, passed: Column) -> DataFrame:
     )
 
 
+def _exposure_checks(exposures: DataFrame) -> DataFrame:
+    """Checks 2-4 from one pass over the exposures, as three rows.
+
+    One aggregate per (experiment, user) feeds all three counts, and the
+    single result row is unpacked with ``inline``: every check reads the
+    same projection, so the exposures are computed once, not once per check.
+    Variant sets are small (one entry per key on deduplicated input).
+    """
+    per_key = exposures.groupBy("experiment_key", "user_id").agg(
+        F.expr("count(1) AS _rows"),
+        F.expr("count_if(experiment_key IS NULL OR variant IS NULL OR exposure_ts IS NULL)"
+               " AS _nulls"),
+        F.expr("collect_set(variant) AS _variants"))
+    totals = per_key.agg(
+        F.expr("coalesce(sum(_nulls), 0) AS null_rows"),
+        F.expr("count_if(_rows > 1) AS duplicate_groups"),
+        F.expr("size(array_distinct(flatten(collect_set(_variants)))) AS distinct_variants"))
+    rows = []
+    for index, value, rule in ((1, "null_rows", "= 0"), (2, "duplicate_groups", "= 0"),
+                               (3, "distinct_variants", ">= 2")):
+        name, message = CHECKS[index]
+        rows.append(f"named_struct('check_name', '{name}', "
+                    f"'observed', CAST({value} AS BIGINT), "
+                    f"'passed', {value} {rule}, "
+                    f"'failure_message', CASE WHEN NOT ({value} {rule}) THEN '{message}' END)")
+    return totals.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
 def quality_checks(staged: DataFrame, exposures: DataFrame, summary: DataFrame) -> DataFrame:
     """Five checks, one row each: check_name, observed, passed, failure_message.
 
     1. staging has rows; 2. no exposure lacks key, variant or time;
     3. no (experiment, user) appears twice; 4. at least two distinct variants
     exist (over all experiments); 5. no variant has more converters than
-    exposed users. Each is a single global aggregate.
+    exposed users. Each input is read by one global aggregate.
     """
     observed = F.col("observed")
-    null_fields = (F.col("experiment_key").isNull() | F.col("variant").isNull()
-                   | F.col("exposure_ts").isNull())
-    rows = [
-        _row(_count(staged), 0, observed > 0),
-        _row(_count(exposures.where(null_fields)), 1, observed == 0),
-        _row(_count(duplicate_groups(exposures, ["experiment_key", "user_id"])), 2, observed == 0),
-        _row(exposures.agg(F.count_distinct("variant").alias("observed")), 3, observed >= 2),
-        _row(_count(summary.where(F.col("converters") > F.col("exposed_users"))), 4, observed == 0),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    staged_row = _row(_count(staged), 0, observed > 0)
+    summary_row = _row(_count(summary.where(F.col("converters") > F.col("exposed_users"))),
+                       4, observed == 0)
+    return staged_row.unionByName(_exposure_checks(exposures)).unionByName(summary_row)
 
 
 def raise_on_failure(checks: DataFrame) -> None:
