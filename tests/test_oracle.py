@@ -49,5 +49,10 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = se.entry(spark)
-    assert df.columns[-2:] == ["z_score", "p_value"]
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("experiment_key", "string"), ("variant", "string"), ("exposed_users", "bigint"),
+        ("converters", "bigint"), ("conversion_rate", "double"), ("total_revenue", "double"),
+        ("revenue_per_user", "double"), ("absolute_lift", "double"),
+        ("relative_lift_pct", "double"), ("rpu_lift", "double"), ("z_score", "double"),
+        ("p_value", "double")]
     assert df.count() == 6
