@@ -176,3 +176,12 @@ def test_cli_run_all_and_quality_exit_code(spark, tmp_path, capsys):
     assert main(["build", "--events", path, "--warehouse", wh2], spark) == 0
     assert main(["quality", "--warehouse", wh2], spark) == 1
     assert "FAILED: expected both control and treatment variants" in capsys.readouterr().out
+
+
+def test_materialize_cuts_lineage(spark):
+    from liftlens.config import materialize
+    t = build_tables(driver_events(spark, SF001))
+    stored = materialize(t.conversions, "lineage-test")
+    plan = stored._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and "Aggregate" not in plan
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, t.conversions.collect()))
