@@ -1,9 +1,11 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
-from liftlens.llm import decontaminate, sharding, topk
+from liftlens.llm import decontaminate, langid, sharding, topk, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_topk": topk.op2_topk,
+    "op4_langid": langid.op4_langid,
     "op9_sharding": sharding.op9_sharding,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
