@@ -1,11 +1,13 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
-from liftlens.llm import decontaminate, langid, sharding, topk, toxicity
+from liftlens.llm import decontaminate, langid, sharding, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_topk": topk.op2_topk,
+    "op3_simhash": simhash.op3_simhash,
     "op4_langid": langid.op4_langid,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op9_sharding": sharding.op9_sharding,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
