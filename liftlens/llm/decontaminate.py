@@ -82,7 +82,10 @@ def _lookup(frame: DataFrame, rows: int) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
                   text: str = "text", item: str = "item_id", window: int = WINDOW,
                   run: int = RUN) -> DataFrame:
-    """One row per document: doc, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """One row per document: doc, n_words, n_hit, n_items, items_sha256, contaminated, text_sha256.
+
+    ``contaminated``: at least one word in twenty is hit.
+    """
     spark = docs.sparkSession
     windows = benchmark_windows(benchmark, item, text, window)
     short = sorted(r[0] for r in windows.where(F.col("length") < window)
@@ -149,7 +152,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
         F.col("_doc").alias(doc), "n_words", n_hit.alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
-        ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"))
+        ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
+        F.col("_key").alias("text_sha256"))
 
 
 def _hash_all(words: Column) -> Column:
@@ -174,7 +178,8 @@ def _around(words: Column, found: Column, window: int, run: int) -> Column:
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"),
+                         table(spark, sf_dir, "benchmark")).drop("text_sha256")
 
 
 ORACLE_SQL = r"""

@@ -166,17 +166,24 @@ def links_within(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text",
-                    shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc, fingerprint (bigint), component_id: the smallest id reachable by links."""
-    prints = written(with_fingerprint(docs, [doc], text, shingle), "fingerprints")
+                    shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc, the kept columns, fingerprint (bigint), component and component_id.
+
+    ``component`` is the fingerprint that stands for the component,
+    ``component_id`` the smallest id of its documents.
+    """
+    prints = written(with_fingerprint(docs, [doc, *keep], text, shingle), "fingerprints")
     distinct = written(prints.groupBy(F.col("fingerprint").alias("f"))
                        .agg(F.min(doc).alias("least")), "distinct-fingerprints")
     roots = components(links_within(distinct.select("f"), max_bits))
     placed = distinct.join(roots.withColumnRenamed("node", "f"), "f", "left").select(
-        "f", "least", F.coalesce("root", "f").alias("root"))
-    first = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(first, "root").select(F.col("f").alias("fingerprint"), "component_id")
-    return prints.join(named, "fingerprint").select(doc, "fingerprint", "component_id")
+        "f", "least", F.coalesce("root", "f").alias("component"))
+    first = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = placed.join(first, "component").select(
+        F.col("f").alias("fingerprint"), "component", "component_id")
+    return prints.join(named, "fingerprint").select(doc, *keep, "fingerprint", "component",
+                                                    "component_id")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftlens.llm.common import (mix, prefix_hash, shared_folder, span_hash, table, text_chunks,
@@ -279,14 +279,14 @@ def _distinct_texts(docs: DataFrame, text: str, length: int) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"repeated_text_{uuid.uuid4().hex}"
     (docs.where(F.octet_length(text) >= length)
-     .select(_key(F.col(text)).alias("key"), F.col(text).alias("text"))
+     .select(text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
      .groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
      .write.bucketBy(buckets, "key").sortBy("key").option("compression", "zstd")
      .option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name))
     return spark.table(name)
 
 
-def _key(text) -> F.Column:
+def text_key(text: Column) -> Column:
     """The first half of the text's SHA-256 (128 bits); NULL counts as empty."""
     digest = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
     return F.unhex(F.substring(digest, 1, 32))
@@ -349,7 +349,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     lost = repeated_spans(docs).drop("kept")
     nothing = F.lit(0).cast("long")
-    return (docs.select("doc_id", _key(F.col("text")).alias("key"),
+    return (docs.select("doc_id", text_key(F.col("text")).alias("key"),
                         F.octet_length(text).cast("long").alias("n_bytes"),
                         F.sha2(text.cast("binary"), 256).alias("_whole"))
             .join(lost, "key", "left")
