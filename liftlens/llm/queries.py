@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
-from liftlens.llm import (decontaminate, langid, packing, pst, sharding, simhash, suffix_dedup,
-                          topk, toxicity)
+from liftlens.llm import (decontaminate, langid, licenses, packing, pst, sharding, simhash,
+                          suffix_dedup, topk, toxicity)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_packing": packing.op6_packing,
     "op7_pst": pst.op7_pst,
+    "op8_licenses": licenses.op8_licenses,
     "op9_sharding": sharding.op9_sharding,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
