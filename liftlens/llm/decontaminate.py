@@ -39,11 +39,6 @@ def words_of(lowered: Column) -> Column:
     return F.slice(parts, skip + 1, F.greatest(F.size(parts) - skip - drop, F.lit(0)))
 
 
-def _coarse_lower(text: Column) -> Column:
-    """Full lower-casing without its one rule that looks at neighbours (the final sigma)."""
-    return F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3")))
-
-
 def _runs(words: Column, length: int) -> Column:
     """Hash of every run of ``length`` words, by start position."""
     count = F.size(words) - (length - 1)
@@ -90,7 +85,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
     windows = benchmark_windows(benchmark, item, text, window)
     short = sorted(r[0] for r in windows.where(F.col("length") < window)
                    .select("length").distinct().collect())  # lengths below 13
-    parts = F.split(_coarse_lower(F.col("window")), " ")
+    parts = F.split("window", " ")
     fingerprints = written(
         windows.select(
             "length",
@@ -100,14 +95,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
         .distinct(), "benchmark-fingerprints")
     known = _lookup(fingerprints.select("fingerprint").distinct(), fingerprints.count())
 
-    # Every text once over: words counted, fingerprints kept. Full lower-casing
-    # is coarser than A-Z, so it loses no match; the second look is exact.
-    lowered = words_of(_coarse_lower(F.col(text)))
+    # Every text once over: words counted, fingerprints kept.
     marks = [_winnowed(F.col("_runs"), window, run)]
     marks += [F.array_distinct(_runs(F.col("_words"), n)) for n in short]
     scanned = written(
         docs.select(F.col(doc).alias("_doc"), F.sha2(F.col(text).cast("binary"), 256).alias("_key"),
-                    lowered.alias("_words"))
+                    words_of(ascii_lower(F.col(text))).alias("_words"))
         .select("_doc", "_key", "_words", _runs(F.col("_words"), run).alias("_runs"))
         .select("_doc", "_key", F.size("_words").cast("long").alias("n_words"),
                 (F.array_distinct(F.concat(*marks)) if short else marks[0]).alias("_marks")),
@@ -121,10 +114,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
                          F.col(text).alias("_text"))
              .groupBy("_key").agg(F.first("_text").alias("_text"))
              .join(found, "_key")
-             .select("_key", "_found", words_of(_coarse_lower(F.col("_text"))).alias("_coarse"),
-                     words_of(ascii_lower(F.col("_text"))).alias("_words")))
-    spans = [_around(F.col("_coarse"), F.col("_found"), window, run)]
-    spans += [_around(F.col("_coarse"), F.col("_found"), n, n) for n in short]
+             .select("_key", "_found", words_of(ascii_lower(F.col("_text"))).alias("_words")))
+    spans = [_around(F.col("_words"), F.col("_found"), window, run)]
+    spans += [_around(F.col("_words"), F.col("_found"), n, n) for n in short]
     candidates = (again.select("_key", F.explode(F.transform(
         F.concat(*spans), lambda s: F.struct(
             s["start"].alias("start"), s["length"].alias("length"),
