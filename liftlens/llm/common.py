@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text that a task works on at a time (a longer text is one chunk).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import (id_remainder, prefix_hash, reduce_rows, span_hash, table,
+from liftlens.llm.common import (CHUNK_BYTES, id_remainder, prefix_hash, reduce_rows, span_hash, table,
                                  text_chunks, word_spans, written)
 
 DEPTH = 5
@@ -93,7 +93,7 @@ def parse(data: np.ndarray, offsets: np.ndarray) -> Words:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b, data, offsets in text_chunks(batch.column(0)):
+        for a, b, data, offsets in text_chunks(batch.column(0), 4 * CHUNK_BYTES):
             words = parse(data, offsets)
             wide = words.stream.astype(np.uint64)
             run = np.zeros(len(words.scored), np.uint64)
