@@ -12,7 +12,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -48,11 +47,10 @@ def main() -> None:
         timings[name] = statistics.median(_run(df) for _ in range(RUNS))
 
     if not only or "run_all" in only:
-        # shared folder of the cluster when configured; a local temp folder only
-        # for local runs where none is set
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        scratch = (f"{shared.rstrip('/')}/liftlens-bench-{int(time.time())}" if shared
-                   else tempfile.mkdtemp(prefix="liftlens-bench-"))
+        # $BENCH_SCRATCH, else the shared folder of the cluster, else the session's warehouse
+        shared = (os.environ.get("BENCH_SCRATCH") or spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.conf.get("spark.sql.warehouse.dir"))
+        scratch = f"{shared.rstrip('/')}/liftlens-bench-{int(time.time())}"
         runs = []
         for i in range(max(2, RUNS // 2) + 1):
             t = time.perf_counter()

@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     config = _config(args)
     if args.command in ("build", "run-all"):
         build_warehouse(_events(spark, args), args.warehouse, config)
-        print(f"Built warehouse at {args.warehouse}")
+        print(f"warehouse: five tables in {args.warehouse}")
     if args.command in ("analyze", "run-all"):
         report = export_reports(spark, args.warehouse, args.reports, config)
         print(f"Reports written to {args.reports} ({report.count()} experiments)")
@@ -59,10 +59,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         failed = [r.failure_message for r in
                   run_quality(spark, args.warehouse).where("NOT passed").collect()]
         for message in failed:
-            print(f"FAILED: {message}")
+            print(f"check failed: {message}")
         if failed:
             return 1
-        print("All data quality checks passed.")
+        print("quality: every check passed")
     return 0
 
 

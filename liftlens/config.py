@@ -15,28 +15,13 @@ class ExperimentConfig:
 
     ``lookback_days``: checkouts count for an exposure when
     ``exposure_ts <= checkout_ts < exposure_ts + lookback_days``.
-    ``experiment_key``: the experiment that slice / dashboard operators
-    stamp on their rows.
-    ``rows_per_split`` / ``max_hot_users``: skew handling of the
-    exposure-checkout join. A user whose checkout count exceeds
-    ``bound = max(rows_per_split, total_checkouts / max_hot_users)`` is split
-    over several join tasks; by construction at most ``max_hot_users`` users
-    can exceed that bound, which caps the broadcast table (100k rows of user
-    id + bucket count: a few MB). The bound is also what the sort-merge join
-    buffers per (user, bucket) key: with these defaults it stays at 1M
-    checkout instants up to 10^11 instants in total.
     """
 
-    experiment_key: str = "exp_1"
     lookback_days: int = 7
-    rows_per_split: int = 1_000_000
-    max_hot_users: int = 100_000
 
     def __post_init__(self) -> None:
         if self.lookback_days < 0:
             raise ValueError("lookback_days must be >= 0")
-        if self.rows_per_split < 1 or self.max_hot_users < 1:
-            raise ValueError("rows_per_split and max_hot_users must be >= 1")
 
 
 DEFAULT_CONFIG = ExperimentConfig()
@@ -94,14 +79,20 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return configured
 
 
-def materialize(df: DataFrame, name: str, base_dir: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str, base_dir: str | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet under the shared checkpoint folder; (the table read back, its path).
 
     This cuts lineage: a lost executor re-reads the written table instead of
-    recomputing the whole upstream plan.
+    recomputing the whole upstream plan. ``discard`` removes the folder.
     """
     spark = df.sparkSession
     base = base_dir or checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``materialize`` wrote."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -19,6 +19,11 @@ def round_half_away_sql(expr: str, digits: int) -> str:
     return f"(round(({expr}) * {scale}, 0) / {scale})"
 
 
+def exact_sum_sql(column: str) -> str:
+    """SQL text: the sum of a double column, exact (as DECIMAL), as a double."""
+    return f"CAST(sum(CAST({column} AS DECIMAL(38, 18))) AS DOUBLE)"
+
+
 def round_half_away(col: Column | str, digits: int) -> Column:
     """Column form of ``round_half_away_sql``; a string is a SQL expression."""
     if isinstance(col, str):

@@ -1,7 +1,7 @@
 """DataFrame-in, DataFrame-out operators of the experiment measurement."""
 
 from liftlens.operators.conversions import (
-    attribute_conversions, checkout_events, exposure_checkout_pairs, hot_users,
+    attribute_conversions, checkout_events, window_checkouts,
 )
 from liftlens.operators.exposures import (
     duplicate_groups, exposure_events, first_exposures, repeated_exposures,
@@ -19,7 +19,7 @@ from liftlens.operators.slices import (
 from liftlens.operators.staging import stage_events
 
 __all__ = [
-    "attribute_conversions", "checkout_events", "exposure_checkout_pairs", "hot_users",
+    "attribute_conversions", "checkout_events", "window_checkouts",
     "duplicate_groups", "exposure_events", "first_exposures", "repeated_exposures",
     "experiment_report", "experiment_snapshot", "significance", "slice_snapshot",
     "summary_enriched", "control_metrics", "daily_metrics", "grouped_metrics",

@@ -3,23 +3,23 @@
 An exposure converts when the user completes a checkout at a time ``t`` with
 ``exposure_ts <= t < exposure_ts + lookback``. The conversion time is the
 earliest such checkout; revenue sums all of them (NULL revenue counts as 0,
-the checkout still converts). The join is on user only, so one checkout can
-convert the same user in several experiments.
-
-Plan, designed for a key holding a large share of the rows:
-
-1. Checkouts are pre-aggregated per (user, checkout time) with map-side
-   combine. Checkouts at the same instant fall in exactly the same windows,
-   so this is exact, and it collapses duplicated events before any shuffle.
-2. Users with more pre-aggregated checkouts than a bound are *hot*. The bound
-   is ``max(rows_per_split, total / max_hot_users)``, so at most
-   ``max_hot_users`` users can be hot: that bound is what allows the hot
-   table to be broadcast.
-3. A hot user's checkouts are spread over ``ceil(rows / bound)`` salt
-   buckets (hash of the checkout time); its handful of exposure rows (one per
-   experiment) are replicated once per bucket. Everyone else has one bucket.
-4. Sort-merge join on (user, salt) with the range as residual condition,
-   partial aggregation per bucket, final aggregation per exposure.
+the checkout still converts). One checkout can convert the same user in
+several experiments.
+
+Plan:
+
+1. Time is cut into bins of ``lookback`` days. A window of that length lies in
+   two bins, so an exposure is listed under both and a checkout under its own.
+   The join key is (user, bin): an exposure meets the checkouts of two bins,
+   not a user's whole history, and a heavy user is spread over bins.
+2. An inner sort-merge join on (user, bin) with the window as residual
+   condition. It needs nothing of a key together afterwards, so adaptive
+   execution can split either side of a key that is still too large.
+3. Matches are aggregated per exposure with map-side combine and joined back
+   to the exposures on the key that these are already partitioned by.
+
+Revenue is summed as DECIMAL, turned into a double once and rounded once, so
+it does not depend on how rows are split or ordered.
 """
 
 from __future__ import annotations
@@ -28,11 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from liftlens.config import DEFAULT_CONFIG, ExperimentConfig
-from liftlens.functions.rounding import round_half_away_sql
+from liftlens.functions.rounding import exact_sum_sql, round_half_away_sql
 from liftlens.schema import CHECKOUT_EVENT, EXPOSURE_COLUMNS
 
-_SALT = "_salt"
-_SPLITS = "_splits"
+_KEYS = ["experiment_key", "user_id"]
 
 
 def checkout_events(staged: DataFrame) -> DataFrame:
@@ -42,119 +41,58 @@ def checkout_events(staged: DataFrame) -> DataFrame:
                         "coalesce(revenue, 0.0D) AS revenue"))
 
 
-def _checkout_instants(checkouts: DataFrame) -> DataFrame:
-    """Checkouts summed per (user_id, conversion_ts) -- exact for window tests."""
-    return (checkouts.where("user_id IS NOT NULL AND conversion_ts IS NOT NULL")
-            .groupBy("user_id", "conversion_ts")
-            .agg(F.expr("sum(revenue) AS revenue")))
+def _bin(ts: str, days: int) -> str:
+    return f"CAST(floor(unix_date(CAST({ts} AS DATE)) / {days}) AS INT)"
 
 
-def hot_users(rows: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
-              count_col: str = "revenue", weight_col: str | None = None) -> DataFrame:
-    """Users whose row count exceeds the split bound, with their bucket count.
-
-    Returns at most ``config.max_hot_users`` rows: the bound is at least
-    ``total / max_hot_users`` and counts are strictly above it.
-
-    Rows are counted with ``count(count_col)`` over a never-NULL column that
-    the join side also reads, so the pruned plan of ``rows`` is the same in
-    both branches and Spark reuses its shuffle instead of recomputing it.
-    With ``weight_col`` each row counts as that many rows instead. The total
-    is a scalar subquery over the per-user counts (reused as well).
-    """
-    measure = f"sum(`{weight_col}`)" if weight_col else f"count(`{count_col}`)"
-    per_user = rows.groupBy("user_id").agg(F.expr(f"{measure} AS _n"))
-    total = per_user.select(F.expr("sum(_n)")).scalar()
-    bound = F.greatest(F.lit(int(config.rows_per_split)),
-                       F.ceil(total / F.lit(int(config.max_hot_users))))
-    return (per_user.where(F.col("_n") > bound)
-            .select("user_id", F.ceil(F.col("_n") / bound).cast("int").alias(_SPLITS)))
-
-
-def _salted_sides(exposures: DataFrame, checkouts: DataFrame, hot: DataFrame,
-                  salt_of: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Exposures replicated once per bucket of their user; checkouts hashed to one bucket."""
-    hot_b = F.broadcast(hot)
-    left = (exposures.join(hot_b, "user_id", "left")
-            .selectExpr(*[f"`{c}`" for c in exposures.columns],
-                        f"explode(sequence(0, coalesce({_SPLITS}, 1) - 1)) AS {_SALT}"))
-    hashed = ", ".join(f"`{c}`" for c in salt_of)
-    right = (checkouts.join(hot_b, "user_id", "left")
-             .selectExpr("user_id AS _c_user_id",
-                         *[f"`{c}`" for c in checkouts.columns if c != "user_id"],
-                         f"CASE WHEN {_SPLITS} IS NULL THEN 0 ELSE CAST(pmod(xxhash64({hashed}), "
-                         f"CAST({_SPLITS} AS BIGINT)) AS INT) END AS _c_salt"))
-    return left, right
-
-
-def _window_condition(lookback_days: int):
-    return F.expr(
-        f"user_id = _c_user_id AND {_SALT} = _c_salt AND conversion_ts >= exposure_ts "
-        f"AND conversion_ts < exposure_ts + make_dt_interval({int(lookback_days)})")
+def _matches(exposures: DataFrame, checkouts: DataFrame, days: int) -> DataFrame:
+    """(exposure key, conversion_ts, revenue) of every checkout inside a window."""
+    # The left key is never NULL (a missing user gets one that no checkout has),
+    # so no filter is pushed into the exposures: they stay the same plan as
+    # where they are joined back, and Spark computes them once.
+    left = exposures.selectExpr(
+        *_KEYS, "exposure_ts", "coalesce(concat('u', user_id), '') AS _user",
+        f"explode(array(coalesce({_bin('exposure_ts', days)}, 0), "
+        f"coalesce({_bin('exposure_ts', days)} + 1, 1))) AS _bin")
+    right = (checkouts.where("conversion_ts IS NOT NULL AND user_id IS NOT NULL")
+             .selectExpr("concat('u', user_id) AS _c_user", "conversion_ts", "revenue",
+                         f"{_bin('conversion_ts', days)} AS _c_bin"))
+    window = F.expr("_user = _c_user AND _bin = _c_bin AND conversion_ts >= exposure_ts "
+                    f"AND conversion_ts < exposure_ts + make_dt_interval({days})")
+    return left.join(right, window).select(*_KEYS, "conversion_ts", "revenue")
 
 
 def attribute_conversions(exposures: DataFrame, staged: DataFrame,
                           lookback_days: int | None = None,
                           config: ExperimentConfig = DEFAULT_CONFIG) -> DataFrame:
-    """One row per exposure: the exposure columns + conversion_ts + revenue."""
-    lookback = config.lookback_days if lookback_days is None else lookback_days
-    instants = _checkout_instants(checkout_events(staged))
-    hot = hot_users(instants, config)
-    left, right = _salted_sides(exposures.select(*EXPOSURE_COLUMNS), instants, hot,
-                                ["conversion_ts"])
-    joined = left.join(right, _window_condition(lookback), "left")
-    return (joined.groupBy(*EXPOSURE_COLUMNS)
-            .agg(F.expr("min(conversion_ts) AS conversion_ts"),
-                 F.expr(f"{round_half_away_sql('coalesce(sum(revenue), 0.0D)', 2)} AS revenue")))
-
-
-# Largest number of identical checkout events handled as one row by the pairs
-# listing; bigger groups of copies are cut into chunks of at most this many.
-COPIES_PER_CHUNK = 10_000
-
-
-def exposure_checkout_pairs(exposures: DataFrame, staged: DataFrame,
-                            lookback_days: int | None = None,
-                            config: ExperimentConfig = DEFAULT_CONFIG,
-                            conversions: DataFrame | None = None) -> DataFrame:
-    """The exposure-checkout left join itself, before aggregation.
-
-    One row per (exposure, checkout event inside its window); an exposure with
-    no such checkout appears once with NULL conversion_ts and revenue.
-
-    Skew handling as in ``attribute_conversions``, plus copies: identical
-    checkout events are first combined map-side into one row with a count,
-    and a large group of copies is cut into chunks of at most
-    ``COPIES_PER_CHUNK``; chunks are salted separately, so neither a hot user
-    nor a hot group of copies lands in one task. After the join each chunk is
-    expanded back into its copies. Matches come from a salted inner join;
-    unconverted exposures come from the attributed conversions, so the
-    replicated exposure rows of hot users never yield duplicate unmatched rows.
+    """One row per exposure: the exposure columns + conversion_ts + revenue.
+
+    ``exposures`` has one row per (experiment_key, user_id). An empty window
+    (``lookback_days=0``) converts nobody.
     """
-    lookback = config.lookback_days if lookback_days is None else lookback_days
-    m = int(COPIES_PER_CHUNK)
-    events = (staged.where(F.col("event_name") == F.lit(CHECKOUT_EVENT))
-              .where("user_id IS NOT NULL AND event_ts IS NOT NULL")
-              .selectExpr("user_id", "event_id", "event_ts AS conversion_ts",
-                          "coalesce(revenue, 0.0D) AS revenue"))
-    copies = (events.groupBy("user_id", "event_id", "conversion_ts", "revenue")
-              .agg(F.expr("count(1) AS _copies")))
-    chunks = copies.selectExpr(
-        "user_id", "event_id", "conversion_ts", "revenue",
-        f"posexplode(transform(sequence(0, CAST((_copies - 1) DIV {m} AS INT)), "
-        f"i -> least(CAST({m} AS BIGINT), _copies - CAST(i AS BIGINT) * {m}))) "
-        f"AS (_chunk, _chunk_copies)")
-    hot = hot_users(chunks, config, weight_col="_chunk_copies")
-    left, right = _salted_sides(exposures.select(*EXPOSURE_COLUMNS), chunks, hot,
-                                ["event_id", "conversion_ts", "_chunk"])
-    matched = (left.join(right, _window_condition(lookback), "inner")
-               .selectExpr(*EXPOSURE_COLUMNS, "conversion_ts", "revenue",
-                           "explode(sequence(1, CAST(_chunk_copies AS INT))) AS _copy")
-               .drop("_copy"))
-    if conversions is None:
-        conversions = attribute_conversions(exposures, staged, lookback, config)
-    unmatched = (conversions.where(F.col("conversion_ts").isNull())
-                 .select(*EXPOSURE_COLUMNS,
-                         F.lit(None).cast("timestamp_ntz").alias("conversion_ts"),
-                         F.lit(None).cast("double").alias("revenue")))
-    return matched.unionByName(unmatched)
+    days = int(config.lookback_days if lookback_days is None else lookback_days)
+    exposures = exposures.select(*EXPOSURE_COLUMNS)
+    if days == 0:
+        return exposures.selectExpr("*", "CAST(NULL AS TIMESTAMP_NTZ) AS conversion_ts",
+                                    "0.0D AS revenue")
+    converted = (_matches(exposures, checkout_events(staged), days).groupBy(*_KEYS)
+                 .agg(F.expr("min(conversion_ts) AS conversion_ts"),
+                      F.expr(f"{exact_sum_sql('revenue')} AS revenue")))
+    revenue = round_half_away_sql("coalesce(revenue, 0.0D)", 2)
+    return (exposures.join(converted, _KEYS, "left")
+            .selectExpr(*EXPOSURE_COLUMNS, "conversion_ts", f"{revenue} AS revenue"))
+
+
+def window_checkouts(exposures: DataFrame, staged: DataFrame,
+                     lookback_days: int | None = None,
+                     config: ExperimentConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The exposure-checkout join counted: (experiment_key, user_id) of converted exposures with
+    the number of checkouts in their window, the first and the last of them."""
+    days = int(config.lookback_days if lookback_days is None else lookback_days)
+    if days == 0:
+        return exposures.where("false").selectExpr(
+            *_KEYS, "0L AS checkouts", "exposure_ts AS first_ts", "exposure_ts AS last_ts")
+    return (_matches(exposures.select(*EXPOSURE_COLUMNS), checkout_events(staged), days)
+            .groupBy(*_KEYS)
+            .agg(F.expr("count(1) AS checkouts"), F.expr("min(conversion_ts) AS first_ts"),
+                 F.expr("max(conversion_ts) AS last_ts")))

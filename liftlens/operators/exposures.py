@@ -26,15 +26,16 @@ def exposure_events(staged: DataFrame) -> DataFrame:
 def first_exposures(staged: DataFrame) -> DataFrame:
     """One row per (experiment_key, user_id): the earliest valid exposure.
 
-    Order: event time ascending with NULL times last, then event_id as a
-    deterministic tie-break. Country and device come from the chosen row.
+    Order: event time ascending with NULL times last, then event_id, variant,
+    country and device as tie-breaks. Country and device come from the chosen row.
 
     Plan: ``row_number() = 1`` becomes a WindowGroupLimit, which Spark runs
     partially *before* the shuffle (each map task keeps one row per group),
     so a user with millions of exposures ships one row per task, not all.
     """
     w = Window.partitionBy("experiment_key", "user_id").orderBy(
-        F.col("event_ts").asc_nulls_last(), F.col("event_id").asc_nulls_last())
+        *[F.col(c).asc_nulls_last()
+          for c in ("event_ts", "event_id", "variant", "country", "device_type")])
     return (exposure_events(staged)
             .select(*EXPOSURE_COLUMNS[:-1], "event_ts", "event_id")
             .withColumn("_rank", F.row_number().over(w))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from liftlens.functions.rounding import exact_sum_sql
 from liftlens.functions.rounding import round_half_away_sql as rha
 from liftlens.schema import CONTROL
 
@@ -20,15 +21,14 @@ METRIC_NAMES = ("exposed_users", "converters", "conversion_rate",
                 "total_revenue", "revenue_per_user")
 LIFT_NAMES = ("absolute_lift", "relative_lift_pct", "rpu_lift")
 
-# Revenue is summed exactly, in integer cents (attributed revenue is already
-# rounded to 2 decimals), and turned into a double once. A double SUM depends
-# on the order rows arrive in, i.e. on partitioning, and that last bit decides
-# the 2-dp rounding of revenue per user at exact ties (324.36 / 8 = 40.545).
-# The exact sum makes every metric independent of the physical plan.
+# Revenue is summed exactly, as DECIMAL, and turned into a double once. A double
+# SUM depends on the order rows arrive in, i.e. on partitioning, and that last bit
+# decides the 2-dp rounding of revenue per user at exact ties (324.36 / 8 = 40.545).
+# Attributed revenue is summed the same way, so no metric depends on the plan.
 _AGGREGATES = (
     "count(1) AS _n",
     "count(conversion_ts) AS _conv",
-    "CAST(sum(CAST(round(revenue * 100.0D, 0) AS BIGINT)) AS DOUBLE) / 100.0D AS _rev",
+    f"{exact_sum_sql('revenue')} AS _rev",
 )
 
 

@@ -31,6 +31,11 @@ def apply_filters(conversions: DataFrame, countries: Sequence[str] | None = None
     return out
 
 
+def _ordered(metrics: DataFrame, *columns: str) -> DataFrame:
+    """The aggregated rows in the order a dashboard shows them, NULL last."""
+    return metrics.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+
+
 def _experiment_rows(conversions: DataFrame, experiment_key: str | None) -> DataFrame:
     if experiment_key is None:
         return conversions
@@ -64,7 +69,8 @@ def filtered_summary(conversions: DataFrame, experiment_key: str,
     rows = apply_filters(_experiment_rows(conversions, experiment_key), countries, devices)
     # the rows hold one experiment, so grouping by its key column is the
     # per-variant pooling of the slice, and the lift window is partitioned
-    return with_lifts(grouped_metrics(rows, ["experiment_key", "variant"]), ["experiment_key"])
+    summary = grouped_metrics(rows, ["experiment_key", "variant"])
+    return _ordered(with_lifts(summary, ["experiment_key"]), "variant")
 
 
 def filtered_daily(conversions: DataFrame, experiment_key: str,
@@ -73,7 +79,8 @@ def filtered_daily(conversions: DataFrame, experiment_key: str,
     """Daily metrics by (exposure_date, variant) of one experiment for a slice."""
     rows = apply_filters(_experiment_rows(conversions, experiment_key), countries, devices)
     dated = rows.withColumn("exposure_date", F.to_date("exposure_ts"))
-    return grouped_metrics(dated, ["exposure_date", "variant"])
+    return _ordered(grouped_metrics(dated, ["exposure_date", "variant"]),
+                    "exposure_date", "variant")
 
 
 def segment_metrics(conversions: DataFrame, dimension: str, experiment_key: str,
@@ -81,7 +88,8 @@ def segment_metrics(conversions: DataFrame, dimension: str, experiment_key: str,
                     devices: Sequence[str] | None = None) -> DataFrame:
     """Metrics by (segment, variant), segment being country or device_type."""
     if dimension not in SEGMENT_DIMENSIONS:
-        raise ValueError(f"dimension must be one of {sorted(SEGMENT_DIMENSIONS)}")
+        raise ValueError(f"no segments by {dimension!r}; choose from {SEGMENT_DIMENSIONS}")
     rows = apply_filters(_experiment_rows(conversions, experiment_key), countries, devices)
-    return grouped_metrics(rows.withColumn("segment", F.col(dimension)),
-                           ["segment", "variant"], include_total=False)
+    return _ordered(grouped_metrics(rows.withColumn("segment", F.col(dimension)),
+                                    ["segment", "variant"], include_total=False),
+                    "segment", "variant")

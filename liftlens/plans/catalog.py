@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from liftlens.config import DEFAULT_CONFIG
 from liftlens.functions.rounding import round_half_away
 from liftlens.operators import (
-    checkout_events, control_metrics, experiment_report, experiment_snapshot,
-    exposure_checkout_pairs, filter_options, filtered_daily, filtered_summary,
-    quality_checks, repeated_exposures, segment_metrics, significance,
-    slice_snapshot, stage_events, summary_enriched, variant_metrics,
+    attribute_conversions, checkout_events, control_metrics, experiment_report, experiment_snapshot,
+    filter_options, filtered_daily, filtered_summary, quality_checks, repeated_exposures,
+    segment_metrics, significance, slice_snapshot, stage_events, summary_enriched,
+    variant_metrics, window_checkouts,
 )
 from liftlens.plans.chain import Tables, build_tables
-from liftlens.sources.events import driver_events, ndjson_round_trip
+from liftlens.schema import CHECKOUT_EVENT
+from liftlens.sources.events import driver_events, events_as_text
 
 # The slice every slice query asks for.
 SLICE_EXPERIMENT = "exp_1"
@@ -35,7 +36,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _tables(spark: SparkSession, sf_dir: str, lookback_days: int | None = None) -> Tables:
-    return build_tables(driver_events(spark, sf_dir), DEFAULT_CONFIG, lookback_days)
+    return build_tables(driver_events(spark, sf_dir), DEFAULT_CONFIG, lookback_days,
+                        lambda name: driver_events(spark, sf_dir, name))
 
 
 def staged_events(spark, sf_dir):
@@ -43,7 +45,7 @@ def staged_events(spark, sf_dir):
 
 
 def ndjson_events(spark, sf_dir):
-    return stage_events(ndjson_round_trip(_tables(spark, sf_dir).staged))
+    return stage_events(events_as_text(_tables(spark, sf_dir).staged))
 
 
 def first_exposures_q(spark, sf_dir):
@@ -51,12 +53,20 @@ def first_exposures_q(spark, sf_dir):
 
 
 def checkout_events_q(spark, sf_dir):
-    return checkout_events(_tables(spark, sf_dir).staged)
+    return checkout_events(_tables(spark, sf_dir).checkouts_staged)
 
 
-def pairs_q(spark, sf_dir):
+def window_checkouts_q(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return exposure_checkout_pairs(t.exposures, t.staged, conversions=t.conversions)
+    return window_checkouts(t.exposures, t.checkouts_staged)
+
+
+def conversions_subcent(spark, sf_dir):
+    """Attribution of revenue with fractions of a cent."""
+    t = _tables(spark, sf_dir)
+    staged = stage_events(driver_events(spark, sf_dir, CHECKOUT_EVENT))
+    return attribute_conversions(
+        t.exposures, staged.withColumn("revenue", F.expr("round(revenue * 1.005D, 3)")))
 
 
 def conversions_7d(spark, sf_dir):
@@ -174,7 +184,8 @@ QUERIES: dict[str, Query] = {
     "ndjson_events": ndjson_events,
     "first_exposures": first_exposures_q,
     "checkout_events": checkout_events_q,
-    "exposure_checkout_pairs": pairs_q,
+    "window_checkouts": window_checkouts_q,
+    "conversions_subcent": conversions_subcent,
     "conversions_7d": conversions_7d,
     "conversions_1d": conversions_1d,
     "daily_metrics": daily_metrics_q,

@@ -8,6 +8,7 @@ the whole chain and prunes what a query does not use.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -17,12 +18,18 @@ from liftlens.operators.conversions import attribute_conversions
 from liftlens.operators.exposures import first_exposures
 from liftlens.operators.metrics import daily_metrics, summary_metrics
 from liftlens.operators.staging import stage_events
+from liftlens.schema import CHECKOUT_EVENT, EXPOSURE_EVENT
 
 
 class Tables:
+    """``events_named(name)`` may give the raw events of one name, where a source can read these
+    without reading the others; by default all raw events are read and filtered."""
+
     def __init__(self, raw_events: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
-                 lookback_days: int | None = None):
+                 lookback_days: int | None = None,
+                 events_named: Callable[[str], DataFrame] | None = None):
         self.raw_events = raw_events
+        self.events_named = events_named or (lambda name: raw_events)
         self.config = config
         self.lookback_days = config.lookback_days if lookback_days is None else lookback_days
 
@@ -32,11 +39,16 @@ class Tables:
 
     @cached_property
     def exposures(self) -> DataFrame:
-        return first_exposures(self.staged)
+        return first_exposures(stage_events(self.events_named(EXPOSURE_EVENT)))
+
+    @cached_property
+    def checkouts_staged(self) -> DataFrame:
+        return stage_events(self.events_named(CHECKOUT_EVENT))
 
     @cached_property
     def conversions(self) -> DataFrame:
-        return attribute_conversions(self.exposures, self.staged, self.lookback_days, self.config)
+        return attribute_conversions(self.exposures, self.checkouts_staged, self.lookback_days,
+                                     self.config)
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -48,5 +60,6 @@ class Tables:
 
 
 def build_tables(raw_events: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
-                 lookback_days: int | None = None) -> Tables:
-    return Tables(raw_events, config, lookback_days)
+                 lookback_days: int | None = None,
+                 events_named: Callable[[str], DataFrame] | None = None) -> Tables:
+    return Tables(raw_events, config, lookback_days, events_named)

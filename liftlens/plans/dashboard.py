@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from liftlens.config import materialize
+from liftlens.config import discard, materialize
 from liftlens.operators.inference import slice_snapshot
 from liftlens.operators.slices import (
     filter_options, filtered_daily, filtered_summary, segment_metrics,
@@ -48,13 +48,28 @@ class DashboardSession:
     When the conversions are a lazy plan (not a stored table), they are
     written once under ``spark.checkpoint.dir`` and every slice reads that
     copy: slices stop recomputing the attribution join, and a lost executor
-    re-reads the copy instead of the raw events.
+    re-reads the copy instead of the raw events. ``close`` (or leaving a
+    ``with`` block) removes the copy.
     """
 
     def __init__(self, conversions: DataFrame, experiment_key: str, stored: bool = False):
-        self.conversions = conversions if stored else materialize(conversions, "conversions")
+        self._copy = None
+        if not stored:
+            conversions, self._copy = materialize(conversions, "conversions")
+        self.conversions = conversions
         self.experiment_key = experiment_key
 
+    def close(self) -> None:
+        if self._copy:
+            discard(self.conversions.sparkSession, self._copy)
+            self._copy = None
+
+    def __enter__(self) -> DashboardSession:
+        return self
+
+    def __exit__(self, *exc: object) -> None:
+        self.close()
+
     def view(self, countries: Sequence[str] | None = None,
              devices: Sequence[str] | None = None,
              segment_dimension: str = "country") -> SliceView:

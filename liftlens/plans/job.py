@@ -20,15 +20,9 @@ from liftlens.operators.inference import experiment_report, summary_enriched
 from liftlens.operators.metrics import daily_metrics, summary_metrics
 from liftlens.operators.quality import quality_checks, raise_on_failure
 from liftlens.operators.staging import stage_events
-from liftlens.schema import CONVERSION_COLUMNS, EXPOSURE_COLUMNS, STAGED_COLUMNS
+from liftlens.schema import CHECKOUT_EVENT, EXPOSURE_EVENT
 from liftlens.sources.tables import read_table, write_csv, write_table
 
-# Storage layout: staged events are partitioned by event name (every later
-# step reads two event names only, so the others are pruned at listing time);
-# conversions by experiment (slices read one experiment).
-STAGED_PARTITIONS = ("event_name",)
-CONVERSION_PARTITIONS = ("experiment_key",)
-
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -40,12 +34,11 @@ class Warehouse:
 
 
 def open_warehouse(spark: SparkSession, warehouse_dir: str) -> Warehouse:
-    """Scan the five stored tables (columns in their canonical order)."""
+    """Scan the five stored tables."""
     return Warehouse(
-        staged=read_table(spark, warehouse_dir, "stg_events").select(*STAGED_COLUMNS),
+        staged=read_table(spark, warehouse_dir, "stg_events"),
         exposures=read_table(spark, warehouse_dir, "experiment_exposures"),
-        conversions=read_table(spark, warehouse_dir, "experiment_conversions")
-        .select(*CONVERSION_COLUMNS),
+        conversions=read_table(spark, warehouse_dir, "experiment_conversions"),
         daily=read_table(spark, warehouse_dir, "experiment_metrics_daily"),
         summary=read_table(spark, warehouse_dir, "experiment_metrics_summary"),
     )
@@ -54,18 +47,21 @@ def open_warehouse(spark: SparkSession, warehouse_dir: str) -> Warehouse:
 def build_warehouse(raw_events: DataFrame, warehouse_dir: str,
                     config: ExperimentConfig = DEFAULT_CONFIG) -> Warehouse:
     """Build the five tables in dependency order, each from the stored previous one."""
-    spark = raw_events.sparkSession
-    write_table(stage_events(raw_events), warehouse_dir, "stg_events", STAGED_PARTITIONS)
-    staged = read_table(spark, warehouse_dir, "stg_events").select(*STAGED_COLUMNS)
+    write_table(stage_events(raw_events), warehouse_dir, "stg_events")
+    return build_from_staged(raw_events.sparkSession, warehouse_dir, config)
 
-    write_table(first_exposures(staged), warehouse_dir, "experiment_exposures")
-    exposures = read_table(spark, warehouse_dir, "experiment_exposures").select(*EXPOSURE_COLUMNS)
 
-    write_table(attribute_conversions(exposures, staged, config.lookback_days, config),
-                warehouse_dir, "experiment_conversions", CONVERSION_PARTITIONS)
-    conversions = read_table(spark, warehouse_dir, "experiment_conversions")
-    conversions = conversions.select(*CONVERSION_COLUMNS)
+def build_from_staged(spark: SparkSession, warehouse_dir: str,
+                      config: ExperimentConfig = DEFAULT_CONFIG) -> Warehouse:
+    """Build the four tables after the stored staging (by ``build_warehouse`` or by the stream)."""
+    def staged(event: str) -> DataFrame:
+        return read_table(spark, warehouse_dir, "stg_events", only=[event])
 
+    write_table(first_exposures(staged(EXPOSURE_EVENT)), warehouse_dir, "experiment_exposures")
+    exposures = read_table(spark, warehouse_dir, "experiment_exposures")
+    write_table(attribute_conversions(exposures, staged(CHECKOUT_EVENT), config.lookback_days,
+                                      config), warehouse_dir, "experiment_conversions")
+    conversions = read_table(spark, warehouse_dir, "experiment_conversions")
     write_table(daily_metrics(conversions), warehouse_dir, "experiment_metrics_daily")
     write_table(summary_metrics(conversions), warehouse_dir, "experiment_metrics_summary")
     return open_warehouse(spark, warehouse_dir)

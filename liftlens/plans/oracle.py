@@ -13,16 +13,15 @@ from liftlens.plans.catalog import (
 )
 
 
-# Revenue totals are summed exactly in integer cents (attributed revenue has
-# 2 decimals) and converted to double once, as the Spark metrics do.
-REV = "(CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS DOUBLE) / 100.0)"
+# ROUND(SUM(revenue), 2) and its relatives, with the sum over DECIMAL so that it is the sum.
+REV = "CAST(sum(CAST(revenue AS DECIMAL(38, 6))) AS DOUBLE)"
 
 
 def _in_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-def _chain(lookback_days: int = 7) -> str:
+def _chain(lookback_days: int = 7, revenue: str = "revenue") -> str:
     """CTEs: stg_events, experiment_exposures, checkouts, experiment_conversions,
     variant_metrics, experiment_metrics_summary."""
     return f"""
@@ -65,14 +64,14 @@ experiment_exposures AS (
     ORDER BY event_ts ASC NULLS LAST, event_id ASC NULLS LAST) = 1
 ),
 checkouts AS (
-  SELECT user_id, event_ts AS conversion_ts, COALESCE(revenue, 0.0) AS revenue
+  SELECT user_id, event_ts AS conversion_ts, COALESCE({revenue}, 0.0) AS revenue
   FROM stg_events
   WHERE event_name = 'checkout_completed'
 ),
 experiment_conversions AS (
   SELECT e.experiment_key, e.user_id, e.variant, e.country, e.device_type, e.exposure_ts,
          min(c.conversion_ts) AS conversion_ts,
-         round(COALESCE(sum(c.revenue), 0.0), 2) AS revenue
+         round(COALESCE(CAST(sum(CAST(c.revenue AS DECIMAL(38, 6))) AS DOUBLE), 0.0), 2) AS revenue
   FROM experiment_exposures AS e
   LEFT JOIN checkouts AS c
     ON c.user_id = e.user_id
@@ -103,8 +102,8 @@ experiment_metrics_summary AS (
 )"""
 
 
-def _with(*extra: str, lookback_days: int = 7) -> str:
-    parts = [_chain(lookback_days)] + list(extra)
+def _with(*extra: str, lookback_days: int = 7, revenue: str = "revenue") -> str:
+    parts = [_chain(lookback_days, revenue)] + list(extra)
     return "WITH " + ",\n".join(parts) + "\n"
 
 
@@ -251,20 +250,22 @@ def _summary_snapshot(countries=None, devices=None) -> str:
         + _snapshot_select(f"'{SLICE_EXPERIMENT}'"))
 
 
-_EXPOSURE_COLS = "e.experiment_key, e.user_id, e.variant, e.country, e.device_type, e.exposure_ts"
-
 ORACLE_SQL: dict[str, str] = {
     "staged_events": _with() + "SELECT * FROM stg_events",
     "ndjson_events": _with() + "SELECT * FROM stg_events",
     "first_exposures": _with() + "SELECT * FROM experiment_exposures",
     "checkout_events": _with() + "SELECT * FROM checkouts",
-    "exposure_checkout_pairs": _with() + f"""
-SELECT {_EXPOSURE_COLS}, c.conversion_ts, c.revenue
+    "window_checkouts": _with() + """
+SELECT e.experiment_key, e.user_id, count(*) AS checkouts, min(c.conversion_ts) AS first_ts,
+       max(c.conversion_ts) AS last_ts
 FROM experiment_exposures AS e
-LEFT JOIN checkouts AS c
+JOIN checkouts AS c
   ON c.user_id = e.user_id
  AND c.conversion_ts >= e.exposure_ts
- AND c.conversion_ts < e.exposure_ts + INTERVAL 7 DAY""",
+ AND c.conversion_ts < e.exposure_ts + INTERVAL 7 DAY
+GROUP BY ALL""",
+    "conversions_subcent": _with(revenue="round(revenue * 1.005, 3)")
+    + "SELECT * FROM experiment_conversions",
     "conversions_7d": _with() + "SELECT * FROM experiment_conversions",
     "conversions_1d": _with(lookback_days=1) + "SELECT * FROM experiment_conversions",
     "daily_metrics": _with() + f"""

@@ -22,10 +22,43 @@ RAW_EVENTS = T.StructType([
 STAGED_TYPES = {f.name: f.dataType for f in RAW_EVENTS.fields}
 STAGED_COLUMNS = [f.name for f in RAW_EVENTS.fields]
 
-EXPOSURE_COLUMNS = [
-    "experiment_key", "user_id", "variant", "country", "device_type", "exposure_ts",
+# The same columns as text: values of a JSON line as they are written.
+RAW_TEXT_EVENTS = T.StructType([T.StructField(c, T.StringType()) for c in STAGED_COLUMNS])
+
+# Stored tables, as declared when they are read back.
+EXPOSURES = T.StructType([
+    *[T.StructField(c, T.StringType())
+      for c in ("experiment_key", "user_id", "variant", "country", "device_type")],
+    T.StructField("exposure_ts", T.TimestampNTZType()),
+])
+CONVERSIONS = T.StructType([
+    *EXPOSURES.fields,
+    T.StructField("conversion_ts", T.TimestampNTZType()),
+    T.StructField("revenue", T.DoubleType()),
+])
+_METRICS = [
+    T.StructField("exposed_users", T.LongType()),
+    T.StructField("converters", T.LongType()),
+    T.StructField("conversion_rate", T.DoubleType()),
+    T.StructField("total_revenue", T.DoubleType()),
+    T.StructField("revenue_per_user", T.DoubleType()),
 ]
-CONVERSION_COLUMNS = EXPOSURE_COLUMNS + ["conversion_ts", "revenue"]
+DAILY = T.StructType([
+    T.StructField("experiment_key", T.StringType()),
+    T.StructField("exposure_date", T.DateType()),
+    T.StructField("variant", T.StringType()),
+    *_METRICS,
+])
+SUMMARY = T.StructType([
+    T.StructField("experiment_key", T.StringType()),
+    T.StructField("variant", T.StringType()),
+    *_METRICS,
+    *[T.StructField(c, T.DoubleType())
+      for c in ("absolute_lift", "relative_lift_pct", "rpu_lift")],
+])
+
+EXPOSURE_COLUMNS = EXPOSURES.fieldNames()
+CONVERSION_COLUMNS = CONVERSIONS.fieldNames()
 
 # Event names the queries read.
 EXPOSURE_EVENT = "experiment_exposure"

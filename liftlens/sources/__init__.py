@@ -4,7 +4,7 @@ from liftlens.sources.events import (
     canonical_events,
     driver_events,
     read_ndjson_events,
-    ndjson_round_trip,
+    events_as_text,
 )
 from liftlens.sources.tables import (
     WAREHOUSE_TABLES,
@@ -14,6 +14,6 @@ from liftlens.sources.tables import (
 )
 
 __all__ = [
-    "canonical_events", "driver_events", "read_ndjson_events", "ndjson_round_trip",
+    "canonical_events", "driver_events", "read_ndjson_events", "events_as_text",
     "WAREHOUSE_TABLES", "read_table", "write_table", "write_csv",
 ]

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftlens.schema import RAW_EVENTS, STAGED_COLUMNS
+from liftlens.schema import (
+    CHECKOUT_EVENT, EXPOSURE_EVENT, RAW_TEXT_EVENTS, STAGED_COLUMNS,
+)
 
 # Text layout of timestamps written to JSON: ISO date, space, time with
 # microseconds. Reading uses Spark's default parser, which accepts this and
@@ -24,7 +26,6 @@ EVENT_NAME_MAP = {
     "view": "page_view",
     "click": "app_open",
 }
-PURCHASE_TYPE = "purchase"
 COMPLETED_BELOW_K = 20          # purchases with k < 20 are completed checkouts
 EXPERIMENT_BELOW_K = 95         # signups with k < 95 carry an experiment key
 VARIANT_NULL_FROM_K = 90        # signups with 90 <= k < 95 carry no variant
@@ -34,12 +35,13 @@ DEVICES = ("mobile", "desktop", "tablet")
 
 
 def read_ndjson_events(spark: SparkSession, path: str) -> DataFrame:
-    """Scan newline-delimited JSON events with the declared raw schema.
+    """Scan newline-delimited JSON events; every value is read as text.
 
-    FAILFAST makes a malformed line or an unparsable timestamp fail the read,
-    as a failed cast would, instead of silently turning into NULLs.
+    Staging casts the text (quoted numbers and zone suffixes included), and a
+    value that cannot be cast fails there. FAILFAST makes a malformed line
+    fail the read.
     """
-    return spark.read.schema(RAW_EVENTS).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(RAW_TEXT_EVENTS).option("mode", "FAILFAST").json(path)
 
 
 def _sql_str(v: str) -> str:
@@ -57,7 +59,8 @@ def canonical_events(events: DataFrame) -> DataFrame:
     Expressed as SQL text in one projection: a single call builds the whole
     mapping (the Column API would take hundreds of driver round trips).
     """
-    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    k = "_k"
+    events = events.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS _k")
     completed = f"(event_type = 'purchase' AND {k} < {COMPLETED_BELOW_K})"
     renames = " ".join(f"WHEN event_type = {_sql_str(a)} THEN {_sql_str(b)}"
                        for a, b in EVENT_NAME_MAP.items())
@@ -81,18 +84,42 @@ def canonical_events(events: DataFrame) -> DataFrame:
     )
 
 
-def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw product events derived from ``<sf_dir>/events.parquet``."""
-    return canonical_events(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+# Event types of the benchmark table that can become an event of this name.
+_TYPES_OF = {EXPOSURE_EVENT: ("signup", EXPOSURE_EVENT), CHECKOUT_EVENT: ("purchase", CHECKOUT_EVENT)}
 
 
-def ndjson_round_trip(events: DataFrame) -> DataFrame:
-    """Serialise each event to a JSON line and parse it back with the raw schema.
+def driver_events(spark: SparkSession, sf_dir: str, name: str | None = None) -> DataFrame:
+    """Raw product events derived from ``<sf_dir>/events.parquet``.
 
-    Exercises the JSON text path of the reader inside one distributed plan;
-    the file-based path is ``read_ndjson_events``.
+    With ``name`` only the rows that can become events of that name: a plain
+    predicate on ``event_type``, which the Parquet scan takes.
     """
-    line = F.to_json(F.struct(*[F.col(c) for c in STAGED_COLUMNS]),
-                     {"timestampNTZFormat": JSON_TIMESTAMP_FORMAT})
-    parsed = F.from_json(line, RAW_EVENTS, {"mode": "FAILFAST"})
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    if name is not None:
+        events = events.where(F.col("event_type").isin(*_TYPES_OF[name]))
+    return canonical_events(events)
+
+
+def events_as_text(events: DataFrame) -> DataFrame:
+    """Each event as a JSON line parsed back to text columns.
+
+    The lines mix the notations of a product log: every third time has the
+    suffix Z, every third an offset of two hours, and every second revenue is
+    in quotes.
+    """
+    n = "pmod(xxhash64(event_id), 6)"
+    at = f"date_format(event_ts, '{JSON_TIMESTAMP_FORMAT}')"
+    later = f"date_format(event_ts + INTERVAL 2 HOURS, '{JSON_TIMESTAMP_FORMAT}')"
+    time = (f"CASE pmod({n}, 3) WHEN 0 THEN {at} "
+            f"WHEN 1 THEN concat(replace({at}, ' ', 'T'), 'Z') "
+            f"ELSE concat({later}, '+02:00') END")
+    quoted = f"to_json(named_struct('revenue', CASE WHEN pmod({n}, 2) = 0 THEN string(revenue) END))"
+    plain = f"to_json(named_struct('revenue', CASE WHEN pmod({n}, 2) = 1 THEN revenue END))"
+    rest = [c for c in STAGED_COLUMNS if c not in ("event_ts", "revenue")]
+    fields = ", ".join(f"'{c}', {c}" for c in rest)
+    body = f"to_json(named_struct({fields}, 'event_ts', {time}))"
+    money = f"CASE WHEN pmod({n}, 2) = 0 THEN {quoted} ELSE {plain} END"
+    line = (f"concat(substring({body}, 1, length({body}) - 1), CASE WHEN revenue IS NULL THEN '' "
+            f"ELSE concat(',', substring({money}, 2, length({money}) - 2)) END, '}}')")
+    parsed = F.from_json(F.expr(line), RAW_TEXT_EVENTS, {"mode": "FAILFAST"})
     return events.select(parsed.alias("e")).select("e.*")

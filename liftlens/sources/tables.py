@@ -4,35 +4,72 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# The five warehouse tables, in build order.
-WAREHOUSE_TABLES = (
-    "stg_events",
-    "experiment_exposures",
-    "experiment_conversions",
-    "experiment_metrics_daily",
-    "experiment_metrics_summary",
-)
+from liftlens.schema import CONVERSIONS, DAILY, EXPOSURES, RAW_EVENTS, SUMMARY
+
+# The five warehouse tables, in build order, with their declared schemas: the
+# types of stored values are never inferred.
+SCHEMAS = {
+    "stg_events": RAW_EVENTS,
+    "experiment_exposures": EXPOSURES,
+    "experiment_conversions": CONVERSIONS,
+    "experiment_metrics_daily": DAILY,
+    "experiment_metrics_summary": SUMMARY,
+}
+WAREHOUSE_TABLES = tuple(SCHEMAS)
+
+# Storage layout: staged events by event name (later steps read two of them),
+# conversions by experiment (slices read one). The column itself stays in the
+# files; the folder is named by a hash of it, which any key survives: '', '007',
+# a date, or a key with '/' and '='.
+PARTITIONED_BY = {"stg_events": "event_name", "experiment_conversions": "experiment_key"}
+_PARTITION = "part"
 
 
 def table_path(warehouse_dir: str, name: str) -> str:
     return f"{warehouse_dir.rstrip('/')}/{name}"
 
 
-def write_table(df: DataFrame, warehouse_dir: str, name: str,
-                partition_by: Sequence[str] = ()) -> None:
-    """Replace a warehouse table whole (Parquet, overwrite)."""
+def partition_of(value: Column) -> Column:
+    """Folder name of a partition value (two values may share a folder)."""
+    return F.concat(F.lit("p"), F.lower(F.hex(F.xxhash64(value))))
+
+
+def write_table(df: DataFrame, warehouse_dir: str, name: str) -> None:
+    """Replace a warehouse table whole (Parquet, overwrite).
+
+    A partitioned table is rebalanced by its partition first: adaptive
+    execution then merges small partitions and splits large ones, so files
+    are neither many nor huge.
+    """
+    df = df.select(*SCHEMAS[name].fieldNames())
+    column = PARTITIONED_BY.get(name)
+    if column:
+        df = df.withColumn(_PARTITION, partition_of(F.col(column))).hint("rebalance", _PARTITION)
     writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if column:
+        writer = writer.partitionBy(_PARTITION)
     writer.parquet(table_path(warehouse_dir, name))
 
 
-def read_table(spark: SparkSession, warehouse_dir: str, name: str) -> DataFrame:
-    """Scan a stored warehouse table (full row)."""
-    return spark.read.parquet(table_path(warehouse_dir, name))
+def read_table(spark: SparkSession, warehouse_dir: str, name: str,
+               only: Sequence[str] | None = None) -> DataFrame:
+    """Scan a stored warehouse table with its declared schema.
+
+    ``only``: values of the partition column to keep; other folders are not read.
+    """
+    schema, column = SCHEMAS[name], PARTITIONED_BY.get(name)
+    stored = T.StructType([*schema.fields, T.StructField(_PARTITION, T.StringType())])
+    rows = spark.read.schema(stored if column else schema).parquet(table_path(warehouse_dir, name))
+    if only is not None and column:
+        keep = F.lit(False)
+        for value in only:
+            keep |= (F.col(_PARTITION) == partition_of(F.lit(value))) & (F.col(column) == value)
+        rows = rows.where(keep)
+    return rows.select(*schema.fieldNames())
 
 
 def write_csv(df: DataFrame, path: str, order_by: Sequence[str]) -> None:

@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, checkout, exposure, ts
-from liftlens.operators import stage_events
+from liftlens.operators import filtered_summary, stage_events
 from liftlens.operators.quality import DataQualityError
-from liftlens.plans.job import build_warehouse, export_reports, open_warehouse, run_all, run_quality
+from liftlens.plans.job import (
+    build_from_staged, build_warehouse, export_reports, open_warehouse, run_all, run_quality,
+)
 from liftlens.plans.chain import build_tables
 from liftlens.schema import STAGED_COLUMNS
 from liftlens.sources import driver_events, read_ndjson_events, read_table
@@ -64,20 +66,42 @@ def test_ndjson_bad_timestamp_fails(spark, tmp_path):
     bad = dict(RECORDS[0], event_ts="not a time")
     _write_ndjson(path, [bad])
     with pytest.raises(Exception):
-        read_ndjson_events(spark, path).collect()
+        stage_events(read_ndjson_events(spark, path)).collect()
+
+
+def test_ndjson_zones_and_quoted_numbers(spark, tmp_path):
+    path = str(tmp_path / "zones")
+    times = ["2026-01-05T09:00:00Z", "2026-01-05T09:00:00+02:00", "2026-01-05 09:00:00",
+             "2026-01-05T09:00:00.5-0130", "2026-01-05"]
+    _write_ndjson(path, [dict(RECORDS[1], event_id=f"z{i}", event_ts=t, revenue="12.5")
+                         for i, t in enumerate(times)])
+    rows = sorted(stage_events(read_ndjson_events(spark, path)).collect())
+    assert [str(r.event_ts) for r in rows] == [
+        "2026-01-05 09:00:00", "2026-01-05 07:00:00", "2026-01-05 09:00:00",
+        "2026-01-05 10:30:00.500000", "2026-01-05 00:00:00"]
+    assert {r.revenue for r in rows} == {12.5}
+
+
+@pytest.mark.parametrize("revenue", ["NaN", "Infinity", "twelve"])
+def test_revenue_that_is_no_number_fails_in_staging(spark, tmp_path, revenue):
+    path = str(tmp_path / "nan")
+    _write_ndjson(path, [dict(RECORDS[1], revenue=revenue)])
+    with pytest.raises(Exception):
+        stage_events(read_ndjson_events(spark, path)).collect()
 
 
 def test_streaming_staging_matches_batch(spark, tmp_path):
     src = str(tmp_path / "incoming")
     _write_ndjson(src, RECORDS)
-    out, ckpt = str(tmp_path / "stg"), str(tmp_path / "ckpt")
-    q = write_staged_stream(stage_event_stream(spark, src), out, ckpt)
+    wh, ckpt = str(tmp_path / "wh"), str(tmp_path / "ckpt")
+    out = f"{wh}/stg_events"
+    q = write_staged_stream(stage_event_stream(spark, src), wh, ckpt)
     q.awaitTermination(120)
     batch = stage_events(read_ndjson_events(spark, src))
     streamed = spark.read.parquet(out).select(*STAGED_COLUMNS)
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
     # a second run over the same files appends nothing
-    q2 = write_staged_stream(stage_event_stream(spark, src), out, ckpt)
+    q2 = write_staged_stream(stage_event_stream(spark, src), wh, ckpt)
     q2.awaitTermination(120)
     assert spark.read.parquet(out).count() == len(RECORDS)
     # a new file is picked up once, on the next run
@@ -85,10 +109,14 @@ def test_streaming_staging_matches_batch(spark, tmp_path):
     with open(os.path.join(src, "events-2.jsonl"), "w") as fh:
         for rec in more:
             fh.write(json.dumps(rec) + "\n")
-    q3 = write_staged_stream(stage_event_stream(spark, src), out, ckpt)
+    q3 = write_staged_stream(stage_event_stream(spark, src), wh, ckpt)
     q3.awaitTermination(120)
     ids = sorted(r.event_id for r in spark.read.parquet(out).select("event_id").collect())
     assert ids == sorted([r["event_id"] for r in RECORDS] + [r["event_id"] for r in more])
+    # the warehouse goes on from the stream's table
+    built = build_from_staged(spark, wh)
+    lazy = build_tables(read_ndjson_events(spark, src))
+    assert sorted(map(tuple, built.summary.collect())) == sorted(map(tuple, lazy.summary.collect()))
 
 
 def test_run_all_end_to_end(spark, tmp_path):
@@ -124,8 +152,40 @@ def test_run_all_fails_after_writing_reports(raw, tmp_path):
 def test_build_warehouse_partitions(spark, tmp_path):
     wh = str(tmp_path / "wh")
     build_warehouse(driver_events(spark, SF001), wh)
-    assert os.path.isdir(f"{wh}/stg_events/event_name=checkout_completed")
-    assert os.path.isdir(f"{wh}/experiment_conversions/experiment_key=exp_0")
+    conversions = read_table(spark, wh, "experiment_conversions", only=["exp_0"])
+    plan = conversions._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+    assert {r[0] for r in conversions.select("experiment_key").distinct().collect()} == {"exp_0"}
+
+
+def test_stored_tables_keep_odd_experiment_keys(spark, raw, tmp_path):
+    keys = ["7", "007", "2026-01-01", "", "a/b=c", "exp 1", "ünï"]
+    rows = []
+    for n, key in enumerate(keys):
+        for u in range(4):
+            user = f"u{n}_{u}"
+            rows.append(exposure(f"e{user}", user, key, "control" if u % 2 else "treatment", ts()))
+            if (u + n) % 2:
+                rows.append(checkout(f"c{user}", user, ts(hours=3), 1.255 * (n + 1)))
+    df, wh = raw(rows), str(tmp_path / "wh")
+    stored, lazy = build_warehouse(df, wh), build_tables(df)
+    for name in ("exposures", "conversions", "daily", "summary"):
+        assert getattr(stored, name).schema == getattr(lazy, name).schema or name != "conversions"
+        assert sorted(map(str, getattr(stored, name).collect())) == sorted(
+            map(str, getattr(lazy, name).collect())), name
+    assert {r.experiment_key for r in stored.summary.collect()} == set(keys)
+    assert filtered_summary(stored.conversions, "abc").collect() == []
+    assert read_table(spark, wh, "experiment_conversions", only=["007"]).count() == 4
+
+
+def test_partitioned_writes_make_few_files(spark, raw, tmp_path):
+    rows = [exposure(f"e{k}_{u}", f"u{u}", f"k{k}", "control" if u % 2 else "treatment", ts())
+            for k in range(200) for u in range(6)]
+    wh = str(tmp_path / "wh")
+    build_warehouse(raw(rows).repartition(8), wh)
+    files = [f for _, _, names in os.walk(f"{wh}/experiment_conversions") for f in names
+             if f.endswith(".parquet")]
+    assert 200 <= len(files) <= 300
 
 
 def test_checkpoint_dir_is_read_from_session(spark):
@@ -138,16 +198,18 @@ def test_dashboard_session_materializes_under_checkpoint_dir(spark):
     t = build_tables(driver_events(spark, SF001))
     dash = DashboardSession(t.conversions, "exp_1")
     files = dash.conversions.inputFiles()
+    folder = dash._copy
     assert files and all(spark.conf.get("spark.checkpoint.dir").rstrip("/") in f for f in files)
     full, part = dash.view(), dash.view(["IN", "US", "DE"], ["mobile", "desktop"])
     lazy = build_tables(driver_events(spark, SF001)).conversions
-    from liftlens.operators import filtered_summary
     assert sorted(map(tuple, full.summary.collect())) == sorted(
         map(tuple, filtered_summary(lazy, "exp_1").collect()))
     assert part.snapshot.count() == 1 and full.snapshot.count() == 1
     n_full = full.summary.agg(F.sum("exposed_users")).first()[0]
     n_seg = full.segments.agg(F.sum("exposed_users")).first()[0]
     assert n_full == n_seg
+    dash.close()
+    assert not os.path.exists(folder.removeprefix("file:"))
 
 
 def test_ndjson_path_equals_parquet_path(spark, tmp_path):
@@ -169,19 +231,19 @@ def test_cli_run_all_and_quality_exit_code(spark, tmp_path, capsys):
     from liftlens.cli import main
     wh, rep = str(tmp_path / "wh"), str(tmp_path / "rep")
     assert main(["run-all", "--tables", SF001, "--warehouse", wh, "--reports", rep], spark) == 0
-    assert "All data quality checks passed." in capsys.readouterr().out
+    assert "every check passed" in capsys.readouterr().out
     path = str(tmp_path / "one_variant")
     _write_ndjson(path, RECORDS[:2])
     wh2 = str(tmp_path / "wh2")
     assert main(["build", "--events", path, "--warehouse", wh2], spark) == 0
     assert main(["quality", "--warehouse", wh2], spark) == 1
-    assert "FAILED: expected both control and treatment variants" in capsys.readouterr().out
+    assert "check failed: expected both control and treatment variants" in capsys.readouterr().out
 
 
 def test_materialize_cuts_lineage(spark):
     from liftlens.config import materialize
     t = build_tables(driver_events(spark, SF001))
-    stored = materialize(t.conversions, "lineage-test")
+    stored, _ = materialize(t.conversions, "lineage-test")
     plan = stored._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Window" not in plan and "Aggregate" not in plan
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, t.conversions.collect()))

@@ -1,24 +1,49 @@
-"""The salted exposure-checkout join gives exactly the unsalted result."""
+"""Attribution does not depend on how rows are partitioned or a hot key is split."""
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-import liftlens.operators.conversions as conversions_mod
-
 from conftest import SF01, checkout, exposure, ts
-from liftlens.config import ExperimentConfig
-from liftlens.operators import attribute_conversions, exposure_checkout_pairs, hot_users
-from liftlens.operators.conversions import checkout_events
+from liftlens.operators import attribute_conversions, window_checkouts
 from liftlens.plans.chain import build_tables
-from liftlens.sources import driver_events
-
-SPLIT_ALL = ExperimentConfig(rows_per_split=1, max_hot_users=100_000)
-NO_SPLIT = ExperimentConfig(rows_per_split=10**12)
+from liftlens.sources.events import canonical_events
+
+# every shuffle partition of more than a few rows counts as skewed and is split
+SPLIT_ALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+}
+LAYOUTS = [
+    {"spark.sql.shuffle.partitions": "3"},
+    {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.enabled": "false"},
+    {"spark.sql.autoBroadcastJoinThreshold": "-1",
+     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"},
+    SPLIT_ALL,
+]
+
+
+@contextlib.contextmanager
+def settings(spark, values):
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def _rows(df):
@@ -59,75 +84,51 @@ def _brute_force(rows, lookback_days=7):
     return out
 
 
-@pytest.mark.parametrize("chunk", [7, 10_000])
-def test_hot_user_is_split_and_exact(raw, monkeypatch, chunk):
-    monkeypatch.setattr(conversions_mod, "COPIES_PER_CHUNK", chunk)
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_hot_user_is_exact(spark, raw, layout):
     rows = _hot_fixture()
-    df = raw(rows)
-    t = build_tables(df)
-    cfg = ExperimentConfig(rows_per_split=50, max_hot_users=5)
-    instants = checkout_events(t.staged).groupBy("user_id", "conversion_ts").agg(
-        F.sum("revenue").alias("revenue"))
-    hot = {r.user_id: r._splits for r in hot_users(instants, cfg).collect()}
-    assert set(hot) == {"hot"} and hot["hot"] >= 2
-
-    split = _rows(attribute_conversions(t.exposures, t.staged, 7, cfg))
-    plain = _rows(attribute_conversions(t.exposures, t.staged, 7, NO_SPLIT))
-    assert split == plain
     expected = _brute_force(rows)
-    got = {(r[0], r[1]): (r[6], r[7]) for r in split}
-    assert got == {k: v[:2] for k, v in expected.items()}
-
-    pairs = exposure_checkout_pairs(t.exposures, t.staged, 7, cfg)
-    counts = {}
-    for r in pairs.collect():
-        counts[(r.experiment_key, r.user_id)] = counts.get((r.experiment_key, r.user_id), 0) + (
-            r.conversion_ts is not None)
-    assert counts == {k: v[2] for k, v in expected.items()}
-    unmatched = pairs.where(F.col("conversion_ts").isNull()).count()
-    assert unmatched == sum(1 for v in expected.values() if v[2] == 0)
-    assert pairs.count() == sum(max(1, v[2]) for v in expected.values())
-    revenue = {}
-    for r in pairs.where(F.col("conversion_ts").isNotNull()).collect():
-        key = (r.experiment_key, r.user_id)
-        revenue[key] = revenue.get(key, 0.0) + r.revenue
-    assert {k: round(v, 2) for k, v in revenue.items()} == {
-        k: v[1] for k, v in expected.items() if v[2] > 0}
-
-
-def test_hot_table_is_bounded(raw):
-    rows = _hot_fixture()
-    t = build_tables(raw(rows))
-    checkouts = checkout_events(t.staged)
-    for k in (1, 2, 3, 10):
-        cfg = ExperimentConfig(rows_per_split=1, max_hot_users=k)
-        assert hot_users(checkouts, cfg).count() <= k
-
-
-def test_split_everything_on_driver_data(spark):
-    t = build_tables(driver_events(spark, SF01))
-    split = _rows(attribute_conversions(t.exposures, t.staged, 7, SPLIT_ALL))
-    plain = _rows(attribute_conversions(t.exposures, t.staged, 7, NO_SPLIT))
-    assert len(split) == 442
-    assert split == plain
-
-
-def test_third_of_rows_on_one_user_is_spread(spark):
-    """A third of the benchmark events re-keyed to one user (derived in Spark)."""
-    from liftlens.operators.conversions import _checkout_instants, _salted_sides
-    from liftlens.sources.events import canonical_events
+    with settings(spark, layout):
+        t = build_tables(raw(rows).repartition(7))
+        got = {(r[0], r[1]): (r[6], r[7]) for r in t.conversions.collect()}
+        assert got == {k: v[:2] for k, v in expected.items()}
+        counts = {(r.experiment_key, r.user_id): r.checkouts
+                  for r in window_checkouts(t.exposures, t.staged).collect()}
+        assert counts == {k: v[2] for k, v in expected.items() if v[2]}
+
+
+@pytest.mark.parametrize("lookback", [0, 1, 7, 30])
+def test_sub_cent_revenue_is_the_same_in_every_layout(spark, lookback):
+    """Three-decimal revenue, a third of the events on one user: the last cent stays put."""
     events = spark.read.parquet(f"{SF01}/events.parquet").withColumn(
-        "user_id", F.expr("CASE WHEN pmod(event_id, 3) = 0 THEN 0 ELSE user_id END"))
-    t = build_tables(canonical_events(events))
-    cfg = ExperimentConfig(rows_per_split=20, max_hot_users=1000)
-    instants = _checkout_instants(checkout_events(t.staged))
-    hot = {r.user_id: r._splits for r in hot_users(instants, cfg).collect()}
-    assert hot.get("0", 0) >= 5
-    _, right = _salted_sides(t.exposures, instants, hot_users(instants, cfg), ["conversion_ts"])
-    per_bucket = right.groupBy("_c_user_id", "_c_salt").count()
-    hot_rows = instants.where("user_id = '0'").count()
-    biggest = per_bucket.agg(F.max("count")).first()[0]
-    assert biggest <= 2 * 20 < hot_rows
-    split = _rows(attribute_conversions(t.exposures, t.staged, 7, cfg))
-    plain = _rows(attribute_conversions(t.exposures, t.staged, 7, NO_SPLIT))
-    assert split == plain
+        "user_id", F.expr("CASE WHEN pmod(event_id, 3) = 0 THEN 0 ELSE user_id END")).withColumn(
+        "value", F.expr("round(value * 1.005D, 3)"))
+    results = []
+    for layout in LAYOUTS:
+        with settings(spark, layout):
+            t = build_tables(canonical_events(events))
+            results.append(_rows(attribute_conversions(t.exposures, t.staged, lookback)))
+    assert all(r == results[0] for r in results)
+    converted = [r for r in results[0] if r[6] is not None]
+    assert len(converted) > 10 if lookback else not converted
+
+
+def test_a_hot_key_is_split_by_adaptive_execution(spark):
+    """Nothing above the join needs a key in one place, so skewed partitions may be split."""
+    with settings(spark, {**SPLIT_ALL, "spark.sql.shuffle.partitions": "4"}):
+        events = spark.read.parquet(f"{SF01}/events.parquet").withColumn(
+            "user_id", F.expr("CASE WHEN pmod(event_id, 3) = 0 THEN 0 ELSE user_id END"))
+        df = build_tables(canonical_events(events.repartition(6)), lookback_days=365).conversions
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exposure_meets_two_bins_only(spark, raw):
+    """A user's checkouts far from the window never reach the residual condition."""
+    rows = [exposure("e", "u", "x", "control", ts())]
+    rows += [checkout(f"c{d}", "u", ts(days=d), 1.0) for d in range(-300, 300, 10)]
+    t = build_tables(raw(rows))
+    plan = t.conversions._jdf.queryExecution().executedPlan().toString()
+    assert "_bin" in plan and "_c_bin" in plan
+    [r] = t.conversions.collect()
+    assert r.revenue == 1.0
