@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import (CHUNK_BYTES, id_remainder, prefix_hash, reduce_rows, span_hash, table,
-                                 text_chunks, word_spans, written)
+from liftlens.llm.common import (CHUNK_BYTES, id_remainder, prefix_hash, reduce_rows, span_hash,
+                                 table, text_chunks, word_spans, written)
 
 DEPTH = 5
 LEAST_SHARE = 2e-6
