@@ -48,8 +48,8 @@ def _bin(ts: str, days: int) -> str:
 def _matches(exposures: DataFrame, checkouts: DataFrame, days: int) -> DataFrame:
     """(exposure key, conversion_ts, revenue) of every checkout inside a window."""
     # The left key is never NULL (a missing user gets one that no checkout has),
-    # so no filter is pushed into the exposures: they stay the same plan as
-    # where they are joined back, and Spark computes them once.
+    # so the join needs no filter on the exposures; where both plans of the
+    # exposures come out equal, Spark reuses their exchange.
     left = exposures.selectExpr(
         *_KEYS, "exposure_ts", "coalesce(concat('u', user_id), '') AS _user",
         f"explode(array(coalesce({_bin('exposure_ts', days)}, 0), "

