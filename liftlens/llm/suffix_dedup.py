@@ -304,8 +304,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
     texts = _distinct_texts(docs, text, length)
     anchors = texts.select("key", "text").mapInArrow(
         _anchor_rows(length), "bucket bigint, key binary, n bigint")
-    shared = (anchors.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
-              .select("bucket"))
+    # What a bucket's rows are joined with is a table and not an aggregate on the
+    # join's own key, so Spark may split the rows of a common bucket.
+    shared = written(anchors.groupBy("bucket").agg(F.sum("n").alias("n"))
+                     .where(F.col("n") > 1).select("bucket"), "shared-anchors")
     by_text = (anchors.select("bucket", "key").join(shared, "bucket")
                .groupBy("key").agg(F.collect_list("bucket").alias("buckets")))
     blocks = written(
@@ -313,9 +315,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
         .mapInArrow(_block_rows(length), "core bigint, span bigint, key binary, n bigint"),
         "repeated-blocks")
 
-    spans = blocks.groupBy("core", "span").agg(F.sum("n").alias("n"), F.min("key").alias("key"))
-    mixed = (spans.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"))
-             .where(F.col("kinds") > 1).select("core"))
+    spans = written(blocks.groupBy("core", "span")
+                    .agg(F.sum("n").alias("n"), F.min("key").alias("key")), "block-spans")
+    mixed = written(spans.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"))
+                    .where(F.col("kinds") > 1).select("core"), "mixed-cores")
     unsettled = (spans.join(mixed, "core")
                  .groupBy("key").agg(F.collect_set("span").alias("spans")))
     starts = written(
@@ -324,8 +327,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
         "repeated-starts")
 
     settled = spans.where(F.col("n") > 1).select("core", "span")
-    repeated = (starts.groupBy("core", "last").agg(F.sum("n").alias("n"))
-                .where(F.col("n") > 1).select("core", "last"))
+    repeated = written(starts.groupBy("core", "last").agg(F.sum("n").alias("n"))
+                       .where(F.col("n") > 1).select("core", "last"), "repeated-strings")
     nothing = F.lit(None).cast("bigint")
     marks = (blocks.join(settled, ["core", "span"]).select("key", "span", nothing.alias("last"))
              .union(starts.join(repeated, ["core", "last"]).select("key", nothing, "last"))
