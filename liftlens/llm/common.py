@@ -29,13 +29,47 @@ def shared_folder(spark: SparkSession) -> str:
     return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
+#: Folders and catalog tables that this session's operators wrote on the way.
+_FOLDERS: list[str] = []
+_TABLES: list[str] = []
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for one intermediate table."""
+    _FOLDERS.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _FOLDERS[-1]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back: cuts the lineage."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """``df`` as a table in the shared folder, bucketed and sorted by a column."""
+    spark, table_name = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    _TABLES.append(table_name)
+    (df.write.bucketBy(buckets, column).sortBy(column).option("compression", "zstd")
+     .option("path", new_folder(spark, name)).saveAsTable(table_name))
+    return spark.table(table_name)
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this session's operators.
+
+    For when their results are stored: results that are still lazy read them.
+    """
+    for name in _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for path in _FOLDERS:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _TABLES.clear()
+    _FOLDERS.clear()
+
+
 def id_remainder(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo n (NULL key: NULL)."""
     return F.crc32(key.cast("string").cast("binary")) % n

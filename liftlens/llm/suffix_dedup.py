@@ -35,7 +35,6 @@ that share a key or a text are judged each; extra columns are not read.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import (mix, prefix_hash, shared_folder, span_hash, table, text_chunks,
+from liftlens.llm.common import (bucketed, mix, prefix_hash, span_hash, table, text_chunks,
                                  written)
 
 LENGTH = 400
@@ -275,15 +274,12 @@ def _distinct_texts(docs: DataFrame, text: str, length: int) -> DataFrame:
     The buckets are the shuffle partitions of the grouping, so later joins on
     the key move no text.
     """
-    spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"repeated_text_{uuid.uuid4().hex}"
-    (docs.where(F.octet_length(text) >= length)
-     .select(text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
-     .groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-     .write.bucketBy(buckets, "key").sortBy("key").option("compression", "zstd")
-     .option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name))
-    return spark.table(name)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = (docs.where(F.octet_length(text) >= length)
+             .select(text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
+             .groupBy("key").agg(F.first("text").alias("text"),
+                                 F.count(F.lit(1)).alias("copies")))
+    return bucketed(texts, "distinct_texts", "key", buckets)
 
 
 def text_key(text: Column) -> Column:

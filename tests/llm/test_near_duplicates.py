@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 
 import pandas as pd
 import pytest
 
-from liftlens.llm import simhash, suffix_dedup
+from liftlens.llm import common, simhash, suffix_dedup
 from liftlens.llm.components import components
 from tests.llm import brute
 from tests.llm.conftest import odd_rows
@@ -103,3 +104,12 @@ def test_repeats_of_other_lengths(spark, length):
         row = lost.get(whole[:16])
         assert (removed, spans, digest) == (
             (row.n_removed, len(row.spans), row.kept_sha256) if row else (0, 0, whole.hex()))
+
+
+def test_intermediate_tables_can_be_removed(spark, odd_dir):
+    out = suffix_dedup.op5_suffix_dedup(spark, odd_dir).collect()
+    assert common._FOLDERS and common._TABLES and out
+    folders = [f.removeprefix("file:") for f in common._FOLDERS]
+    common.remove_written(spark)
+    assert not any(os.path.exists(f) for f in folders)
+    assert not common._FOLDERS and not common._TABLES
