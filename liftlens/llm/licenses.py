@@ -88,7 +88,7 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str]]):
         self.cue = re.compile(CUES, re.IGNORECASE)
         self.names = [name for name, _ in templates]
-        raw = [wording.encode() for _, wording in templates]
+        raw = [wording.encode().lower() for _, wording in templates]
         self.words = [[w.lower() for w in _WORD.findall(t)] for t in raw]
         options = {"level": 12, "write_content_size": False, "write_checksum": False,
                    "write_dict_id": False}
@@ -100,6 +100,7 @@ class Scanner:
 
     def ranked(self, block: bytes) -> list[tuple[float, int]]:
         """(share of the template's size saved, template), best first."""
+        block = block.lower()
         alone = len(self.plain.compress(block))
         shares = [((alone - len(c.compress(block))) / max(1, whole), i)
                   for i, (c, whole) in enumerate(zip(self.primed, self.whole, strict=True))]
@@ -136,10 +137,14 @@ class Scanner:
         found = []
         for a, b in blocks(text, self.cue):
             for saved, template in self.ranked(text[a:b])[:CONFIRMED]:
-                notice = self.confirmed(text[a:b], template)
-                if notice:
-                    start, end, matched, changes = notice
-                    found.append((matched, a + start, a + end, template, saved, changes))
+                stretches = [(a, b)]  # a template may stand in a block several times
+                while stretches:
+                    s, e = stretches.pop()
+                    notice = self.confirmed(text[s:e], template)
+                    if notice:
+                        start, end, matched, changes = notice
+                        found.append((matched, s + start, s + end, template, saved, changes))
+                        stretches += [(s, s + start), (s + end, e)]
         found.sort(key=lambda n: (-n[0], n[5] != "", n[1], n[3]))
         taken: list[tuple[int, int]] = []
         out = []
