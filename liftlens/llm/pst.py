@@ -273,7 +273,8 @@ def _scored(tree: SuffixTree, words: np.ndarray, logs: np.ndarray):
                     len(text.hashes), bool)
                 n = np.bincount(text.owner, minlength=rows)
                 frequent = np.bincount(text.owner[known], minlength=rows)
-                total = np.bincount(text.owner[known], weights=logs[place[known]], minlength=rows)
+                total = np.bincount(text.owner[known], weights=logs[place[known]], minlength=rows
+                                    ).astype(np.float64)  # integers if there are none
                 h, o = text.hashes[~known], text.owner[~known]
                 order = np.lexsort((h, o))
                 h, o = h[order], o[order]
@@ -284,8 +285,8 @@ def _scored(tree: SuffixTree, words: np.ndarray, logs: np.ndarray):
                 lists = pa.array(np.searchsorted(o[first], np.arange(rows + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays([
                     *[c.slice(a, rows) for c in batch.columns[:-1]],
-                    pa.array(n + 1, pa.int64()), pa.array(frequent, pa.int64()), pa.array(total),
-                    pa.array(score),
+                    pa.array(n + 1, pa.int64()), pa.array(frequent, pa.int64()),
+                    pa.array(total, pa.float64()), pa.array(score, pa.float64()),
                     pa.ListArray.from_arrays(lists, pa.array(h[first].view(np.int64))),
                     pa.ListArray.from_arrays(lists, pa.array(times))],
                     names=[*batch.schema.names[:-1], *_SCORED])
