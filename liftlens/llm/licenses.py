@@ -3,13 +3,15 @@
 Every text is searched for cue words; the words around a cue make a candidate
 block. A block is compressed with zstandard, alone and with each template as a
 raw dictionary. What a template saves, measured against what it would save if
-it stood in the block whole (its own compressed size), ranks the templates.
-The best ones that save at least ``LEAST_SAVED`` are confirmed by wording: the
-template's words are aligned with the block's words (case and punctuation
+it stood in the block whole (its own compressed size), ranks the templates; it
+leaves none out, as notices of like wording in one block take each other's
+savings. Every template of which enough words occur in the block is confirmed
+by wording: its words are aligned with the block's words (case and punctuation
 aside), and the differences inside the aligned stretch are listed exactly. A
 notice is reported if at least ``LEAST_MATCHED`` of the template's words stand
 there in order and no more than the remainder's share is put in between.
-Stretches that overlap go to the template with the most matched words.
+Stretches that overlap go to the template with the most matched words, of
+these to the one that saves most.
 
 Long texts are scanned whole; blocks of neighbouring cues are merged and cut
 into overlapping pieces that hold the longest template.
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,9 +62,7 @@ TEMPLATES = [
 ]
 CUES = rb"licen[cs]e|redistribut|hereby granted|free software"
 
-LEAST_SAVED = 0.25
 LEAST_MATCHED = 0.8
-CONFIRMED = 4  # templates of a block that are aligned, best first
 _BEFORE, _AFTER = 240, 480  # bytes around a cue
 _PIECE = 2_048
 
@@ -90,6 +91,7 @@ class Scanner:
         self.names = [name for name, _ in templates]
         raw = [wording.encode().lower() for _, wording in templates]
         self.words = [[w.lower() for w in _WORD.findall(t)] for t in raw]
+        self.bags = [Counter(w) for w in self.words]
         options = {"level": 12, "write_content_size": False, "write_checksum": False,
                    "write_dict_id": False}
         self.plain = zstandard.ZstdCompressor(**options)
@@ -99,12 +101,21 @@ class Scanner:
                       for t, c in zip(raw, self.primed, strict=True)]
 
     def ranked(self, block: bytes) -> list[tuple[float, int]]:
-        """(share of the template's size saved, template), best first."""
+        """(share of the template's size saved, template), best first.
+
+        Only templates that the wording rule cannot meet are left out: fewer of their
+        words than it asks for occur in the block, in whatever order.
+        """
         block = block.lower()
+        bag = Counter(_WORD.findall(block))
+        possible = [i for i, wanted in enumerate(self.bags)
+                    if (wanted & bag).total() >= LEAST_MATCHED * len(self.words[i])]
+        if not possible:
+            return []
         alone = len(self.plain.compress(block))
-        shares = [((alone - len(c.compress(block))) / max(1, whole), i)
-                  for i, (c, whole) in enumerate(zip(self.primed, self.whole, strict=True))]
-        return sorted((s for s in shares if s[0] >= LEAST_SAVED), key=lambda s: (-s[0], s[1]))
+        shares = [((alone - len(self.primed[i].compress(block))) / max(1, self.whole[i]), i)
+                  for i in possible]
+        return sorted(shares, key=lambda s: (-s[0], s[1]))
 
     def confirmed(self, block: bytes, template: int) -> tuple[int, int, int, str] | None:
         """(start, end, matched words, differences) of the template's stretch of the block."""
@@ -136,7 +147,7 @@ class Scanner:
         """(start, end, license, saved share, matched share, differences) of every notice."""
         found = []
         for a, b in blocks(text, self.cue):
-            for saved, template in self.ranked(text[a:b])[:CONFIRMED]:
+            for saved, template in self.ranked(text[a:b]):
                 stretches = [(a, b)]  # a template may stand in a block several times
                 while stretches:
                     s, e = stretches.pop()
@@ -145,7 +156,7 @@ class Scanner:
                         start, end, matched, changes = notice
                         found.append((matched, s + start, s + end, template, saved, changes))
                         stretches += [(s, s + start), (s + end, e)]
-        found.sort(key=lambda n: (-n[0], n[5] != "", n[1], n[3]))
+        found.sort(key=lambda n: (-n[0], n[5] != "", n[1], -n[4], n[3]))
         taken: list[tuple[int, int]] = []
         out = []
         for matched, start, end, template, saved, changes in found:

@@ -103,6 +103,16 @@ def test_notices_in_documents(spark):
     assert expected > 20 and len(out) == expected
 
 
+def test_every_notice_of_a_crowded_block_is_found():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    wording = {n: w for n, w in reversed(licenses.TEMPLATES)}  # the short ones
+    crowds = [["CC-BY-NC-4.0", "GPL-3.0-only", "MIT"], ["CC-BY-SA-4.0", "MIT", "Apache-2.0"],
+              sorted(wording), sorted(wording, reverse=True)]
+    for names in crowds:
+        found = scanner.scan("\n".join(wording[n] for n in names).encode())
+        assert [(n[2], n[5]) for n in found] == [(n, "") for n in names]
+
+
 def test_license_odd_rows(spark, odd_dir, empty_dir=None):
     assert licenses.op8_licenses(spark, odd_dir).collect() == []
 
