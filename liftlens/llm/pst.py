@@ -2,17 +2,22 @@
 
 The tree predicts the next byte of a text whose words (A-Z lower-cased, split
 at white space) are joined by single spaces and closed by an end symbol. Its
-states are contexts of 0 to ``DEPTH`` symbols. A context is kept if it is not
-rare (``LEAST_SHARE`` of all places, which bounds the states of a depth by
-1 / LEAST_SHARE whatever the corpus) and if its next-symbol counts diverge
-from those of its parent, the context without its oldest symbol: the
-log-likelihood ratio of the two must reach ``DIVERGENCE``; its parent must be
-kept too, so the kept contexts form a tree. A state's
-distribution is smoothed towards that of its longest kept suffix. The 63 most
-frequent bytes of the corpus are symbols; the other bytes share the last one
-evenly. A text's score is the sum of the log10 probabilities that the longest
-kept suffix of each place gives to what follows, so the probabilities of all
-texts (as word sequences) sum to one at most.
+states are contexts of 0 to ``DEPTH`` bytes. A context passes if it occurs
+``LEAST_COUNT`` times and its next-byte counts diverge from those of its parent,
+the context without its oldest byte: the log-likelihood ratio of the two must
+reach ``DIVERGENCE``. Contexts that pass and all their suffixes are kept,
+whatever the size of the corpus, so the kept contexts form a tree. A state's
+distribution is smoothed towards that of its parent. Every byte is a symbol. A
+text's score is the sum of the log10 probabilities that the longest kept suffix
+of each place gives to what follows, so the probabilities of all texts (as word
+sequences) sum to one at most.
+
+The kept contexts are a written table that grows with the corpus. Tasks hold
+the frequent ones (``LEAST_SHARE`` of all places, so 1 / LEAST_SHARE of a depth
+at most) and settle the places whose ``DEPTH`` bytes of context are frequent.
+The other places get the probability of their longest frequent state, and their
+distinct contexts with the next byte meet the rare states in a join, which
+gives what is to be added to the score.
 
 The counts cover all training documents: every task counts runs of
 ``DEPTH + 1`` bytes and words of its part, and Spark sums them by key. The
@@ -41,14 +46,14 @@ from liftlens.llm.common import (CHUNK_BYTES, id_remainder, prefix_hash, reduce_
                                  table, text_chunks, word_spans, written)
 
 DEPTH = 5
-LEAST_SHARE = 2e-6
+LEAST_COUNT = 2
+LEAST_SHARE = 2e-6  # of all places: contexts that tasks hold
 DIVERGENCE = 6.0
 SMOOTHING = 4.0
 FREQUENT = 1 << 16
 FOLDS = 7
 
-_SYMBOLS = 64
-_OTHER = _SYMBOLS - 1
+_BYTES = 256
 _SPACE, _END = 0x20, 0x0A
 _WORD, _RUN, _TEXT = 0, 1, 2  # kinds of counts
 
@@ -113,41 +118,33 @@ def _rows(kind: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 @dataclass
 class SuffixTree:
-    symbol: np.ndarray  # of each byte
+    """The frequent states."""
+
+    column: np.ndarray  # of each byte; the bytes that never occur have the last one
     contexts: list[np.ndarray]  # by depth: codes of the kept contexts
-    log10: np.ndarray  # (states, symbols), states by depth and order of their contexts
+    log10: np.ndarray  # (states, columns), states by depth and order of their contexts
+    settled: np.ndarray  # codes of the frequent contexts of DEPTH bytes, kept or not
 
     def finder(self) -> StateFinder:
-        return StateFinder(self.contexts)
-
-
-_DENSE = 4  # symbols of context that the state table is addressed by
+        return StateFinder(self.settled, _longest(self.contexts, self.settled))
 
 
 class StateFinder:
-    """The state (longest kept suffix) of contexts: a table of the shorter ones, a hash table
-    of those of DEPTH symbols."""
-
-    def __init__(self, contexts: list[np.ndarray]):
-        self.short = np.zeros(_SYMBOLS ** _DENSE, np.int32)
-        first = 0
-        for depth, codes in enumerate(contexts[:DEPTH]):
-            ids = np.arange(first, first + len(codes), dtype=np.int32)
-            self.short.reshape(-1, _SYMBOLS ** depth)[:, codes] = ids
-            first += len(codes)
-        deep = contexts[DEPTH]
-        bits = max(4, int(4 * len(deep)).bit_length())
+    """A hash table of the states of settled contexts; others have -1."""
+
+    def __init__(self, codes: np.ndarray, states: np.ndarray):
+        bits = max(4, int(4 * len(codes)).bit_length())
         self.shift = np.uint64(64 - bits)
         self.keys = np.full((1 << bits) + 64, -1, np.int64)
         self.ids = np.zeros((1 << bits) + 64, np.int32)
-        left, self.probes = np.arange(len(deep)), 0
+        left, self.probes = np.arange(len(codes)), 0
         while len(left):
-            slot = self._slot(deep[left]) + self.probes
+            slot = self._slot(codes[left]) + self.probes
             free = np.flatnonzero(self.keys[slot] < 0)
             _, one = np.unique(slot[free], return_index=True)
             placed = free[one]
-            self.keys[slot[placed]] = deep[left[placed]]
-            self.ids[slot[placed]] = first + left[placed]
+            self.keys[slot[placed]] = codes[left[placed]]
+            self.ids[slot[placed]] = states[left[placed]]
             left = np.delete(left, placed)
             self.probes += 1
 
@@ -156,13 +153,11 @@ class StateFinder:
                 ).astype(np.int64)
 
     def __call__(self, codes: np.ndarray) -> np.ndarray:
-        out = self.short[codes % _SYMBOLS ** _DENSE]
-        slot, open_ = self._slot(codes), slice(None)
+        out = np.full(len(codes), -1, np.int32)
+        slot, open_ = self._slot(codes), np.arange(len(codes))
         for _ in range(self.probes):
             found = self.keys[slot]
             hit = found == codes[open_]
-            if isinstance(open_, slice):
-                open_ = np.arange(len(codes))
             out[open_[hit]] = self.ids[slot[hit]]
             more = ~hit & (found >= 0)
             open_, slot = open_[more], slot[more] + 1
@@ -171,102 +166,140 @@ class StateFinder:
         return out
 
 
-def _build(counts: DataFrame) -> SuffixTree:
-    """Contexts kept by the divergence test; only they (a bounded number) reach the driver."""
+def _states(runs: DataFrame) -> DataFrame:
+    """depth, context, size and nexts (symbol, n) of the contexts seen LEAST_COUNT times."""
+    levels = []
+    for depth in range(DEPTH + 1):
+        code = F.col("key").bitwiseAND((1 << 8 * (depth + 1)) - 1)
+        level = runs.select(F.shiftright(code, 8).alias("context"),
+                            code.bitwiseAND(255).cast("int").alias("symbol"), "n")
+        if depth < DEPTH:  # the runs themselves are told apart already
+            level = level.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+        levels.append(
+            level.groupBy("context").agg(
+                F.sum("n").alias("size"),
+                F.sort_array(F.collect_list(F.struct("symbol", "n"))).alias("nexts"))
+            .where(F.col("size") >= LEAST_COUNT)
+            .select(F.lit(depth).alias("depth"), "context", "size", "nexts"))
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionAll(level)
+    return out
+
+
+def _suffix(context: str, depth: str) -> Column:
+    return F.expr(f"{context} & (shiftleft(1L, 8 * ({depth})) - 1L)")
+
+
+def _kept(states: DataFrame) -> DataFrame:
+    """The states that pass the divergence test and those of their suffixes."""
+    parents = states.select((F.col("depth") + 1).alias("depth"), F.col("context").alias("parent"),
+                            F.col("size").alias("parent_size"),
+                            F.map_from_entries("nexts").alias("parent_n"))
+    gain = F.expr("aggregate(nexts, 0D, (sum, x) -> sum + x.n * ln("
+                  "x.n / size * parent_size / element_at(parent_n, x.symbol)))")
+    passed = (states.where(F.col("depth") > 0)
+              .withColumn("parent", _suffix("context", "depth - 1"))
+              .join(parents, ["depth", "parent"])
+              .where(gain >= DIVERGENCE).select("depth", "context"))
+    tree = (passed.select("context", F.explode(F.expr("sequence(1, depth)")).alias("depth"))
+            .select("depth", _suffix("context", "depth").alias("context")).distinct())
+    return states.join(tree, ["depth", "context"], "left_semi")
+
+
+def _build(counts: DataFrame) -> tuple[SuffixTree, DataFrame]:
+    """The frequent states (a bounded number, on the driver) and the table of the rare ones."""
     runs = counts.where(F.col("kind") == _RUN).select("key", "n")
     byte = F.col("key").bitwiseAND(255).cast("int")
     by_byte = {r[0]: r[1] for r in runs.groupBy(byte).agg(F.sum("n")).collect()}  # 256 at most
-    common = sorted(by_byte, key=lambda b: (-by_byte[b], b))[:_OTHER]
-    symbol = np.full(256, _OTHER, np.uint8)
-    symbol[common] = np.arange(len(common))
-    others = 256 - len(common)
+    seen = sorted(by_byte)
+    column = np.full(_BYTES, len(seen), np.int64)
+    column[seen] = np.arange(len(seen))
     total = sum(by_byte.values())
-    share = np.zeros(_SYMBOLS)
-    for b, n in by_byte.items():
-        share[symbol[b]] += n
-    root = (share + 1) / (total + _SYMBOLS)
-    contexts, probabilities = [np.zeros(1, np.int64)], [root[None, :]]
-    if total:
-        lookup = F.array(*[F.lit(int(s)) for s in symbol])
-        code = F.lit(0).cast("long")
-        for j in range(DEPTH, -1, -1):
-            one = F.get(lookup, F.shiftright("key", 8 * j).bitwiseAND(255).cast("int"))
-            code = code * _SYMBOLS + one
-        grams = written(runs.select(code.alias("code"), "n").groupBy("code")
-                        .agg(F.sum("n").alias("n")), "symbol-runs")
-        for depth in range(1, DEPTH + 1):
-            kept = _kept(grams, depth, total)
-            codes, rows, symbols, n = _grouped(kept)
-            matrix = np.zeros((len(codes), _SYMBOLS), np.float32)
-            matrix[rows, symbols] = n
-            in_tree = np.isin(codes % _SYMBOLS ** (depth - 1), contexts[-1])
-            codes, matrix = codes[in_tree], matrix[in_tree]
-            parents = _longest(contexts, codes, depth)
-            below = np.concatenate(probabilities)[parents]
-            contexts.append(codes)
-            probabilities.append((matrix + SMOOTHING * below)
-                                 / (matrix.sum(axis=1, keepdims=True) + SMOOTHING))
-    contexts += [np.zeros(0, np.int64)] * (DEPTH + 1 - len(contexts))
-    log10 = np.log10(np.concatenate(probabilities))
-    log10[:, _OTHER] -= np.log10(others)
-    return SuffixTree(symbol, contexts, log10.astype(np.float32))
-
-
-def _kept(grams: DataFrame, depth: int, total: int) -> DataFrame:
-    """context, symbol, n of the contexts of one depth that pass the divergence test."""
-    def level(d: int, name: str) -> DataFrame:
-        code = F.col("code") % _SYMBOLS ** (d + 1)
-        return (grams.groupBy(F.floor(code / _SYMBOLS).cast("long").alias(name),
-                              (code % _SYMBOLS).alias("symbol")).agg(F.sum("n").alias(f"{name}_n")))
-
-    mine, parent = level(depth, "context"), level(depth - 1, "parent")
-    sizes = mine.groupBy("context").agg(F.sum("context_n").alias("size"))
-    sizes = sizes.where(F.col("size") >= max(2.0, LEAST_SHARE * total))
-    parent_sizes = parent.groupBy("parent").agg(F.sum("parent_n").alias("parent_size"))
-    rows = (mine.join(sizes, "context")
-            .withColumn("parent", F.col("context") % _SYMBOLS ** (depth - 1))
-            .join(parent, ["parent", "symbol"]).join(parent_sizes, "parent"))
-    gain = F.sum(F.col("context_n") * F.log(
-        F.col("context_n") / F.col("size") * F.col("parent_size") / F.col("parent_n")))
-    passed = (rows.groupBy("context").agg(gain.alias("gain"))
-              .where(F.col("gain") >= DIVERGENCE).select("context"))
-    return mine.join(passed, "context").select("context", "symbol", F.col("context_n").alias("n"))
-
-
-def _grouped(kept: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    table_ = kept.toArrow()
-    context = table_["context"].to_numpy()
-    codes, rows = np.unique(context, return_inverse=True)
-    return codes, rows, table_["symbol"].to_numpy(), table_["n"].to_numpy()
-
-
-def _longest(contexts: list[np.ndarray], codes: np.ndarray, depth: int) -> np.ndarray:
-    """State number of the longest kept proper suffix of each context."""
+    root = np.array([by_byte[b] + 1 for b in seen] + [1], np.float64) / (total + _BYTES)
+    contexts, probabilities = [np.zeros(1, np.int64)], [root[None, :].astype(np.float32)]
+    least = max(float(LEAST_COUNT), LEAST_SHARE * total)
+    states = written(_states(runs), "contexts")
+    kept = written(_kept(states), "states")
+    frequent = F.col("size") >= least
+    for depth in range(1, DEPTH + 1):
+        codes, sizes, matrix = _grouped(kept.where(frequent & (F.col("depth") == depth)),
+                                        column, len(root))
+        parents = _longest(contexts, codes)
+        matrix += SMOOTHING * np.concatenate(probabilities)[parents]
+        matrix /= sizes[:, None] + np.float32(SMOOTHING)
+        contexts.append(codes)
+        probabilities.append(matrix)
+    log10 = np.concatenate(probabilities)
+    np.log10(log10, out=log10)
+    settled = np.sort(states.where(frequent & (F.col("depth") == DEPTH)).select("context")
+                      .toArrow()["context"].to_numpy())
+    return SuffixTree(column, contexts, log10, settled), kept.where(~frequent)
+
+
+def _grouped(kept: DataFrame, column: np.ndarray, columns: int
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes in order, sizes and counts by column."""
+    rows = kept.select("context", "size", "nexts").toArrow().combine_chunks()
+    nexts = rows["nexts"].combine_chunks()
+    flat = nexts.flatten()
+    row = np.repeat(np.arange(len(nexts)), nexts.value_lengths().to_numpy())
+    matrix = np.zeros((len(nexts), columns), np.float32)
+    matrix[row, column[flat.field("symbol").to_numpy()]] = flat.field("n").to_numpy()
+    codes = rows["context"].to_numpy()
+    order = np.argsort(codes)
+    return codes[order], rows["size"].to_numpy()[order].astype(np.float32), matrix[order]
+
+
+def _longest(contexts: list[np.ndarray], codes: np.ndarray) -> np.ndarray:
+    """State number of the longest kept suffix of each context."""
     out = np.zeros(len(codes), np.int64)
     first = 0
-    for d, known in enumerate(contexts[:depth]):
-        suffix = codes % _SYMBOLS ** d
-        at = np.minimum(np.searchsorted(known, suffix), max(0, len(known) - 1))
+    for d, known in enumerate(contexts):
         if len(known):
+            suffix = codes & ((1 << 8 * d) - 1)
+            at = np.minimum(np.searchsorted(known, suffix), len(known) - 1)
             hit = known[at] == suffix
             out[hit] = first + at[hit]
         first += len(known)
     return out
 
 
+def _by_text(values: np.ndarray, owner: np.ndarray, rows: int
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by text and value; in it, the first places and numbers of equal ones; list offsets."""
+    order = np.lexsort((values, owner))
+    v, o = values[order], owner[order]
+    new = np.ones(len(v), bool)
+    new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
+    first = np.flatnonzero(new)
+    return (order, first, np.diff(np.append(first, len(v))).astype(np.int32),
+            np.searchsorted(o[first], np.arange(rows + 1)))
+
+
 def _scored(tree: SuffixTree, words: np.ndarray, logs: np.ndarray):
-    """Scores by the tree, sums over the frequent words, and the other words of each text."""
+    """Scores by the frequent states, sums over the frequent words, and the other words and
+    contexts with the next byte (and its log10 so far) of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = tree.finder()
         for batch in batches:
             for a, b, data, offsets in text_chunks(batch.column(batch.num_columns - 1)):
                 text = parse(data, offsets)
                 rows = b - a
-                symbols = tree.symbol[text.stream]
+                wide = text.stream.astype(np.int64)
                 code = np.zeros(len(text.scored), np.int64)
                 for j in range(DEPTH, 0, -1):
-                    code = code * _SYMBOLS + symbols[text.scored - j]
-                value = tree.log10[states(code), symbols[text.scored]].astype(np.float64)
+                    code = (code << 8) | wide[text.scored - j]
+                follows = wide[text.scored]
+                state = states(code)
+                value = tree.log10[state, tree.column[follows]].astype(np.float64)
+                open_ = np.flatnonzero(state < 0)
+                gram = (code[open_] << 8) | follows[open_]
+                order, first, gram_times, gram_at = _by_text(gram, text.place_owner[open_], rows)
+                grams = gram[order[first]]
+                so_far = tree.log10[_longest(tree.contexts[:DEPTH], grams >> 8),
+                                    tree.column[grams & 255]]
+                value[open_[order]] = np.repeat(so_far, gram_times)
                 score = reduce_rows(np.add, value, text.place_owner, rows, 0.0)
                 place = np.minimum(np.searchsorted(words, text.hashes), max(0, len(words) - 1))
                 known = words[place] == text.hashes if len(words) else np.zeros(
@@ -276,24 +309,42 @@ def _scored(tree: SuffixTree, words: np.ndarray, logs: np.ndarray):
                 total = np.bincount(text.owner[known], weights=logs[place[known]], minlength=rows
                                     ).astype(np.float64)  # integers if there are none
                 h, o = text.hashes[~known], text.owner[~known]
-                order = np.lexsort((h, o))
-                h, o = h[order], o[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
-                first = np.flatnonzero(new)
-                times = np.diff(np.append(first, len(h))).astype(np.int32)
-                lists = pa.array(np.searchsorted(o[first], np.arange(rows + 1)), pa.int32())
+                order, first, times, word_at = _by_text(h, o, rows)
+                lists = pa.array(word_at, pa.int32())
+                gram_lists = pa.array(gram_at, pa.int32())
                 yield pa.RecordBatch.from_arrays([
                     *[c.slice(a, rows) for c in batch.columns[:-1]],
                     pa.array(n + 1, pa.int64()), pa.array(frequent, pa.int64()),
                     pa.array(total, pa.float64()), pa.array(score, pa.float64()),
-                    pa.ListArray.from_arrays(lists, pa.array(h[first].view(np.int64))),
-                    pa.ListArray.from_arrays(lists, pa.array(times))],
+                    pa.ListArray.from_arrays(lists, pa.array(h[order[first]].view(np.int64))),
+                    pa.ListArray.from_arrays(lists, pa.array(times)),
+                    pa.ListArray.from_arrays(gram_lists, pa.array(grams)),
+                    pa.ListArray.from_arrays(gram_lists, pa.array(gram_times)),
+                    pa.ListArray.from_arrays(gram_lists, pa.array(so_far))],
                     names=[*batch.schema.names[:-1], *_SCORED])
     return run
 
 
-_SCORED = ["n_tokens", "_known", "_logs", "score", "_words", "_times"]
+_SCORED = ["n_tokens", "_known", "_logs", "score", "_words", "_times", "_grams", "_gram_times",
+           "_so_far"]
+
+
+def _by_rare_states(scored: DataFrame, rare: DataFrame) -> DataFrame:
+    """gram and what the rare states among its suffixes add to its log10."""
+    grams = (scored.select(F.explode(F.arrays_zip("_grams", "_so_far")).alias("_g"))
+             .groupBy(F.col("_g._grams").alias("gram"))
+             .agg(F.first("_g._so_far").cast("double").alias("so_far")))  # one value a gram
+    suffixes = (grams.select("gram", "so_far", F.explode(F.sequence(F.lit(1), F.lit(DEPTH)))
+                             .alias("depth"))
+                .withColumn("context", _suffix("shiftright(gram, 8)", "depth")))
+    n = F.expr("aggregate(nexts, 0L, (sum, x) -> sum + if(x.symbol = (gram & 255), x.n, 0L))")
+    # smoothed from the longest frequent state down, by depth
+    return (suffixes.join(rare, ["depth", "context"])
+            .groupBy("gram").agg(F.first("so_far").alias("so_far"), F.sort_array(F.collect_list(
+                F.struct("depth", n.alias("n"), "size"))).alias("path"))
+            .select("gram", F.expr(
+                "log10(aggregate(path, power(10D, so_far), (p, x) -> "
+                f"(x.n + {SMOOTHING}D * p) / (x.size + {SMOOTHING}D))) - so_far").alias("more")))
 
 
 def score_texts(docs: DataFrame, learn: Column, keep: list[str], text: str = "text") -> DataFrame:
@@ -313,31 +364,40 @@ def score_texts(docs: DataFrame, learn: Column, keep: list[str], text: str = "te
     words = top["key"].to_numpy().view(np.uint64)
     order = np.argsort(words)
     logs = np.log10(top["n"].to_numpy() + 1.0)[order]
-    tree = _build(counts)
+    tree, rare_states = _build(counts)
 
     frame = docs.select(*keep, lines.alias("_text"))
     schema = ", ".join(f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in keep)
     scored = written(
         frame.mapInArrow(_scored(tree, words[order], logs),
                          f"{schema}, n_tokens bigint, _known bigint, _logs double, score double, "
-                         f"_words array<bigint>, _times array<int>")
+                         f"_words array<bigint>, _times array<int>, _grams array<bigint>, "
+                         f"_gram_times array<int>, _so_far array<float>")
         .withColumn("_row", F.monotonically_increasing_id()), "scored-texts")
     rare = (scored.select("_row", F.explode(F.arrays_zip("_words", "_times")).alias("_w"))
             .select("_row", F.col("_w._words").alias("key"), F.col("_w._times").alias("times"))
             .join(vocabulary, "key")
-            .groupBy("_row").agg(F.sum("times").alias("_rare"),
-                                 F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("_rare_logs")))
+            .select("_row", F.col("times").cast("long").alias("_rare"),
+                    (F.col("times") * F.log10(F.col("n") + 1.0)).alias("_rare_logs"),
+                    F.lit(0.0).alias("_more")))
+    deep = (scored.select("_row", F.explode(F.arrays_zip("_grams", "_gram_times")).alias("_g"))
+            .select("_row", F.col("_g._grams").alias("gram"), F.col("_g._gram_times").alias("times"))
+            .join(_by_rare_states(scored, rare_states), "gram")
+            .select("_row", F.lit(0).cast("long").alias("_rare"), F.lit(0.0).alias("_rare_logs"),
+                    (F.col("times") * F.col("more")).alias("_more")))
+    rare = rare.unionAll(deep).groupBy("_row").agg(
+        *[F.sum(c).alias(c) for c in ("_rare", "_rare_logs", "_more")])
     end = float(np.log10(texts + 1.0))
     scale = float(np.log10(tokens + distinct + 1.0))
     zero = F.lit(0)
-    return (scored.drop("_words", "_times").join(rare, "_row", "left")
+    return (scored.drop("_words", "_times", "_grams", "_gram_times", "_so_far").join(rare, "_row", "left")
             .select(*keep, "n_tokens",
                     (F.col("_known") + F.coalesce("_rare", zero) + (1 if texts else 0))
                     .cast("long").alias("n_known"),
                     F.lit(tokens).cast("long").alias("train_tokens"),
                     (F.col("_logs") + F.coalesce("_rare_logs", zero) + end
                      - F.col("n_tokens") * scale).alias("base_score"),
-                    "score"))
+                    (F.col("score") + F.coalesce("_more", F.lit(0.0))).alias("score")))
 
 
 def op7_pst(spark: SparkSession, sf_dir: str) -> DataFrame:

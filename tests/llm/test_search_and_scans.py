@@ -148,5 +148,49 @@ def test_language_model_is_a_distribution(spark, tmp_path):
     assert 0.3 < total <= 1 + 1e-9
 
 
+def _tree_scores(learned, texts):
+    """Scores by a suffix tree of dictionaries."""
+    def line(text):
+        return b" " * pst.DEPTH + b" ".join(text.encode().lower().split()) + b"\n"
+
+    counts = {}
+    for text in map(line, learned):
+        for i in range(pst.DEPTH, len(text)):
+            for d in range(pst.DEPTH + 1):
+                nexts = counts.setdefault(text[i - d:i], {})
+                nexts[text[i]] = nexts.get(text[i], 0) + 1
+    size = {c: sum(n.values()) for c, n in counts.items()}
+    kept = set()
+    for c, nexts in counts.items():
+        if c and size[c] >= 2 and pst.DIVERGENCE <= sum(
+                n * math.log(n / size[c] / counts[c[1:]][s] * size[c[1:]])
+                for s, n in nexts.items()):
+            kept |= {c[i:] for i in range(len(c))}
+
+    def log10(context, s):
+        p = (counts[b""].get(s, 0) + 1) / (size[b""] + 256)
+        for d in range(1, pst.DEPTH + 1):
+            if (c := context[len(context) - d:]) in kept:
+                p = (counts[c].get(s, 0) + pst.SMOOTHING * p) / (size[c] + pst.SMOOTHING)
+        return math.log10(p)
+
+    return [sum(log10(t[i - pst.DEPTH:i], t[i]) for i in range(pst.DEPTH, len(t)))
+            for t in map(line, texts)]
+
+
+@pytest.mark.parametrize("share", [2e-6, 0.002, 0.05, 2.0])
+def test_language_model_keeps_rare_contexts_at_every_size(spark, tmp_path, monkeypatch, share):
+    """The same scores by the whole tree, however few of its states are frequent."""
+    rng = np.random.default_rng(2)
+    words = ["the", "then", "other", "mother", "été", "больше", "語言", "zq", "qz", "ab", "abba"]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 40))) for _ in range(80)] + ["", "ÿ new!"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"
+                          ).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(pst, "LEAST_SHARE", share)
+    out = sorted(pst.op7_pst(spark, str(tmp_path)).collect())
+    expected = _tree_scores([texts[r.doc_id] for r in out if not r.held_out], texts)
+    assert np.allclose([r.score for r in out], expected, rtol=1e-5)
+
+
 def test_language_model_empty(spark, empty_dir):
     assert pst.op7_pst(spark, empty_dir).collect() == []
