@@ -192,5 +192,23 @@ def test_language_model_keeps_rare_contexts_at_every_size(spark, tmp_path, monke
     assert np.allclose([r.score for r in out], expected, rtol=1e-5)
 
 
+def test_language_model_keeps_contexts_of_plain_parents_and_all_bytes(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    texts = []
+    for _ in range(14):  # the third last letter and the one after tell the next, fewer letters nothing
+        bits = [0, 1, 1]
+        for noise in rng.random(3_000) < 0.05:
+            bits.append(bits[-2] ^ bits[-3] ^ int(noise))
+        texts.append("".join("ab"[b] for b in bits))
+    cycle = "".join(map(chr, range(0x430, 0x450))) + "".join(map(chr, range(0x450, 0x4B0)))
+    texts += [cycle * 20] * 14  # more than 64 bytes
+    for part, least in ((texts[:14], -0.15), (texts[14:], -0.02)):
+        at = f"{tmp_path}/{-least}"
+        spark.createDataFrame(list(enumerate(part)), "doc_id long, text string"
+                              ).write.parquet(f"{at}/documents.parquet")
+        for r in pst.op7_pst(spark, at).collect():
+            assert r.score > least * len(part[r.doc_id].encode())
+
+
 def test_language_model_empty(spark, empty_dir):
     assert pst.op7_pst(spark, empty_dir).collect() == []
