@@ -11,7 +11,7 @@ aside), and the differences inside the aligned stretch are listed exactly. A
 notice is reported if at least ``LEAST_MATCHED`` of the template's words stand
 there in order and no more than the remainder's share is put in between.
 Stretches that overlap go to the template with the most matched words, of
-these to the one that saves most.
+these to the one with the fewest missing, then to the one that saves most.
 
 Long texts are scanned whole; blocks of neighbouring cues are merged and cut
 into overlapping pieces that hold the longest template.
@@ -49,6 +49,11 @@ TEMPLATES = [
     ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it "
      "under the terms of the GNU General Public License as published by the Free Software "
      "Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it "
+     "under the terms of the GNU General Public License as published by the Free Software "
+     "Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-only", "This work is licensed under the GNU Affero General Public License, "
+     "version 3."),
     ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without "
      "modification, are permitted provided that the following conditions are met"),
@@ -156,7 +161,7 @@ class Scanner:
                         start, end, matched, changes = notice
                         found.append((matched, s + start, s + end, template, saved, changes))
                         stretches += [(s, s + start), (s + end, e)]
-        found.sort(key=lambda n: (-n[0], n[5] != "", n[1], -n[4], n[3]))
+        found.sort(key=lambda n: (-n[0], n[5] != "", len(self.words[n[3]]), n[1], -n[4], n[3]))
         taken: list[tuple[int, int]] = []
         out = []
         for matched, start, end, template, saved, changes in found:

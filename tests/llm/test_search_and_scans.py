@@ -113,6 +113,29 @@ def test_every_notice_of_a_crowded_block_is_found():
         assert [(n[2], n[5]) for n in found] == [(n, "") for n in names]
 
 
+def test_altered_notices_and_names_are_told_apart():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    rng = np.random.default_rng(6)
+    for name, wording in licenses.TEMPLATES:
+        words = wording.split()
+        for _ in range(60):  # a fifth of the words replaced, as the wording rule allows
+            put = list(words)
+            for i in rng.choice(len(put), len(put) // 5, replace=False):
+                put[i] = "".join(rng.choice(list("bdfgkmpqvwxz"), 6))
+            around = ["".join(rng.choice(list("abcdefghiklmnoprstuvwy"), rng.integers(2, 9)))
+                      for _ in range(140)]
+            text = " ".join(around[:70] + put + around[70:]).encode()
+            found = scanner.confirmed(text, licenses.TEMPLATES.index((name, wording)))
+            if found and scanner.cue.search(text):
+                assert scanner.scan(text)
+    later = dict(licenses.TEMPLATES)["GPL-3.0-or-later"]
+    for text, name in ((later, "GPL-3.0-or-later"),
+                       (later.replace("version 3", "version 2"), "GPL-2.0-or-later"),
+                       ("This work is licensed under the GNU Affero General Public License, "
+                        "version 3.", "AGPL-3.0-only")):
+        assert [(n[2], n[5]) for n in scanner.scan(text.encode())] == [(name, "")]
+
+
 def test_license_odd_rows(spark, odd_dir, empty_dir=None):
     assert licenses.op8_licenses(spark, odd_dir).collect() == []
 
