@@ -13,14 +13,14 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "benchmark"):
+    for table in ("documents", "embeddings", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     rel = con.sql(ORACLE_SQL[name])
     names = sorted(rel.columns)
