@@ -23,7 +23,6 @@ from liftlens.operators import (
     variant_metrics, window_checkouts,
 )
 from liftlens.plans.chain import Tables, build_tables
-from liftlens.schema import CHECKOUT_EVENT
 from liftlens.sources.events import driver_events, events_as_text
 
 # The slice every slice query asks for.
@@ -37,7 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _tables(spark: SparkSession, sf_dir: str, lookback_days: int | None = None) -> Tables:
     return build_tables(driver_events(spark, sf_dir), DEFAULT_CONFIG, lookback_days,
-                        lambda name: driver_events(spark, sf_dir, name))
+                        lambda *names: driver_events(spark, sf_dir, *names))
 
 
 def staged_events(spark, sf_dir):
@@ -64,9 +63,8 @@ def window_checkouts_q(spark, sf_dir):
 def conversions_subcent(spark, sf_dir):
     """Attribution of revenue with fractions of a cent."""
     t = _tables(spark, sf_dir)
-    staged = stage_events(driver_events(spark, sf_dir, CHECKOUT_EVENT))
-    return attribute_conversions(
-        t.exposures, staged.withColumn("revenue", F.expr("round(revenue * 1.005D, 3)")))
+    staged = t.measured_staged.withColumn("revenue", F.expr("round(revenue * 1.005D, 3)"))
+    return attribute_conversions(t.exposures, staged, with_exposure_events=True)
 
 
 def conversions_7d(spark, sf_dir):

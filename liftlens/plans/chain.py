@@ -22,14 +22,14 @@ from liftlens.schema import CHECKOUT_EVENT, EXPOSURE_EVENT
 
 
 class Tables:
-    """``events_named(name)`` may give the raw events of one name, where a source can read these
-    without reading the others; by default all raw events are read and filtered."""
+    """``events_named(*names)`` may give the raw events of some names, where a source can read
+    these without reading the others; by default all raw events are read and filtered."""
 
     def __init__(self, raw_events: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
                  lookback_days: int | None = None,
-                 events_named: Callable[[str], DataFrame] | None = None):
+                 events_named: Callable[..., DataFrame] | None = None):
         self.raw_events = raw_events
-        self.events_named = events_named or (lambda name: raw_events)
+        self.events_named = events_named or (lambda *names: raw_events)
         self.config = config
         self.lookback_days = config.lookback_days if lookback_days is None else lookback_days
 
@@ -45,10 +45,15 @@ class Tables:
     def checkouts_staged(self) -> DataFrame:
         return stage_events(self.events_named(CHECKOUT_EVENT))
 
+    @cached_property
+    def measured_staged(self) -> DataFrame:
+        """The staged exposure events and checkouts."""
+        return stage_events(self.events_named(EXPOSURE_EVENT, CHECKOUT_EVENT))
+
     @cached_property
     def conversions(self) -> DataFrame:
-        return attribute_conversions(self.exposures, self.checkouts_staged, self.lookback_days,
-                                     self.config)
+        return attribute_conversions(self.exposures, self.measured_staged, self.lookback_days,
+                                     self.config, with_exposure_events=True)
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -61,5 +66,5 @@ class Tables:
 
 def build_tables(raw_events: DataFrame, config: ExperimentConfig = DEFAULT_CONFIG,
                  lookback_days: int | None = None,
-                 events_named: Callable[[str], DataFrame] | None = None) -> Tables:
+                 events_named: Callable[..., DataFrame] | None = None) -> Tables:
     return Tables(raw_events, config, lookback_days, events_named)

@@ -88,15 +88,16 @@ def canonical_events(events: DataFrame) -> DataFrame:
 _TYPES_OF = {EXPOSURE_EVENT: ("signup", EXPOSURE_EVENT), CHECKOUT_EVENT: ("purchase", CHECKOUT_EVENT)}
 
 
-def driver_events(spark: SparkSession, sf_dir: str, name: str | None = None) -> DataFrame:
+def driver_events(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """Raw product events derived from ``<sf_dir>/events.parquet``.
 
-    With ``name`` only the rows that can become events of that name: a plain
+    With ``names`` only the rows that can become events of these names: a plain
     predicate on ``event_type``, which the Parquet scan takes.
     """
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    if name is not None:
-        events = events.where(F.col("event_type").isin(*_TYPES_OF[name]))
+    if names:
+        events = events.where(F.col("event_type").isin(
+            *[kind for name in names for kind in _TYPES_OF[name]]))
     return canonical_events(events)
 
 

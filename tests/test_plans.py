@@ -40,12 +40,33 @@ def test_conversion_join_plan(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
     # the time-binned sort-merge join, its matches combined map-side
     assert "SortMergeJoin" in plan and "_bin" in plan
-    assert "partial_sum(cast(revenue" in plan
-    # exposures (planned twice), both sides of the join, the aggregate
-    assert plan.count("Exchange hashpartitioning") == 5
+    assert "partial_sum(cast(_revenue" in plan
+    # exposures, both sides of the join, the aggregate
+    assert plan.count("Exchange hashpartitioning") == 4
     assert "Subquery" not in plan and "BroadcastExchange" not in plan
 
 
+@pytest.mark.parametrize("name", ["conversions_7d", "conversions_1d", "conversions_subcent",
+                                  "daily_metrics", "summary_metrics"])
+def test_exposures_are_computed_once(spark, name):
+    """On a default session: one ranking of the exposures, two scans of the events."""
+    assert spark.conf.get("spark.sql.constraintPropagation.enabled") == "true"
+    plan = _plan(spark, name, broadcast=False)
+    assert plan.count("Window [row_number()") == 1
+    assert plan.count("FileScan") == 2
+
+
+def test_exposures_of_a_lazy_slice_are_computed_once(spark):
+    from liftlens.operators import filtered_summary, segment_metrics
+    from liftlens.plans.chain import build_tables
+    from liftlens.sources import driver_events
+    t = build_tables(driver_events(spark, SF001))
+    for df in (filtered_summary(t.conversions, "exp_1", ["IN"], ["mobile"]),
+               segment_metrics(t.conversions, "country", "exp_1")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Window [row_number()") == 1 and plan.count("FileScan") == 2
+
+
 @pytest.mark.parametrize("name,kind", [("first_exposures", "signup"),
                                        ("checkout_events", "purchase")])
 def test_event_filters_reach_the_scan(spark, name, kind):

@@ -132,3 +132,20 @@ def test_exposure_meets_two_bins_only(spark, raw):
     assert "_bin" in plan and "_c_bin" in plan
     [r] = t.conversions.collect()
     assert r.revenue == 1.0
+
+
+@pytest.mark.parametrize("days", [1, 7])
+def test_anchors_from_events_and_from_exposures_agree(spark, raw, days):
+    """Exposures without checkouts, times or users come out once, whatever side the anchors take."""
+    rows = _hot_fixture()
+    rows += [exposure(f"again{i}", "hot", "x", "treatment", ts(days=i % 9)) for i in range(200)]
+    rows += [exposure("n1", None, "x", "control", ts()), exposure("n2", "u-late", "x", "control", None),
+             exposure("n3", None, "y", "control", None), checkout("n4", None, ts(hours=1), 3.0),
+             checkout("n5", "u-late", None, 3.0), exposure("n6", "u9", "x", None, ts(days=-9))]
+    t = build_tables(raw(rows).repartition(5), lookback_days=days)
+    whole = attribute_conversions(t.exposures, t.staged, days, with_exposure_events=True)
+    only_checkouts = t.staged.where("event_name = 'checkout_completed'")
+    apart = attribute_conversions(t.exposures, only_checkouts, days)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, apart.collect())) == sorted(
+        map(str, t.conversions.collect()))
+    assert whole.count() == t.exposures.count()
