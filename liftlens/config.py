@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from liftlens.sources.store import remove, remove_at_exit
+
 
 @dataclass(frozen=True)
 class ExperimentConfig:
@@ -94,5 +96,16 @@ def materialize(df: DataFrame, name: str, base_dir: str | None = None) -> tuple[
 
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder that ``materialize`` wrote."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    remove(spark, path)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the driver ends.
+
+    In the folder of ``spark.checkpoint.dir``, or that of the warehouse where it is unset.
+    """
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or spark.conf.get("spark.sql.warehouse.dir"))
+    path = f"{base.rstrip('/')}/liftlens-{name}-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
+    return path

@@ -19,9 +19,18 @@ def round_half_away_sql(expr: str, digits: int) -> str:
     return f"(round(({expr}) * {scale}, 0) / {scale})"
 
 
+def exact_decimal_sum_sql(column: str) -> str:
+    """SQL text: the exact sum of a double column, as DECIMAL(38, 18).
+
+    The range of revenue: digits after the 18th decimal place are rounded away,
+    and a value or a sum of 1e20 or more fails the job under ANSI rules.
+    """
+    return f"sum(CAST({column} AS DECIMAL(38, 18)))"
+
+
 def exact_sum_sql(column: str) -> str:
     """SQL text: the sum of a double column, exact (as DECIMAL), as a double."""
-    return f"CAST(sum(CAST({column} AS DECIMAL(38, 18))) AS DOUBLE)"
+    return f"CAST({exact_decimal_sum_sql(column)} AS DOUBLE)"
 
 
 def round_half_away(col: Column | str, digits: int) -> Column:

@@ -1,5 +1,6 @@
 """DataFrame-in, DataFrame-out operators of the experiment measurement."""
 
+from liftlens.operators.cells import metric_cells, metrics_of_cells
 from liftlens.operators.conversions import (
     attribute_conversions, checkout_events, window_checkouts,
 )
@@ -14,7 +15,7 @@ from liftlens.operators.metrics import (
 )
 from liftlens.operators.quality import DataQualityError, quality_checks, raise_on_failure
 from liftlens.operators.slices import (
-    apply_filters, filter_options, filtered_daily, filtered_summary, segment_metrics,
+    Slice, apply_filters, filter_options, filtered_daily, filtered_summary, segment_metrics,
 )
 from liftlens.operators.staging import stage_events
 
@@ -25,5 +26,6 @@ __all__ = [
     "summary_enriched", "control_metrics", "daily_metrics", "grouped_metrics",
     "summary_metrics", "variant_metrics", "DataQualityError", "quality_checks",
     "raise_on_failure", "apply_filters", "filter_options", "filtered_daily",
-    "filtered_summary", "segment_metrics", "stage_events",
+    "filtered_summary", "segment_metrics", "stage_events", "Slice", "metric_cells",
+    "metrics_of_cells",
 ]

@@ -1,6 +1,6 @@
 """Daily, per-variant and summary metrics over attributed conversions.
 
-All metric definitions live in ``_AGGREGATES`` / ``_metric_exprs`` and are
+All metric definitions live in ``_AGGREGATES`` / ``metric_exprs`` and are
 shared by the warehouse tables and the slice/segment operators: exposed users
 (rows), converters (rows with a conversion time), conversion rate (4 dp),
 total revenue and revenue per user (2 dp). Rates and per-user revenue are
@@ -32,7 +32,8 @@ _AGGREGATES = (
 )
 
 
-def _metric_exprs(include_total: bool = True) -> list[str]:
+def metric_exprs(include_total: bool = True) -> list[str]:
+    """SQL text of the metrics, from the sums _n, _conv and _rev."""
     exprs = [
         "_n AS exposed_users",
         "_conv AS converters",
@@ -48,7 +49,7 @@ def grouped_metrics(conversions: DataFrame, keys: list[str],
                     include_total: bool = True) -> DataFrame:
     """The shared metric set, one row per group of ``keys`` (column names)."""
     agg = conversions.groupBy(*keys).agg(*[F.expr(a) for a in _AGGREGATES])
-    return agg.selectExpr(*[f"`{k}`" for k in keys], *_metric_exprs(include_total))
+    return agg.selectExpr(*[f"`{k}`" for k in keys], *metric_exprs(include_total))
 
 
 def daily_metrics(conversions: DataFrame) -> DataFrame:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-
 # Check names and failure messages.
 CHECKS = (
     ("staging_not_empty", "stg_events is empty"),
@@ -75,6 +74,55 @@ def quality_checks(staged: DataFrame, exposures: DataFrame, summary: DataFrame)
     return staged_row.unionByName(_exposure_checks(exposures)).unionByName(summary_row)
 
 
+class ObservedChecks:
+    """The five checks, observed on the rows while their tables are written.
+
+    Each method adds metrics to the rows of one write (``DataFrame.observe``);
+    ``rows`` is the table of ``quality_checks`` once all writes are done.
+    Copies of a key are counted by numbering the written exposures within their
+    key: they come out of the ranking partitioned and sorted by it, so that
+    adds no exchange. Distinct variants are those of the summary, a few rows,
+    numbered within their variant.
+    """
+
+    SCHEMA = "check_name string, observed bigint, passed boolean, failure_message string"
+
+    def __init__(self) -> None:
+        self._staged = Observation("staged")
+        self._exposures = Observation("exposures")
+        self._summary = Observation("summary")
+
+    def of_staged(self, staged: DataFrame) -> DataFrame:
+        return staged.observe(self._staged, F.count(F.lit(1)).alias("rows"))
+
+    @staticmethod
+    def numbered(rows: DataFrame, key: list[str], order: str) -> DataFrame:
+        """The rows with ``_copy``, their number within their key."""
+        over = Window.partitionBy(*key).orderBy(order)
+        return rows.withColumn("_copy", F.row_number().over(over))
+
+    def of_exposures(self, exposures: DataFrame) -> DataFrame:
+        lacks = F.expr("experiment_key IS NULL OR variant IS NULL OR exposure_ts IS NULL")
+        return exposures.observe(
+            self._exposures, F.count_if(lacks).alias("lacking"),
+            F.count_if(F.col("_copy") == 2).alias("repeated"))
+
+    def of_summary(self, summary: DataFrame) -> DataFrame:
+        return summary.observe(
+            self._summary,
+            F.count_if(F.col("converters") > F.col("exposed_users")).alias("unbounded"),
+            F.count_if((F.col("_copy") == 1) & F.col("variant").isNotNull()).alias("variants"))
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        exposures, summary = self._exposures.get, self._summary.get
+        values = (self._staged.get["rows"], exposures["lacking"], exposures["repeated"],
+                  summary["variants"], summary["unbounded"])
+        passed = (values[0] > 0, values[1] == 0, values[2] == 0, values[3] >= 2, values[4] == 0)
+        return spark.createDataFrame(
+            [(name, value, ok, None if ok else message)
+             for (name, message), value, ok in zip(CHECKS, values, passed)], self.SCHEMA)
+
+
 def raise_on_failure(checks: DataFrame) -> None:
     """Fail the job when any check failed (reads at most five rows)."""
     failed = checks.where(~F.col("passed")).select("failure_message").collect()

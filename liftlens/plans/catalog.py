@@ -4,7 +4,9 @@ Every query reads the benchmark ``events`` table of ``sf_dir`` (mapped to
 product events by ``liftlens.sources.driver_events``) and runs over all of
 its rows. Slice queries use experiment ``exp_1``; ``*_slice`` selects
 countries IN, US, DE and devices mobile, desktop; ``snapshot_no_data``
-selects a country that never occurs.
+selects a country that never occurs. Slices read a stored table of cells, and
+``warehouse_*`` the tables of a stored warehouse, which are built when first
+asked for (``plans.stored``).
 """
 
 from __future__ import annotations
@@ -17,12 +19,15 @@ from pyspark.sql import functions as F
 from liftlens.config import DEFAULT_CONFIG
 from liftlens.functions.rounding import round_half_away
 from liftlens.operators import (
-    attribute_conversions, checkout_events, control_metrics, experiment_report, experiment_snapshot,
-    filter_options, filtered_daily, filtered_summary, quality_checks, repeated_exposures,
-    segment_metrics, significance, slice_snapshot, stage_events, summary_enriched,
-    variant_metrics, window_checkouts,
+    Slice, attribute_conversions, checkout_events, control_metrics, experiment_report,
+    experiment_snapshot, filter_options, filtered_daily, filtered_summary, metric_cells,
+    quality_checks, repeated_exposures, segment_metrics, significance, slice_snapshot, stage_events,
+    summary_enriched, variant_metrics, window_checkouts,
 )
+from liftlens.operators.order import with_position
 from liftlens.plans.chain import Tables, build_tables
+from liftlens.plans.stored import ndjson_events as stored_ndjson
+from liftlens.plans.stored import stored_cells, stored_warehouse
 from liftlens.sources.events import driver_events, events_as_text
 
 # The slice every slice query asks for.
@@ -30,6 +35,8 @@ SLICE_EXPERIMENT = "exp_1"
 SLICE_COUNTRIES = ("IN", "US", "DE")
 SLICE_DEVICES = ("mobile", "desktop")
 NO_DATA_COUNTRIES = ("ZZ",)
+WHOLE = Slice(SLICE_EXPERIMENT)
+PART = Slice(SLICE_EXPERIMENT, SLICE_COUNTRIES, SLICE_DEVICES)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,51 +114,88 @@ def experiment_snapshot_q(spark, sf_dir):
     return experiment_snapshot(_tables(spark, sf_dir).summary)
 
 
-def filter_options_q(spark, sf_dir):
-    return filter_options(_tables(spark, sf_dir).conversions)
+def metric_cells_q(spark, sf_dir):
+    """The cells, revenue as a double (one sum of exact cents each)."""
+    cells = metric_cells(_tables(spark, sf_dir).conversions)
+    return cells.withColumn("revenue", F.col("revenue").cast("double"))
 
 
-def _summary_slice(spark, sf_dir, countries=None, devices=None):
-    return filtered_summary(_tables(spark, sf_dir).conversions, SLICE_EXPERIMENT, countries, devices)
+def filter_options_q(spark, sf_dir):
+    return filter_options(stored_cells(spark, sf_dir))
 
 
 def filtered_summary_all(spark, sf_dir):
-    return _summary_slice(spark, sf_dir)
+    return filtered_summary(stored_cells(spark, sf_dir), WHOLE)
 
 
 def filtered_summary_slice(spark, sf_dir):
-    return _summary_slice(spark, sf_dir, SLICE_COUNTRIES, SLICE_DEVICES)
+    return filtered_summary(stored_cells(spark, sf_dir), PART)
 
 
 def filtered_daily_all(spark, sf_dir):
-    return filtered_daily(_tables(spark, sf_dir).conversions, SLICE_EXPERIMENT)
+    return filtered_daily(stored_cells(spark, sf_dir), WHOLE)
 
 
 def filtered_daily_slice(spark, sf_dir):
-    return filtered_daily(_tables(spark, sf_dir).conversions, SLICE_EXPERIMENT,
-                          SLICE_COUNTRIES, SLICE_DEVICES)
+    return filtered_daily(stored_cells(spark, sf_dir), PART)
 
 
 def segment_country(spark, sf_dir):
-    return segment_metrics(_tables(spark, sf_dir).conversions, "country", SLICE_EXPERIMENT)
+    return segment_metrics(stored_cells(spark, sf_dir), "country", WHOLE)
 
 
 def segment_device(spark, sf_dir):
-    return segment_metrics(_tables(spark, sf_dir).conversions, "device_type", SLICE_EXPERIMENT)
+    return segment_metrics(stored_cells(spark, sf_dir), "device_type", WHOLE)
 
 
 def segment_country_slice(spark, sf_dir):
-    return segment_metrics(_tables(spark, sf_dir).conversions, "country", SLICE_EXPERIMENT,
-                           SLICE_COUNTRIES, SLICE_DEVICES)
+    return segment_metrics(stored_cells(spark, sf_dir), "country", PART)
 
 
 def experiment_snapshot_slice(spark, sf_dir):
-    return slice_snapshot(_summary_slice(spark, sf_dir, SLICE_COUNTRIES, SLICE_DEVICES),
-                          SLICE_EXPERIMENT)
+    return slice_snapshot(filtered_summary_slice(spark, sf_dir), SLICE_EXPERIMENT)
 
 
 def snapshot_no_data(spark, sf_dir):
-    return slice_snapshot(_summary_slice(spark, sf_dir, NO_DATA_COUNTRIES), SLICE_EXPERIMENT)
+    nothing = Slice(SLICE_EXPERIMENT, NO_DATA_COUNTRIES)
+    return slice_snapshot(filtered_summary(stored_cells(spark, sf_dir), nothing), SLICE_EXPERIMENT)
+
+
+def daily_ordered(spark, sf_dir):
+    return with_position(_tables(spark, sf_dir).daily, ["experiment_key", "exposure_date", "variant"])
+
+
+def summary_ordered(spark, sf_dir):
+    return with_position(_tables(spark, sf_dir).summary, ["experiment_key", "variant"])
+
+
+def segment_ordered(spark, sf_dir):
+    return with_position(segment_country(spark, sf_dir), ["segment", "variant"])
+
+
+def ndjson_file(spark, sf_dir):
+    return stage_events(stored_ndjson(spark, sf_dir))
+
+
+def warehouse_staged(spark, sf_dir):
+    return stored_warehouse(spark, sf_dir).staged
+
+
+def warehouse_conversions(spark, sf_dir):
+    return stored_warehouse(spark, sf_dir).conversions
+
+
+def warehouse_summary(spark, sf_dir):
+    return stored_warehouse(spark, sf_dir).summary
+
+
+def warehouse_slice(spark, sf_dir):
+    return filtered_summary(stored_warehouse(spark, sf_dir).cells, PART)
+
+
+def warehouse_quality(spark, sf_dir):
+    stored = stored_warehouse(spark, sf_dir)
+    return quality_checks(stored.staged, stored.exposures, stored.summary)
 
 
 def quality_checks_q(spark, sf_dir):
@@ -194,6 +238,7 @@ QUERIES: dict[str, Query] = {
     "summary_enriched": summary_enriched_q,
     "experiment_report": experiment_report_q,
     "experiment_snapshot": experiment_snapshot_q,
+    "metric_cells": metric_cells_q,
     "filter_options": filter_options_q,
     "filtered_summary_all": filtered_summary_all,
     "filtered_summary_slice": filtered_summary_slice,
@@ -204,6 +249,15 @@ QUERIES: dict[str, Query] = {
     "segment_country_slice": segment_country_slice,
     "experiment_snapshot_slice": experiment_snapshot_slice,
     "snapshot_no_data": snapshot_no_data,
+    "daily_ordered": daily_ordered,
+    "summary_ordered": summary_ordered,
+    "segment_ordered": segment_ordered,
+    "ndjson_file": ndjson_file,
+    "warehouse_staged": warehouse_staged,
+    "warehouse_conversions": warehouse_conversions,
+    "warehouse_summary": warehouse_summary,
+    "warehouse_slice": warehouse_slice,
+    "warehouse_quality": warehouse_quality,
     "quality_checks": quality_checks_q,
     "duplicate_exposures": duplicate_exposures,
     "rounding_check": rounding_check,

@@ -1,20 +1,21 @@
-"""Everything a dashboard view needs for one experiment slice.
+"""Everything a dashboard view needs for one slice of an experiment.
 
-All frames derive from the attributed conversions with the same slice
-predicate, so they agree with each other and with the warehouse tables.
+All frames are sums over the same additive cells, cut by the same ``Slice``, so
+they agree with each other and with the warehouse tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from liftlens.config import discard, materialize
+from liftlens.operators.cells import are_cells, metric_cells
 from liftlens.operators.inference import slice_snapshot
 from liftlens.operators.slices import (
-    filter_options, filtered_daily, filtered_summary, segment_metrics,
+    Slice, filter_options, filtered_daily, filtered_summary, segment_metrics,
 )
 
 
@@ -27,41 +28,38 @@ class SliceView:
     snapshot: DataFrame
 
 
-def slice_view(conversions: DataFrame, experiment_key: str,
-               countries: Sequence[str] | None = None,
-               devices: Sequence[str] | None = None,
-               segment_dimension: str = "country") -> SliceView:
-    summary = filtered_summary(conversions, experiment_key, countries, devices)
+def slice_view(rows: DataFrame, part: Slice, segment_dimension: str = "country") -> SliceView:
+    """The frames of a slice; ``rows`` are cells or attributed conversions."""
+    summary = filtered_summary(rows, part)
     return SliceView(
-        options=filter_options(conversions, experiment_key),
+        options=filter_options(rows, part.experiment_key),
         summary=summary,
-        daily=filtered_daily(conversions, experiment_key, countries, devices),
-        segments=segment_metrics(conversions, segment_dimension, experiment_key,
-                                 countries, devices),
-        snapshot=slice_snapshot(summary, experiment_key),
+        daily=filtered_daily(rows, part),
+        segments=segment_metrics(rows, segment_dimension, part),
+        snapshot=slice_snapshot(summary, part.experiment_key),
     )
 
 
 class DashboardSession:
-    """Serves many slices from one conversions table.
+    """Serves many slices from one table of cells.
 
-    When the conversions are a lazy plan (not a stored table), they are
-    written once under ``spark.checkpoint.dir`` and every slice reads that
-    copy: slices stop recomputing the attribution join, and a lost executor
-    re-reads the copy instead of the raw events. ``close`` (or leaving a
-    ``with`` block) removes the copy.
+    Attributed conversions are rolled up to cells, and these are written once
+    under ``spark.checkpoint.dir``: a slice then reads a few rows and no slice
+    computes the attribution again; a lost executor re-reads the cells. Cells
+    of a warehouse (``open_warehouse(...).cells``) are served as they are.
+    ``close`` (or leaving a ``with`` block) removes what was written.
     """
 
-    def __init__(self, conversions: DataFrame, experiment_key: str, stored: bool = False):
+    def __init__(self, rows: DataFrame, experiment_key: str):
         self._copy = None
-        if not stored:
-            conversions, self._copy = materialize(conversions, "conversions")
-        self.conversions = conversions
+        if not are_cells(rows):
+            rows, self._copy = materialize(metric_cells(rows), "cells")
+        self.cells = rows
         self.experiment_key = experiment_key
 
     def close(self) -> None:
         if self._copy:
-            discard(self.conversions.sparkSession, self._copy)
+            discard(self.cells.sparkSession, self._copy)
             self._copy = None
 
     def __enter__(self) -> DashboardSession:
@@ -70,8 +68,7 @@ class DashboardSession:
     def __exit__(self, *exc: object) -> None:
         self.close()
 
-    def view(self, countries: Sequence[str] | None = None,
-             devices: Sequence[str] | None = None,
+    def view(self, countries: Iterable[str] | None = None, devices: Iterable[str] | None = None,
              segment_dimension: str = "country") -> SliceView:
-        return slice_view(self.conversions, self.experiment_key, countries, devices,
+        return slice_view(self.cells, Slice.of(self.experiment_key, countries, devices),
                           segment_dimension)

@@ -21,6 +21,20 @@ def _in_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+def _against_control(variants: str) -> str:
+    """Variant rows beside the control of their experiment, read by a filtered window."""
+    return f"""
+  SELECT * EXCLUDE (base_rate, base_rpu),
+         round(conversion_rate - base_rate, 4) AS absolute_lift,
+         round(100 * (conversion_rate / nullif(base_rate, 0) - 1), 2) AS relative_lift_pct,
+         round(revenue_per_user - base_rpu, 2) AS rpu_lift
+  FROM (
+    SELECT *, min(conversion_rate) FILTER (variant = 'control') OVER arm AS base_rate,
+           min(revenue_per_user) FILTER (variant = 'control') OVER arm AS base_rpu
+    FROM {variants} WINDOW arm AS (PARTITION BY experiment_key)
+  )"""
+
+
 def _chain(lookback_days: int = 7, revenue: str = "revenue") -> str:
     """CTEs: stg_events, experiment_exposures, checkouts, experiment_conversions,
     variant_metrics, experiment_metrics_summary."""
@@ -89,16 +103,7 @@ variant_metrics AS (
   FROM experiment_conversions
   GROUP BY experiment_key, variant
 ),
-experiment_metrics_summary AS (
-  SELECT m.*,
-         round(m.conversion_rate - c.conversion_rate, 4) AS absolute_lift,
-         round(CASE WHEN c.conversion_rate = 0 THEN NULL
-                    ELSE (m.conversion_rate / c.conversion_rate - 1) * 100 END, 2)
-           AS relative_lift_pct,
-         round(m.revenue_per_user - c.revenue_per_user, 2) AS rpu_lift
-  FROM variant_metrics AS m
-  LEFT JOIN variant_metrics AS c
-    ON c.experiment_key = m.experiment_key AND c.variant = 'control'
+experiment_metrics_summary AS ({_against_control("variant_metrics")}
 )"""
 
 
@@ -187,18 +192,11 @@ GROUP BY ALL"""
 
 
 def _slice_summary(countries=None, devices=None) -> str:
-    variants = _metric_select("variant", _slice_where(countries, devices))
+    variants = _metric_select("experiment_key, variant", _slice_where(countries, devices))
     return f"""
 slice_variants AS ({variants}
 ),
-slice_summary AS (
-  SELECT '{SLICE_EXPERIMENT}' AS experiment_key, m.*,
-    round(m.conversion_rate - c.conversion_rate, 4) AS absolute_lift,
-    round(CASE WHEN c.conversion_rate = 0 THEN NULL
-               ELSE (m.conversion_rate / c.conversion_rate - 1) * 100 END, 2) AS relative_lift_pct,
-    round(m.revenue_per_user - c.revenue_per_user, 2) AS rpu_lift
-  FROM slice_variants AS m
-  LEFT JOIN (SELECT * FROM slice_variants WHERE variant = 'control') AS c ON TRUE
+slice_summary AS ({_against_control("slice_variants")}
 )"""
 
 
@@ -250,6 +248,29 @@ def _summary_snapshot(countries=None, devices=None) -> str:
         + _snapshot_select(f"'{SLICE_EXPERIMENT}'"))
 
 
+_QUALITY = """
+SELECT 'staging_not_empty' AS check_name, count(*) AS observed, count(*) > 0 AS passed,
+  CASE WHEN count(*) = 0 THEN 'stg_events is empty' END AS failure_message
+FROM stg_events
+UNION ALL
+SELECT 'exposures_not_null', count(*), count(*) = 0,
+  CASE WHEN count(*) > 0 THEN 'experiment_exposures contains null experiment fields' END
+FROM experiment_exposures
+WHERE experiment_key IS NULL OR variant IS NULL OR exposure_ts IS NULL
+UNION ALL
+SELECT 'exposures_unique', count(*), count(*) = 0,
+  CASE WHEN count(*) > 0 THEN 'duplicate user exposures detected' END
+FROM (SELECT experiment_key, user_id FROM experiment_exposures GROUP BY 1, 2 HAVING count(*) > 1)
+UNION ALL
+SELECT 'variants_present', count(DISTINCT variant), count(DISTINCT variant) >= 2,
+  CASE WHEN count(DISTINCT variant) < 2 THEN 'expected both control and treatment variants' END
+FROM experiment_exposures
+UNION ALL
+SELECT 'converters_bounded', count(*), count(*) = 0,
+  CASE WHEN count(*) > 0 THEN 'converters exceed exposed users' END
+FROM experiment_metrics_summary WHERE converters > exposed_users"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "staged_events": _with() + "SELECT * FROM stg_events",
     "ndjson_events": _with() + "SELECT * FROM stg_events",
@@ -309,6 +330,11 @@ FROM sig""",
 SELECT DISTINCT 'country' AS dimension, country AS value FROM experiment_conversions
 UNION
 SELECT DISTINCT 'device_type' AS dimension, device_type AS value FROM experiment_conversions""",
+    "metric_cells": _with() + f"""
+SELECT experiment_key, CAST(exposure_ts AS DATE) AS exposure_date, variant, country, device_type,
+  count(*) AS exposed_users, count(conversion_ts) AS converters, {REV} AS revenue
+FROM experiment_conversions
+GROUP BY ALL""",
     "filtered_summary_all": _with(_slice_summary()) + "SELECT * FROM slice_summary",
     "filtered_summary_slice": _with(_slice_summary(SLICE_COUNTRIES, SLICE_DEVICES))
     + "SELECT * FROM slice_summary",
@@ -319,27 +345,26 @@ SELECT DISTINCT 'device_type' AS dimension, device_type AS value FROM experiment
     "segment_country_slice": _segments("country", SLICE_COUNTRIES, SLICE_DEVICES),
     "experiment_snapshot_slice": _summary_snapshot(SLICE_COUNTRIES, SLICE_DEVICES),
     "snapshot_no_data": _summary_snapshot(NO_DATA_COUNTRIES),
-    "quality_checks": _with() + """
-SELECT 'staging_not_empty' AS check_name, count(*) AS observed, count(*) > 0 AS passed,
-  CASE WHEN count(*) = 0 THEN 'stg_events is empty' END AS failure_message
-FROM stg_events
-UNION ALL
-SELECT 'exposures_not_null', count(*), count(*) = 0,
-  CASE WHEN count(*) > 0 THEN 'experiment_exposures contains null experiment fields' END
-FROM experiment_exposures
-WHERE experiment_key IS NULL OR variant IS NULL OR exposure_ts IS NULL
-UNION ALL
-SELECT 'exposures_unique', count(*), count(*) = 0,
-  CASE WHEN count(*) > 0 THEN 'duplicate user exposures detected' END
-FROM (SELECT experiment_key, user_id FROM experiment_exposures GROUP BY 1, 2 HAVING count(*) > 1)
-UNION ALL
-SELECT 'variants_present', count(DISTINCT variant), count(DISTINCT variant) >= 2,
-  CASE WHEN count(DISTINCT variant) < 2 THEN 'expected both control and treatment variants' END
-FROM experiment_exposures
-UNION ALL
-SELECT 'converters_bounded', count(*), count(*) = 0,
-  CASE WHEN count(*) > 0 THEN 'converters exceed exposed users' END
-FROM experiment_metrics_summary WHERE converters > exposed_users""",
+    "daily_ordered": _with() + f"""
+SELECT *, row_number() OVER (ORDER BY experiment_key ASC NULLS LAST,
+                             exposure_date ASC NULLS LAST, variant ASC NULLS LAST) AS position
+FROM ({_metric_select("experiment_key, CAST(exposure_ts AS DATE) AS exposure_date, variant",
+                      "TRUE")})""",
+    "summary_ordered": _with() + """
+SELECT *, row_number() OVER (ORDER BY experiment_key ASC NULLS LAST, variant ASC NULLS LAST)
+  AS position
+FROM experiment_metrics_summary""",
+    "segment_ordered": _with() + f"""
+SELECT *, row_number() OVER (ORDER BY segment ASC NULLS LAST, variant ASC NULLS LAST) AS position
+FROM ({_metric_select("country AS segment, variant", _slice_where(), include_total=False)})""",
+    "ndjson_file": _with() + "SELECT * FROM stg_events",
+    "warehouse_staged": _with() + "SELECT * FROM stg_events",
+    "warehouse_conversions": _with() + "SELECT * FROM experiment_conversions",
+    "warehouse_summary": _with() + "SELECT * FROM experiment_metrics_summary",
+    "warehouse_slice": _with(_slice_summary(SLICE_COUNTRIES, SLICE_DEVICES))
+    + "SELECT * FROM slice_summary",
+    "quality_checks": _with() + _QUALITY,
+    "warehouse_quality": _with() + _QUALITY,
     "duplicate_exposures": _with() + """
 SELECT experiment_key, user_id, count(*) AS exposure_events
 FROM stg_events

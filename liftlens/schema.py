@@ -57,6 +57,15 @@ SUMMARY = T.StructType([
       for c in ("absolute_lift", "relative_lift_pct", "rpu_lift")],
 ])
 
+CELL_KEYS = ("experiment_key", "exposure_date", "variant", "country", "device_type")
+CELLS = T.StructType([
+    *[T.StructField(c, T.DateType() if c == "exposure_date" else T.StringType())
+      for c in CELL_KEYS],
+    T.StructField("exposed_users", T.LongType()),
+    T.StructField("converters", T.LongType()),
+    T.StructField("revenue", T.DecimalType(38, 18)),
+])
+
 EXPOSURE_COLUMNS = EXPOSURES.fieldNames()
 CONVERSION_COLUMNS = CONVERSIONS.fieldNames()
 

@@ -101,8 +101,8 @@ def driver_events(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return canonical_events(events)
 
 
-def events_as_text(events: DataFrame) -> DataFrame:
-    """Each event as a JSON line parsed back to text columns.
+def event_lines(events: DataFrame) -> DataFrame:
+    """Each event as a JSON line, column ``value``.
 
     The lines mix the notations of a product log: every third time has the
     suffix Z, every third an offset of two hours, and every second revenue is
@@ -122,5 +122,10 @@ def events_as_text(events: DataFrame) -> DataFrame:
     money = f"CASE WHEN pmod({n}, 2) = 0 THEN {quoted} ELSE {plain} END"
     line = (f"concat(substring({body}, 1, length({body}) - 1), CASE WHEN revenue IS NULL THEN '' "
             f"ELSE concat(',', substring({money}, 2, length({money}) - 2)) END, '}}')")
-    parsed = F.from_json(F.expr(line), RAW_TEXT_EVENTS, {"mode": "FAILFAST"})
-    return events.select(parsed.alias("e")).select("e.*")
+    return events.select(F.expr(line).alias("value"))
+
+
+def events_as_text(events: DataFrame) -> DataFrame:
+    """Each event as a JSON line (``event_lines``) parsed back to text columns."""
+    parsed = F.from_json("value", RAW_TEXT_EVENTS, {"mode": "FAILFAST"})
+    return event_lines(events).select(parsed.alias("e")).select("e.*")

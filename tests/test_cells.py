@@ -1,0 +1,111 @@
+"""Slices from stored cells are the slices of the attributed conversions."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF01, checkout, exposure, ts
+from liftlens.operators import (
+    Slice, daily_metrics, filter_options, filtered_daily, filtered_summary, grouped_metrics,
+    metric_cells, metrics_of_cells, segment_metrics, summary_metrics,
+)
+from liftlens.operators.metrics import with_lifts
+from liftlens.plans.catalog import QUERIES
+from liftlens.plans.chain import build_tables
+from liftlens.schema import CELLS
+from liftlens.sources import driver_events
+
+SLICES = [Slice("exp_0"), Slice("exp_1", ("IN", "US"), ()), Slice("exp_2", (), ("tablet",)),
+          Slice("exp_1", ("DE",), ("mobile", "desktop")), Slice("exp_1", ("ZZ",)), Slice("none")]
+
+
+@pytest.fixture(scope="module")
+def conversions(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("conversions"))
+    events = driver_events(spark, SF01)
+    # thousandths, negative amounts, NULL dimensions
+    events = events.withColumn("revenue", F.expr(
+        "CASE WHEN pmod(event_id, 7) = 0 THEN -revenue ELSE round(revenue * 1.005D, 3) END")
+    ).withColumn("country", F.expr("CASE WHEN country <> 'CA' THEN country END"))
+    build_tables(events).conversions.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def cells(conversions, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("cells"))
+    metric_cells(conversions).write.mode("overwrite").parquet(path)
+    return conversions.sparkSession.read.schema(CELLS).parquet(path)
+
+
+def _rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+@pytest.mark.parametrize("part", SLICES)
+def test_a_slice_of_cells_is_the_slice_of_conversions(conversions, cells, part):
+    rows = part.cut(conversions)
+    dated = rows.withColumn("exposure_date", F.to_date("exposure_ts"))
+    plain = {
+        "summary": with_lifts(grouped_metrics(rows, ["experiment_key", "variant"]),
+                              ["experiment_key"]),
+        "daily": grouped_metrics(dated, ["exposure_date", "variant"]),
+        "country": grouped_metrics(rows.withColumn("segment", F.col("country")),
+                                   ["segment", "variant"], include_total=False),
+    }
+    for given in (conversions, cells):
+        got = {"summary": filtered_summary(given, part), "daily": filtered_daily(given, part),
+               "country": segment_metrics(given, "country", part)}
+        for name, df in got.items():
+            assert df.columns == plain[name].columns
+            assert sorted(map(str, _rows(df))) == sorted(map(str, _rows(plain[name]))), name
+        assert _rows(filter_options(given, part.experiment_key)) == _rows(
+            filter_options(conversions, part.experiment_key))
+
+
+def test_tables_are_sums_of_cells(conversions, cells):
+    daily = metrics_of_cells(cells, ["experiment_key", "exposure_date", "variant"])
+    assert sorted(map(str, _rows(daily))) == sorted(map(str, _rows(daily_metrics(conversions))))
+    whole = with_lifts(metrics_of_cells(cells, ["experiment_key", "variant"]), ["experiment_key"])
+    assert sorted(map(str, _rows(whole))) == sorted(map(str, _rows(summary_metrics(conversions))))
+
+
+def test_cells_are_few_and_typed(conversions, cells):
+    assert metric_cells(conversions).schema.simpleString() == CELLS.simpleString()
+    assert cells.count() < conversions.count()
+    assert cells.groupBy(*CELLS.fieldNames()[:5]).count().where("count > 1").count() == 0
+
+
+def test_cents_add_up_over_cells(spark, raw):
+    """Sums of doubles would differ by order here: 0.1 ten times, and large amounts."""
+    rows = []
+    for u in range(40):
+        rows.append(exposure(f"e{u}", f"u{u}", "x", "control", ts(days=u % 10),
+                             ["IN", "US", None][u % 3], ["mobile", "desktop"][u % 2]))
+        rows.append(checkout(f"c{u}", f"u{u}", ts(days=u % 10, hours=1),
+                             [0.1, 1e12 + 0.07, -0.03, 2.675][u % 4]))
+    conversions = build_tables(raw(rows)).conversions
+    [a] = filtered_summary(metric_cells(conversions), "x").collect()
+    [b] = grouped_metrics(conversions, ["variant"]).collect()
+    assert (a.total_revenue, a.revenue_per_user, a.converters) == (
+        b.total_revenue, b.revenue_per_user, b.converters)
+    assert min(r.exposure_date for r in metric_cells(conversions).collect()) == dt.date(2026, 1, 5)
+
+
+@pytest.mark.parametrize("name", ["filter_options", "filtered_summary_all", "filtered_summary_slice",
+                                  "filtered_daily_all", "filtered_daily_slice", "segment_country",
+                                  "segment_device", "segment_country_slice",
+                                  "experiment_snapshot_slice", "snapshot_no_data"])
+def test_slice_queries_read_the_cells_only(spark, name):
+    plan = QUERIES[name](spark, SF01)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "events.parquet" not in plan
+    assert "user_id" not in plan and "Join" not in plan
+
+
+def test_revenue_beyond_the_range_fails(spark, raw):
+    rows = [exposure("e", "u", "x", "control", ts()), checkout("c", "u", ts(hours=1), 1e21)]
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|cannot be represented"):
+        build_tables(raw(rows)).conversions.collect()

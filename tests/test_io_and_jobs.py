@@ -197,7 +197,7 @@ def test_dashboard_session_materializes_under_checkpoint_dir(spark):
     from liftlens.plans.dashboard import DashboardSession
     t = build_tables(driver_events(spark, SF001))
     dash = DashboardSession(t.conversions, "exp_1")
-    files = dash.conversions.inputFiles()
+    files = dash.cells.inputFiles()
     folder = dash._copy
     assert files and all(spark.conf.get("spark.checkpoint.dir").rstrip("/") in f for f in files)
     full, part = dash.view(), dash.view(["IN", "US", "DE"], ["mobile", "desktop"])
