@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from liftlens.sources.store import remove, remove_at_exit
+
 # Bytes of text that a task works on at a time (a longer text is one chunk).
 CHUNK_BYTES = 512 << 10
 
@@ -35,8 +37,9 @@ _TABLES: list[str] = []
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder for one intermediate table."""
+    """A path in the shared folder for one intermediate table, removed when the driver ends."""
     _FOLDERS.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    remove_at_exit(spark, _FOLDERS[-1])
     return _FOLDERS[-1]
 
 
@@ -64,8 +67,7 @@ def remove_written(spark: SparkSession) -> None:
     for name in _TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     for path in _FOLDERS:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, path)
     _TABLES.clear()
     _FOLDERS.clear()
 

@@ -84,14 +84,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
     spark = docs.sparkSession
     windows = benchmark_windows(benchmark, item, text, window)
     short = sorted(r[0] for r in windows.where(F.col("length") < window)
-                   .select("length").distinct().collect())  # lengths below 13
+                   .select("length").distinct().collect())  # lengths below the window's
     parts = F.split("window", " ")
     fingerprints = written(
         windows.select(
             "length",
             F.explode(F.when(F.col("length") == window,
                              F.array(F.array_min(_runs(parts, run))))
-                      .otherwise(F.array(_hash_all(parts)))).alias("fingerprint"))
+                      .otherwise(F.array(_hash_all(parts, window)))).alias("fingerprint"))
         .distinct(), "benchmark-fingerprints")
     known = _lookup(fingerprints.select("fingerprint").distinct(), fingerprints.count())
 
@@ -148,10 +148,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
         F.col("_key").alias("text_sha256"))
 
 
-def _hash_all(words: Column) -> Column:
+def _hash_all(words: Column, window: int) -> Column:
     """The hash that ``_runs`` gives the run of all these words (fewer than a window)."""
     out = F.lit(None).cast("long")
-    for n in range(WINDOW - 1, 0, -1):
+    for n in range(window - 1, 0, -1):
         out = F.when(F.size(words) == n, F.xxhash64(*[F.get(words, F.lit(j)) for j in range(n)])
                      ).otherwise(out)
     return out

@@ -137,20 +137,27 @@ def links_within(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
             looks.append(F.when(field < 2, _cell(h, _half_counts(h) + F.lit(1 << (2 * s)))))
     probes = (fingerprints.select("f", F.explode(F.array(*looks)).alias("cell"))
               .where("cell IS NOT NULL"))
-    sizes = own.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    counted = own.join(sizes, "cell")
-    pairs = (counted.where(F.col("n") <= CROWDED).select("cell", F.col("f").alias("a"))
+    # What the rows of a cell are joined with is a table and not an aggregate on the
+    # join's own key, so Spark may split the rows of a crowded cell.
+    crowded = written(own.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+                      .where(F.col("n") > CROWDED), "crowded-cells")
+    pairs = (own.join(crowded, "cell", "left_anti").select("cell", F.col("f").alias("a"))
              .join(probes.select("cell", F.col("f").alias("b")), "cell")
              .where((F.col("a") != F.col("b"))
                     & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
              .select("a", "b"))
+    if crowded.isEmpty():
+        return pairs
+    return written(pairs, "cell-pairs").union(_dense_links(own, probes, crowded, max_bits))
 
-    crowded = sizes.where(F.col("n") > CROWDED)
+
+def _dense_links(own: DataFrame, probes: DataFrame, crowded: DataFrame, max_bits: int) -> DataFrame:
+    """Links of the cells of many fingerprints, tile by tile."""
     looked = (probes.join(crowded.select("cell"), "cell")
               .groupBy("cell").agg(F.count(F.lit(1)).alias("p")))
-    plan = (crowded.join(looked, "cell")
-            .select("cell", F.ceil(F.col("n") / TILE).cast("int").alias("rows"),
-                    F.ceil(F.col("p") / TILE).cast("int").alias("cols")))
+    plan = written(crowded.join(looked, "cell")
+                   .select("cell", F.ceil(F.col("n") / TILE).cast("int").alias("rows"),
+                           F.ceil(F.col("p") / TILE).cast("int").alias("cols")), "cell-tiles")
 
     def dealt(frame: DataFrame, mine: str, other: str, is_own: bool) -> DataFrame:
         part = F.pmod(F.xxhash64("f"), F.col(mine)).cast("int").alias(mine + "_at")
@@ -160,9 +167,8 @@ def links_within(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
                 .select("cell", "rows_at", "cols_at", "f", F.lit(is_own).alias("own")))
 
     tiles = dealt(own, "rows", "cols", True).union(dealt(probes, "cols", "rows", False))
-    dense = (tiles.groupBy("cell", "rows_at", "cols_at")
-             .applyInArrow(_tile_links(max_bits), "a bigint, b bigint"))
-    return pairs.union(dense)
+    return (tiles.groupBy("cell", "rows_at", "cols_at")
+            .applyInArrow(_tile_links(max_bits), "a bigint, b bigint"))
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text",
@@ -177,11 +183,12 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     distinct = written(prints.groupBy(F.col("fingerprint").alias("f"))
                        .agg(F.min(doc).alias("least")), "distinct-fingerprints")
     roots = components(links_within(distinct.select("f"), max_bits))
-    placed = distinct.join(roots.withColumnRenamed("node", "f"), "f", "left").select(
-        "f", "least", F.coalesce("root", "f").alias("component"))
-    first = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = placed.join(first, "component").select(
-        F.col("f").alias("fingerprint"), "component", "component_id")
+    placed = written(distinct.join(roots.withColumnRenamed("node", "f"), "f", "left").select(
+        "f", "least", F.coalesce("root", "f").alias("component")), "placed-fingerprints")
+    first = written(placed.groupBy("component").agg(F.min("least").alias("component_id")),
+                    "component-ids")
+    named = written(placed.join(first, "component").select(
+        F.col("f").alias("fingerprint"), "component", "component_id"), "named-fingerprints")
     return prints.join(named, "fingerprint").select(doc, *keep, "fingerprint", "component",
                                                     "component_id")
 

@@ -14,9 +14,14 @@ are scored exactly.
 Queries and rows meet in blocks: every block of queries with every block of
 rows, spread over the cluster; each pair returns at most k rows a query.
 
-Defined results: vectors that are NULL or empty, or that hold NULL, non-finite
-or too large components (quantised beyond 2**26), and rows without an id take
-no part; vectors are compared with vectors of the same length; rows that carry
+Vectors with a component beyond ``_LARGEST`` have no bitmaps. They form blocks
+of their own, whose scores (and those of other vectors with them) are taken in
+extended precision with an error bound; the rows that can be among the k
+largest are scored exactly in Python's integers. A score beyond a long has its
+exact rank and is reported as NULL.
+
+Defined results: vectors that are NULL or empty, or that hold NULL or non-finite
+components, and rows without an id take no part; vectors are compared with vectors of the same length; rows that carry
 the query's own id are its own; ties go to the smaller id, and repeated rows
 each count. An empty table gives no rows.
 """
@@ -41,15 +46,20 @@ QUERIES_PER_BLOCK = 1_024
 #: Lowest binary digits left out of the bitmaps.
 DROPPED_BITS = 1
 _LARGEST = 1 << 26
+_LONG = 1 << 63
 
-_BLOCK = "block int, dim int, ids binary, vectors binary"
-_FOUND = "query_id bigint, query_no bigint, vec_id bigint, score bigint"
+_BLOCK = "block int, dim int, wide boolean, ids binary, vectors binary"
+_FOUND = ("query_id bigint, query_no bigint, vec_id bigint, score bigint, beyond int, "
+          "magnitude binary")
 
 
 def _quantised(batches: Iterator[pa.RecordBatch], scale: int
-               ) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By vector length: ids and integer vectors of the rows that take part."""
-    found: dict[int, list] = {}
+               ) -> dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]]:
+    """By vector length and width: ids and vectors of the rows that take part.
+
+    Integer vectors, or where a component is too large for them (wide) the given ones.
+    """
+    found: dict[tuple[int, bool], list] = {}
     for batch in batches:
         ids, vectors = batch.column(0), batch.column(1)
         keep = np.asarray(ids.is_valid()) & np.asarray(vectors.is_valid())
@@ -62,25 +72,29 @@ def _quantised(batches: Iterator[pa.RecordBatch], scale: int
             rows = np.flatnonzero(length == dim)
             x = values[offsets[rows][:, None] + np.arange(dim)]
             with np.errstate(invalid="ignore", over="ignore"):
-                x = np.floor(x * scale)
-                fits = (np.abs(x) <= _LARGEST).all(axis=1)  # False for NaN
-            if fits.any():
-                found.setdefault(int(dim), []).append(
-                    (ids[rows][fits], x[fits].astype(np.int32)))
-    return {dim: (np.concatenate([i for i, _ in parts]), np.concatenate([v for _, v in parts]))
-            for dim, parts in found.items()}
+                whole = np.floor(x * scale)
+                fits = (np.abs(whole) <= _LARGEST).all(axis=1)  # False for NaN
+            wide = ~fits & np.isfinite(x).all(axis=1)
+            for mine, values_of in ((fits, whole), (wide, x)):
+                if mine.any():
+                    kind = np.int32 if mine is fits else np.float64
+                    found.setdefault((int(dim), mine is wide), []).append(
+                        (ids[rows][mine], values_of[mine].astype(kind)))
+    return {kind: (np.concatenate([i for i, _ in parts]), np.concatenate([v for _, v in parts]))
+            for kind, parts in found.items()}
 
 
 def _as_blocks(scale: int, per_block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        for dim, (ids, vectors) in _quantised(batches, scale).items():
+        for (dim, wide), (ids, vectors) in _quantised(batches, scale).items():
             for at in range(0, len(ids), per_block):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part], pa.int32()), pa.array([dim], pa.int32()),
+                    pa.array([wide], pa.bool_()),
                     pa.array([ids[at:at + per_block].tobytes()], pa.binary()),
                     pa.array([vectors[at:at + per_block].tobytes()], pa.binary()),
-                ], names=["block", "dim", "ids", "vectors"])
+                ], names=["block", "dim", "wide", "ids", "vectors"])
     return run
 
 
@@ -157,6 +171,49 @@ class BitSlicedBlock:
         return rows[best], scores[best]
 
 
+class WideBlock:
+    """A block of rows searched without bitmaps, for components of any size.
+
+    Integer values of doubles are exact in extended precision; so are products
+    of two up to its rounding, and nothing overflows.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors, self.sizes = ids, vectors, np.abs(vectors)
+        self.slack = np.longdouble(len(vectors[0]) + 2) * np.finfo(np.longdouble).eps
+
+    def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, list[int]]:
+        """Row numbers and scores of the k best rows, best first, ties to the smaller id."""
+        rows = np.flatnonzero(self.ids != own)
+        score = self.vectors[rows] @ query
+        error = (self.sizes[rows] @ np.abs(query)) * self.slack
+        if len(rows) > k:
+            least = np.partition(score - error, len(rows) - k)[len(rows) - k]
+            keep = score + error >= least
+            rows = rows[keep]
+        exact = [int(x) for x in query.tolist()]
+        scored = sorted(
+            (-sum(a * int(b) for a, b in zip(exact, self.vectors[r].tolist())), int(self.ids[r]), r)
+            for r in rows.tolist())[:k]
+        return np.array([r for _, _, r in scored], np.int64), [-s for s, _, _ in scored]
+
+
+def _extended(vectors: bytes, dim: int, wide: bool, scale: int) -> np.ndarray:
+    """Integer values in extended precision."""
+    values = np.frombuffer(vectors, np.float64 if wide else np.int32).reshape(-1, dim)
+    values = values.astype(np.longdouble)
+    return np.floor(values * scale) if wide else values
+
+
+def _beyond(score: int) -> tuple[int, bytes | None]:
+    """(sign, sortable bytes) of a score that is no long; (0, None) of one that is."""
+    if -_LONG <= score < _LONG:
+        return 0, None
+    size = abs(score).to_bytes((abs(score).bit_length() + 7) // 8, "big")
+    size = len(size).to_bytes(4, "big") + size
+    return (1, size) if score > 0 else (-1, bytes(255 - b for b in size))
+
+
 def _count(bitmap: np.ndarray) -> int:
     return int(np.bitwise_count(bitmap).sum())
 
@@ -195,25 +252,36 @@ def _at_least(slices: list[np.ndarray], rows: np.ndarray, bound: int) -> np.ndar
     return above | equal
 
 
-def _search(k: int):
+def _search(k: int, scale: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                qblock, dim, qids, queries, ids, vectors = (c[i].as_py() for c in batch.columns)
+                qblock, dim, qwide, qids, queries, wide, ids, vectors = (
+                    c[i].as_py() for c in batch.columns)
                 ids = np.frombuffer(ids, np.int64)
-                index = BitSlicedBlock(ids, np.frombuffer(vectors, np.int32).reshape(-1, dim))
-                queries = np.frombuffer(queries, np.int32).reshape(-1, dim)
-                out: list[list[np.ndarray]] = [[], [], [], []]
+                if wide or qwide:
+                    index = WideBlock(ids, _extended(vectors, dim, wide, scale))
+                    queries = _extended(queries, dim, qwide, scale)
+                else:
+                    index = BitSlicedBlock(ids, np.frombuffer(vectors, np.int32).reshape(-1, dim))
+                    queries = np.frombuffer(queries, np.int32).reshape(-1, dim)
+                out: list[list[np.ndarray]] = [[], [], []]
+                scored: list[int] = []
                 for number, (own, query) in enumerate(
                         zip(np.frombuffer(qids, np.int64), queries, strict=True)):
                     rows, scores = index.top(query, int(own), k)
                     out[0].append(np.full(len(rows), own, np.int64))
-                    out[1].append(np.full(len(rows), (qblock << 40) + (dim << 20) + number, np.int64))
+                    out[1].append(np.full(len(rows), (qblock << 40) + (dim << 20) + 2 * number
+                                          + qwide, np.int64))
                     out[2].append(ids[rows])
-                    out[3].append(scores)
+                    scored += [int(s) for s in scores]
+                beyond = [_beyond(s) for s in scored]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x), pa.int64()) for x in out],
-                    names=["query_id", "query_no", "vec_id", "score"])
+                    [*[pa.array(np.concatenate(x), pa.int64()) for x in out],
+                     pa.array([None if b else s for s, (b, _) in zip(scored, beyond)], pa.int64()),
+                     pa.array([b for b, _ in beyond], pa.int32()),
+                     pa.array([m for _, m in beyond], pa.binary())],
+                    names=["query_id", "query_no", "vec_id", "score", "beyond", "magnitude"])
     return run
 
 
@@ -230,7 +298,8 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = K, id_col: str = "vec_id
     # a number for every block of rows; blocks of one length of vectors meet
     spread = min(4 * n_rows * n_queries, 20_000)
     left = (blocks(queries, n_queries, QUERIES_PER_BLOCK)
-            .select(F.col("block").alias("query_block"), "dim", F.col("ids").alias("query_ids"),
+            .select(F.col("block").alias("query_block"), "dim", F.col("wide").alias("query_wide"),
+                    F.col("ids").alias("query_ids"),
                     F.col("vectors").alias("query_vectors"),
                     F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("block"))
             .repartition(spread, "query_block", "block", "dim"))
@@ -238,9 +307,11 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = K, id_col: str = "vec_id
              .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
              .repartition(spread, "query_block", "block", "dim"))
     found = (left.join(right, ["query_block", "block", "dim"])
-             .select("query_block", "dim", "query_ids", "query_vectors", "ids", "vectors")
-             .mapInArrow(_search(k), _FOUND))
-    order = Window.partitionBy("query_id", "query_no").orderBy(F.desc("score"), "vec_id")
+             .select("query_block", "dim", "query_wide", "query_ids", "query_vectors", "wide", "ids",
+                     "vectors")
+             .mapInArrow(_search(k, scale), _FOUND))
+    order = Window.partitionBy("query_id", "query_no").orderBy(
+        F.desc("beyond"), F.desc("magnitude"), F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

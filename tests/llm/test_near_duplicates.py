@@ -113,3 +113,19 @@ def test_intermediate_tables_can_be_removed(spark, odd_dir):
     common.remove_written(spark)
     assert not any(os.path.exists(f) for f in folders)
     assert not common._FOLDERS and not common._TABLES
+
+
+def test_the_links_of_a_large_star_are_split(spark):
+    """No task gets all links of a centre: the smallest neighbours are a table of their own."""
+    from liftlens.llm.components import _large_star, components
+    from tests.test_skew import SPLIT_ALL, settings
+    links = spark.range(1, 60_001).selectExpr("id AS a", "0L AS b")
+    with settings(spark, {**SPLIT_ALL, "spark.sql.shuffle.partitions": "8",
+                          "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+                          "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096"}):
+        moved = _large_star(links.repartition(4))
+        # the centre is every link's smaller end: joined on it, cut by adaptive execution
+        assert moved.where("b <> 0").count() == 0
+        moved.collect()
+        assert "skew=true" in moved._jdf.queryExecution().executedPlan().toString()
+        assert components(links).where("root <> 0").count() == 0

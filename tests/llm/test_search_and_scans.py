@@ -19,7 +19,7 @@ def _brute_top(rows, k, scale=64, every=20):
     for i, v in rows:
         if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
             continue
-        kept.append((i, [math.floor(scale * x) for x in v]))
+        kept.append((i, [math.floor(scale * x) if abs(x) < 1e300 else int(x) * scale for x in v]))
     out = []
     for q, qv in kept:
         if q % every == 0:
@@ -41,9 +41,24 @@ def test_top_k_with_ties_and_odd_vectors(spark, tmp_path, monkeypatch, block):
              (540, [-2.0] * 8), (541, [1e30] * 8)]
     spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, "
                           "score int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows += [(560, [-1e30, 1.0] + [0.0] * 6), (580, [1e308] * 8), (561, [2e6] * 8),
+             (562, [2e6] * 7 + [2e6 + 1 / 64]), (600, [3e6, 1.0] + [0.0] * 6), (563, [2e6] * 8)]
+    spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, "
+                          "score int").write.mode("overwrite").parquet(f"{tmp_path}/embeddings.parquet")
     out = topk.op2_topk(spark, str(tmp_path)).collect()
-    expected = _brute_top([r for r in rows if r[0] != 541], topk.K)
-    assert sorted(tuple(r) for r in out) == expected
+    expected = [(q, n, i, s if -2**63 <= s < 2**63 else None)
+                for q, n, i, s in _brute_top(rows, topk.K)]
+    key = lambda r: (r[0], r[1], r[2], r[3] is None, r[3] or 0)
+    assert sorted((tuple(r) for r in out), key=key) == sorted(expected, key=key)
+    assert {541, 580} <= {r[0] for r in out} | {r[2] for r in out}
+
+
+def test_scores_beyond_a_long_sort_by_value():
+    values = [0, 5, -5, 1 << 63, -(1 << 63), (1 << 63) - 1, -(1 << 63) - 1, 1 << 300, -(1 << 300),
+              (1 << 64) + 7, -(1 << 64) - 7]
+    key = lambda s: (topk._beyond(s)[0], topk._beyond(s)[1] or b"",
+                     0 if topk._beyond(s)[0] else s)
+    assert sorted(values, key=key) == sorted(values)
 
 
 def test_top_k_empty(spark, empty_dir):
@@ -71,6 +86,19 @@ def test_decontamination_shared_by_hash_joins(spark, monkeypatch):
     assert sorted(decontaminate.op10_decontaminate(spark, sf).collect()) == sorted(usual)
 
 
+@pytest.mark.parametrize("window", [5, 13, 20])
+def test_decontamination_by_other_windows(spark, window):
+    words = [f"w{i}" for i in range(60)]
+    items = [(1, " ".join(words[:15])), (2, " ".join(words[20:50])), (3, " ".join(words[52:56]))]
+    texts = [" ".join(words), " ".join(words[:14]), " ".join(["x"] * 30 + words[22:44]), ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.contamination(docs, bench, window=window).collect()
+    expected = brute.contaminated(texts, items, window)
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in out} == {
+        i: (n, hit, len(ids)) for i, (n, hit, ids) in enumerate(expected)}
+
+
 def test_decontamination_empty(spark, empty_dir):
     assert decontaminate.op10_decontaminate(spark, empty_dir).collect() == []
 
