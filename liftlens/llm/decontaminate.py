@@ -26,6 +26,10 @@ WINDOW = 13
 RUN = 4
 #: Fingerprints of the benchmark up to which they are broadcast (16 MB); more are joined by shuffle.
 BROADCAST_FINGERPRINTS = 1_000_000
+#: Texts that share a fingerprint, up to which their keys are broadcast (about 20 MB).
+BROADCAST_TEXTS = 200_000
+#: Words of a document whose hits are counted together.
+PIECE = 512
 
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -70,8 +74,8 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
             .agg(F.array_sort(F.collect_set("_item")).alias("items")))
 
 
-def _lookup(frame: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(frame) if rows <= BROADCAST_FINGERPRINTS else frame
+def _lookup(frame: DataFrame, rows: int, most: int) -> DataFrame:
+    return F.broadcast(frame) if rows <= most else frame
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
@@ -93,7 +97,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
                              F.array(F.array_min(_runs(parts, run))))
                       .otherwise(F.array(_hash_all(parts, window)))).alias("fingerprint"))
         .distinct(), "benchmark-fingerprints")
-    known = _lookup(fingerprints.select("fingerprint").distinct(), fingerprints.count())
+    known = _lookup(fingerprints.select("fingerprint").distinct(), fingerprints.count(),
+                    BROADCAST_FINGERPRINTS)
 
     # Every text once over: words counted, fingerprints kept.
     marks = [_winnowed(F.col("_runs"), window, run)]
@@ -105,13 +110,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
         .select("_doc", "_key", F.size("_words").cast("long").alias("n_words"),
                 (F.array_distinct(F.concat(*marks)) if short else marks[0]).alias("_marks")),
         "document-fingerprints")
-    found = (scanned.select("_key", F.explode("_marks").alias("fingerprint"))
-             .join(known, "fingerprint", "left_semi")
-             .groupBy("_key").agg(F.collect_set("fingerprint").alias("_found")))
-
-    # The texts that share a fingerprint, each once: extend hits to windows.
+    found = written(scanned.select("_key", F.explode("_marks").alias("fingerprint"))
+                    .join(known, "fingerprint", "left_semi")
+                    .groupBy("_key").agg(F.collect_set("fingerprint").alias("_found")),
+                    "shared-fingerprints")
+
+    # The texts that share a fingerprint, each once: extend hits to windows. Only these
+    # texts are shuffled, unless there are too many to look their keys up in every task.
+    few = _lookup(found.select("_key"), found.count(), BROADCAST_TEXTS)
     again = (docs.select(F.sha2(F.col(text).cast("binary"), 256).alias("_key"),
                          F.col(text).alias("_text"))
+             .join(few, "_key", "left_semi")
              .groupBy("_key").agg(F.first("_text").alias("_text"))
              .join(found, "_key")
              .select("_key", "_found", words_of(ascii_lower(F.col("_text"))).alias("_words")))
@@ -123,20 +132,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
             F.array_join(F.slice(F.col("_words"), s["start"] + 1, s["length"]), " ").alias("window"))
     )).alias("_span")).select("_key", "_span.*"))
     hits = candidates.join(windows, ["window", "length"])
+
+    # Words are counted by piece of a document, so a document of very many hits is
+    # many small groups; a piece has at most PIECE * lengths spans.
+    pieces = (hits.withColumn("_piece", F.explode(F.expr(
+        f"sequence(start div {PIECE}, (start + length - 1) div {PIECE})")))
+        .select("_key", "_piece", "items", F.expr(
+            f"named_struct('start', greatest(start, _piece * {PIECE}), "
+            f"'end', least(start + length, (_piece + 1) * {PIECE}))").alias("_cut")))
     covered = F.aggregate(
-        F.array_sort("_spans"),
-        F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("total")),
+        F.array_sort("_cuts"),
+        F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("total")),
         lambda acc, s: F.struct(
-            F.greatest(acc["end"], s["start"] + s["length"]).alias("end"),
-            (acc["total"] + F.greatest(F.lit(0), s["start"] + s["length"]
+            F.greatest(acc["end"], s["end"]).alias("end"),
+            (acc["total"] + F.greatest(F.lit(0).cast("long"), s["end"]
                                        - F.greatest(acc["end"], s["start"]))).alias("total")),
         lambda acc: acc["total"])
+    by_piece = (pieces.groupBy("_key", "_piece")
+                .agg(F.collect_set("_cut").alias("_cuts"), F.collect_set("items").alias("_items"))
+                .select("_key", covered.alias("_hit"),
+                        F.array_distinct(F.flatten("_items")).alias("_items")))
     texts = F.array_sort(F.transform(F.array_distinct(F.flatten("_items")),
                                      lambda i: i.cast("string")))
-    judged = (hits.groupBy("_key")
-              .agg(F.collect_set(F.struct("start", "length")).alias("_spans"),
-                   F.collect_set("items").alias("_items"))
-              .select("_key", covered.alias("_hit"), texts.alias("_items")))
+    judged = (by_piece.groupBy("_key")
+              .agg(F.sum("_hit").alias("_hit"), F.collect_set("_items").alias("_items"))
+              .select("_key", "_hit", texts.alias("_items")))
     n_hit = F.coalesce("_hit", F.lit(0).cast("long"))
     items = F.coalesce("_items", F.array().cast("array<string>"))
     out = scanned.drop("_marks").join(judged, "_key", "left")

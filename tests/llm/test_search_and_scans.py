@@ -83,6 +83,8 @@ def test_decontamination_shared_by_hash_joins(spark, monkeypatch):
     sf = "/root/testdata/sf0.001"
     usual = decontaminate.op10_decontaminate(spark, sf).collect()
     monkeypatch.setattr(decontaminate, "BROADCAST_FINGERPRINTS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_TEXTS", 0)
+    monkeypatch.setattr(decontaminate, "PIECE", 7)
     assert sorted(decontaminate.op10_decontaminate(spark, sf).collect()) == sorted(usual)
 
 
