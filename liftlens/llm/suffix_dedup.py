@@ -27,6 +27,13 @@ back only hashes of its own. Equal texts are put together at first (they are
 repeated throughout if they have ``length`` bytes at all), so a large group of
 copies is one row.
 
+Passages. ``shared_passages`` names the texts that share more than 50 words in
+a row with another text, which may be fewer than ``length`` bytes and then stay
+where they are. Of the runs of ``GRAM`` words in a window of words the one with
+the smallest hash is its anchor; windows whose anchor other texts have too are
+compared by their hashes. Texts that lose bytes hold a repeated string as it
+is, so windows are only sent of anchors that some other text has.
+
 Defined results: NULL counts as the empty text; texts of fewer than ``length``
 bytes keep everything; a string that overlaps its own repetition counts; rows
 that share a key or a text are judged each; extra columns are not read.
@@ -42,10 +49,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import (bucketed, mix, prefix_hash, span_hash, table, text_chunks,
-                                 written)
+from liftlens.llm.common import (bucketed, mix, powers, prefix_hash, span_hash, table,
+                                 text_chunks, word_spans, written)
 
 LENGTH = 400
+#: Words in a row that make a passage, and words of the runs that windows are found by.
+PASSAGE = 51
+GRAM = 8
 _POSITION_BITS = np.uint64(31)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -288,6 +298,96 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.substring(digest, 1, 32))
 
 
+class Passages:
+    """Windows of a number of words of a run of whole texts, and their anchors."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, words: int):
+        white = (data == 32) | ((data >= 9) & (data <= 13))
+        start, end, self.owner = word_spans(~white, offsets)
+        values = span_hash(prefix_hash(data), start, end)
+        up, self.down = powers(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[:len(values)], out=self.sums[1:])
+        self.words, n = words, len(values) - words + 1
+        self.first = self.anchor = np.empty(0, np.int64)
+        if n <= 0:
+            return
+        low = np.uint64((1 << int(_POSITION_BITS)) - 1)
+        size, span = min(GRAM, words), words - min(GRAM, words) + 1
+        gram = self.runs(np.arange(len(values) - size + 1), size)
+        self.gram = gram
+        smallest = (gram & ~low) | np.arange(len(gram), dtype=np.uint64)
+        width = 1
+        while 2 * width <= span:
+            smallest = np.minimum(smallest[:-width], smallest[width:])
+            width *= 2
+        rest = span - width
+        smallest = np.minimum(smallest[:n], smallest[rest:rest + n])
+        whole = self.owner[:n] == self.owner[words - 1:words - 1 + n]
+        self.first = np.flatnonzero(whole)
+        self.anchor = (smallest & low).astype(np.int64)[whole]
+
+    def runs(self, first: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of ``size`` words from each of the given ones on."""
+        return mix((self.sums[first + size] - self.sums[first]) * self.down[first])
+
+
+def _passage_anchors(words: int):
+    """(bucket, key, known) of the distinct anchors of texts (key, text, known)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in text_chunks(batch.column(1)):
+                found = Passages(data, offsets, words)
+                anchor = np.unique(found.anchor)
+                bucket = found.gram[anchor] if len(anchor) else np.empty(0, np.uint64)
+                first, _ = _tally([bucket, found.owner[anchor]])
+                rows = pa.array(found.owner[anchor][first] + a)
+                yield _emit(["bucket", "key", "known"], [
+                    bucket[first], batch.column(0).take(rows), batch.column(2).take(rows)])
+    return run
+
+
+def _passage_windows(words: int):
+    """(passage, key) of the windows of texts (key, text, buckets) with these anchors."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in text_chunks(batch.column(1)):
+                found = Passages(data, offsets, words)
+                if not len(found.first):
+                    continue
+                wanted = _of_texts(*_lists(batch.column(2), a, b))
+                owner = found.owner[found.first]
+                keep = np.isin(_of_texts(found.gram[found.anchor], owner), wanted)
+                windows, owner = found.runs(found.first[keep], words), owner[keep]
+                first, _ = _tally([windows, owner])
+                yield _emit(["passage", "key"], [
+                    windows[first], batch.column(0).take(pa.array(owner[first] + a))])
+    return run
+
+
+def shared_passages(texts: DataFrame, known: DataFrame, words: int = PASSAGE) -> DataFrame:
+    """key of the distinct texts (key, text, copies) that share ``words`` words in a row with
+    another text or copy; ``known`` are keys that need no answer, but answer for others."""
+    marked = texts.join(known.select("key", F.lit(True).alias("known")), "key", "left").select(
+        "key", "text", F.coalesce("known", F.lit(False)).alias("known"))
+    anchors = marked.mapInArrow(_passage_anchors(words), "bucket bigint, key binary, known boolean")
+    short = F.xxhash64("key")
+    shared = written(
+        anchors.groupBy("bucket").agg(F.min(short).alias("a"), F.max(short).alias("b"),
+                                      F.min("known").alias("known"))
+        .where((F.col("a") != F.col("b")) & ~F.col("known")).select("bucket"), "shared-passages")
+    by_text = (anchors.select("bucket", "key").join(shared, "bucket")
+               .groupBy("key").agg(F.collect_list("bucket").alias("buckets")))
+    windows = written(texts.join(by_text, "key").select("key", "text", "buckets")
+                      .mapInArrow(_passage_windows(words), "passage bigint, key binary"),
+                      "passage-windows")
+    twice = written(windows.groupBy("passage").agg(F.min("key").alias("a"), F.max("key").alias("b"))
+                    .where("a <> b").select("passage"), "passages-of-two")
+    copies = texts.where((F.col("copies") > 1) & (F.regexp_count(
+        "text", F.lit("[^\\x20\\x09-\\x0D]+")) >= words)).select("key")
+    return windows.join(twice, "passage").select("key").union(copies).distinct()
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
                    with_text: bool = False) -> DataFrame:
     """One row per distinct text that loses bytes: key, n_removed, kept_sha256, spans[, kept].
@@ -295,9 +395,13 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
     A byte is lost if a string of ``length`` bytes that covers it starts
     anywhere else too, judged on the input.
     """
+    return _repeated_in(_distinct_texts(docs, text, length), length, with_text)
+
+
+def _repeated_in(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
     if length % 16:
         raise ValueError("length must be a multiple of 16")
-    texts = _distinct_texts(docs, text, length)
+    texts = texts.where(F.octet_length("text") >= length)
     anchors = texts.select("key", "text").mapInArrow(
         _anchor_rows(length), "bucket bigint, key binary, n bigint")
     # What a bucket's rows are joined with is a table and not an aggregate on the
@@ -346,13 +450,18 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
-    lost = repeated_spans(docs).drop("kept")
+    texts = _distinct_texts(docs, "text", min(LENGTH, 2 * PASSAGE - 1))  # one letter a word at least
+    lost = written(_repeated_in(texts, LENGTH, with_text=False), "repeated-spans")
+    passages = shared_passages(texts, lost).withColumn("_passage", F.lit(True))
     nothing = F.lit(0).cast("long")
     return (docs.select("doc_id", text_key(F.col("text")).alias("key"),
                         F.octet_length(text).cast("long").alias("n_bytes"),
                         F.sha2(text.cast("binary"), 256).alias("_whole"))
-            .join(lost, "key", "left")
+            .join(lost, "key", "left").join(passages, "key", "left")
             .select("doc_id", "n_bytes", F.coalesce("n_removed", nothing).alias("n_removed"),
                     F.when(F.col("spans").isNull(), nothing)
                     .otherwise(F.size("spans")).cast("long").alias("n_spans"),
-                    F.coalesce("kept_sha256", "_whole").alias("kept_sha256")))
+                    F.coalesce("kept_sha256", "_whole").alias("kept_sha256"),
+                    (F.coalesce("n_removed", nothing) > 0).alias("loses_bytes"),
+                    (F.col("spans").isNotNull() | F.coalesce("_passage", F.lit(False)))
+                    .alias("repeats")))

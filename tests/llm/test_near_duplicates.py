@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -129,3 +130,42 @@ def test_the_links_of_a_large_star_are_split(spark):
         moved.collect()
         assert "skew=true" in moved._jdf.queryExecution().executedPlan().toString()
         assert components(links).where("root <> 0").count() == 0
+
+
+def _sharing(texts, words):
+    """Numbers of the texts that share so many words in a row with another one."""
+    where = {}
+    for i, text in enumerate(texts):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        for p in range(len(w) - words + 1):
+            where.setdefault(tuple(w[p:p + words]), set()).add(i)
+    return {i for found in where.values() if len(found) > 1 for i in found}
+
+
+def test_passages_below_the_length_are_named(spark, tmp_path):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 6)))
+    prose = lambda n: [word() for _ in range(n)]
+    passage = prose(51)
+    texts = [prose(80) + passage + prose(30), passage, ["x"] + passage, passage[1:] + prose(9),
+             prose(40) + passage[:50] + prose(10), prose(200), passage[:25] + prose(1) + passage[25:],
+             ["a"] * 51, ["b"] * 300, ["b"] * 60, prose(51)]
+    texts = ["  ".join(t) if i == 2 else " ".join(t) for i, t in enumerate(texts)]
+    texts += [texts[5], texts[10], "same short text", "same short text", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in suffix_dedup.op5_suffix_dedup(spark, str(tmp_path)).collect()}
+    removed = {i for i, r in enumerate(brute.repeats(texts, 400)) if r[1]}
+    assert {i for i, r in out.items() if r.loses_bytes} == removed
+    assert {i for i, r in out.items() if r.repeats} == removed | _sharing(texts, 51)
+    assert {0, 1, 2, 10, 12} <= {i for i, r in out.items() if r.repeats}
+    assert not {3, 4, 6, 7, 13, 15, 16} & {i for i, r in out.items() if r.repeats}
+
+
+def test_passages_of_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").toPandas()
+    out = suffix_dedup.op5_suffix_dedup(spark, "/root/testdata/sf0.001").collect()
+    sharing = {docs.doc_id[i] for i in _sharing(docs.text.tolist(), 51)}
+    assert {r.doc_id for r in out if r.repeats} == sharing | {
+        r.doc_id for r in out if r.n_removed}
+    assert {r.doc_id for r in out if r.repeats and not r.n_removed}
