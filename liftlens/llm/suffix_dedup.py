@@ -452,7 +452,9 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     texts = _distinct_texts(docs, "text", min(LENGTH, 2 * PASSAGE - 1))  # one letter a word at least
     lost = written(_repeated_in(texts, LENGTH, with_text=False), "repeated-spans")
-    passages = shared_passages(texts, lost).withColumn("_passage", F.lit(True))
+    # a table, not an aggregate on the join's key: the rows of a large group of copies may be split
+    passages = written(shared_passages(texts, lost).withColumn("_passage", F.lit(True)),
+                       "passage-texts")
     nothing = F.lit(0).cast("long")
     return (docs.select("doc_id", text_key(F.col("text")).alias("key"),
                         F.octet_length(text).cast("long").alias("n_bytes"),
