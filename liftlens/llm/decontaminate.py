@@ -154,9 +154,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id",
                         F.array_distinct(F.flatten("_items")).alias("_items")))
     texts = F.array_sort(F.transform(F.array_distinct(F.flatten("_items")),
                                      lambda i: i.cast("string")))
-    judged = (by_piece.groupBy("_key")
-              .agg(F.sum("_hit").alias("_hit"), F.collect_set("_items").alias("_items"))
-              .select("_key", "_hit", texts.alias("_items")))
+    # a table, not an aggregate on the join's key: the rows of a large group of copies may be split
+    judged = written(by_piece.groupBy("_key")
+                     .agg(F.sum("_hit").alias("_hit"), F.collect_set("_items").alias("_items"))
+                     .select("_key", "_hit", texts.alias("_items")), "judged-texts")
     n_hit = F.coalesce("_hit", F.lit(0).cast("long"))
     items = F.coalesce("_items", F.array().cast("array<string>"))
     out = scanned.drop("_marks").join(judged, "_key", "left")
