@@ -112,6 +112,26 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES
         row = end
 
 
+def letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes of lower-case text belong to words: ASCII letters and bytes over 127."""
+    return ((data >= 97) & (data <= 122)) | (data >= 128)
+
+
+def word_safe_pieces(data: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, end) of pieces of up to ``limit`` bytes that cut no word; a longer word is whole."""
+    start, n = 0, len(data)
+    while start < n:
+        seen, end = start, min(n, start + limit)
+        while end < n:
+            gaps = np.flatnonzero(~letters(data[seen:end] | np.uint8(32)))
+            if len(gaps):
+                end = seen + int(gaps[-1]) + 1
+                break
+            seen, end = end, min(n, end + limit)
+        yield start, end
+        start = end
+
+
 BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}

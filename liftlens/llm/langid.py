@@ -7,8 +7,11 @@ are trained together by stochastic gradient descent in numpy. Averaging and
 the linear layer commute, so scoring sums one short row of class scores a
 subword.
 
-Training rows are a bounded sample: ``SAMPLE_PER_LANGUAGE`` texts of each
-language, in hash order, up to ``LONGEST_SAMPLE`` bytes. A part is held back
+Training rows are a bounded sample: up to ``SAMPLE_PER_LANGUAGE`` texts of each
+language, in hash order, up to ``LONGEST_SAMPLE`` bytes, and ``SAMPLE_ROWS`` of
+all languages together (the first of each, then the second of each, and so on,
+however many languages there are). Texts over ``CHUNK_BYTES`` are scored in
+pieces that cut no word and whose class scores are added. A part is held back
 to fit the softmax temperature and the rejection threshold: the score below
 which at most ``REJECTED_SHARE`` of the right answers lie (a text below it is
 marked ``rejected``; the answer stays the likeliest language).
@@ -20,7 +23,7 @@ learned from; repeated rows are answered each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import (id_remainder, lower_latin, prefix_hash, reduce_rows, span_hash,
-                                 table, text_chunks, word_spans)
+from liftlens.llm.common import (id_remainder, letters, lower_latin, prefix_hash, reduce_rows,
+                                 span_hash, table, text_chunks, word_safe_pieces, word_spans)
 
 SAMPLE_PER_LANGUAGE = 1_500
+SAMPLE_ROWS = 6_000
 LONGEST_SAMPLE = 32 << 10
 BUCKET_BITS = 15
 DIM = 12
@@ -56,7 +60,7 @@ class LanguageModel:
 def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, text number) of every subword, by text."""
     data = lower_latin(data)
-    is_word = ((data >= 97) & (data <= 122)) | (data >= 128)
+    is_word = letters(data)
     start, end, owner = word_spans(is_word, offsets)
     shift = np.uint64(64 - BUCKET_BITS)
     prefix = prefix_hash(data)
@@ -77,7 +81,7 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate([words, runs])[order], owners[order]
 
 
-def _features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+def _features(texts: Iterable[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Distinct buckets and their shares, for each text."""
     out = []
     for text in texts:
@@ -87,7 +91,7 @@ def _features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def train(texts: list[str], languages: list[str], seed: int = 11) -> LanguageModel:
+def train(texts: Iterable[str], languages: list[str], seed: int = 11) -> LanguageModel:
     names = sorted(set(languages))
     buckets = 1 << BUCKET_BITS
     if not names:
@@ -95,8 +99,8 @@ def train(texts: list[str], languages: list[str], seed: int = 11) -> LanguageMod
     rng = np.random.default_rng(seed)
     features = _features(texts)
     y = np.array([names.index(x) for x in languages])
-    order = rng.permutation(len(texts))
-    held = order[::CALIBRATION_SHARE] if len(texts) >= 10 * CALIBRATION_SHARE else order
+    order = rng.permutation(len(y))
+    held = order[::CALIBRATION_SHARE] if len(y) >= 10 * CALIBRATION_SHARE else order
     fit = np.setdiff1d(order, held) if len(held) < len(order) else order
     embed = rng.normal(0, 0.1, (buckets, DIM)).astype(np.float32)
     weights = rng.normal(0, 0.5, (DIM, len(names))).astype(np.float32)
@@ -145,6 +149,18 @@ def _softmax(model: LanguageModel, z: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return q[np.arange(len(q)), which], which
 
 
+def class_scores(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(texts, languages): the mean class scores of each text's subwords plus the offset."""
+    rows = len(offsets) - 1
+    total, count = np.zeros((rows, len(model.names)), np.float32), np.zeros((rows, 1), np.int64)
+    pieces = word_safe_pieces(data) if rows == 1 else [(0, len(data))]
+    for s, e in pieces:
+        ids, owner = subwords(data[s:e], np.clip(offsets, s, e) - s)
+        total += reduce_rows(np.add, model.scores[ids], owner, rows, 0.0)
+        count += np.bincount(owner, minlength=rows)[:, None]
+    return total / np.maximum(count, 1) + model.offset
+
+
 def _predictor(model: LanguageModel):
     names = np.array([*model.names, UNKNOWN], object)
 
@@ -155,10 +171,7 @@ def _predictor(model: LanguageModel):
             which, best = np.full(n, len(model.names)), np.zeros(n)
             if model.names:
                 for a, b, data, offsets in text_chunks(batch.column(batch.num_columns - 1)):
-                    ids, owner = subwords(data, offsets)
-                    total = reduce_rows(np.add, model.scores[ids], owner, b - a, 0.0)
-                    count = np.bincount(owner, minlength=b - a)[:, None]
-                    z = total / np.maximum(count, 1) + model.offset
+                    z = class_scores(model, data, offsets)
                     best[a:b], which[a:b] = _softmax(model, z)
                 which = np.where(lettered, which, len(model.names))
                 best = np.where(lettered, best, 0.0)
@@ -180,7 +193,8 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text: str =
                                                f"rejected boolean")
 
 
-def fit(docs: DataFrame, learn: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
+def fit(docs: DataFrame, learn: Column, per_language: int = SAMPLE_PER_LANGUAGE,
+        in_all: int = SAMPLE_ROWS) -> LanguageModel:
     """Train on a bounded sample of the documents for which ``learn`` holds."""
     rows = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull())
     order = F.xxhash64("text", "doc_id")
@@ -188,13 +202,14 @@ def fit(docs: DataFrame, learn: Column, per_language: int = SAMPLE_PER_LANGUAGE)
               .select("lang", order.alias("_order")).distinct()
               .withColumn("_rank", F.row_number().over(
                   Window.partitionBy("lang").orderBy("_order")))
-              .where(F.col("_rank") <= per_language).drop("_rank"))
-    # at most per_language rows a language
+              .where(F.col("_rank") <= per_language)
+              .orderBy("_rank", "_order").limit(in_all).drop("_rank"))
+    # at most in_all rows, however many languages
     sample = (rows.select("lang", "text", order.alias("_order"))
               .join(F.broadcast(picked), ["lang", "_order"])
               .dropDuplicates(["lang", "_order"]).orderBy("lang", "_order")
-              .select("lang", "text").toPandas())
-    return train(sample["text"].tolist(), sample["lang"].tolist())
+              .select("lang", "text").toArrow())
+    return train((text.as_py() for text in sample["text"]), sample["lang"].to_pylist())
 
 
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

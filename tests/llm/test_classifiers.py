@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from liftlens.llm import langid, toxicity
+from liftlens.llm import common, langid, toxicity
 from tests.llm.brute import remainder
 from tests.llm.conftest import odd_rows
 
@@ -28,10 +33,90 @@ def test_toxicity_reads_only_the_text(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     learn = F.col("doc_id") % 2 == 0
-    a = toxicity.fit(docs, labels, learn, 100)
-    b = toxicity.fit(docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit("s")),
-                     labels, learn, 100)
-    assert (a.thresholds == b.thresholds).all() and (a.embedding == b.embedding).all()
+    other = docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit("s"))
+    a, b = (toxicity.fit(d, labels, learn, 100) for d in (docs, other))
+    assert (a.embedding == b.embedding).all() and (a.weights == b.weights).all()
+    one, two = (toxicity.score(d, a, ["doc_id"]).orderBy("doc_id", "score").collect()
+                for d in (docs, other))
+    assert one == two
+
+
+def test_language_groups_are_learned(spark):
+    docs = pd.read_parquet(f"{SF}/documents.parquet").dropna(subset=["text", "lang"])
+    docs = docs[docs.text.str.len() > 200].head(900)
+    words = [toxicity.tokens(data, np.array([0, len(data)]))[0]
+             for data in (np.frombuffer(t.encode(), np.uint8) for t in docs.text)]
+    fit, test = slice(0, 600), slice(600, None)
+    langs = docs.lang.tolist()
+    names, telling = toxicity.learn_groups(words[fit], langs[fit])
+    assert names == sorted(set(docs.lang))
+    model = toxicity.ToxicityModel(np.empty(0), [], np.empty(0), np.empty(0), 0.0, np.empty(0),
+                                   languages=names, telling=telling)
+    told = [toxicity.groups(model, w, np.zeros(len(w), int), 1)[0] for w in words[test]]
+    right = [g > 0 and names[g - 1] == lang for g, lang in zip(told, langs[test], strict=True)]
+    assert np.mean(right) >= 0.95
+    assert toxicity.learn_groups([], []) [0] == []
+    assert toxicity.learn_groups(words, [None] * len(words))[0] == []
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    """The scores of a text do not depend on the pieces that it is worked on in."""
+    rng = np.random.default_rng(4)
+    parts = ["w" * 700, "\u00e9" * 301, "", "A", "7;,", "Stra\u00dfe"]
+    words = [str(rng.choice(parts)) if rng.random() < 0.05 else
+             "".join(rng.choice(list("abcdeéß"), rng.integers(1, 9))) for _ in range(3_000)]
+    text = " ".join(words)
+    data = np.frombuffer(text.encode(), np.uint8)
+    ends = np.array([0, len(data)])
+    toxic = toxicity.train([text[i:i + 60] for i in range(0, 6_000, 60)], [0, 1] * 50)
+    lang = langid.train([text[i:i + 60] for i in range(0, 6_000, 60)], ["x", "y"] * 50)
+    whole = [toxicity.tokens(data, ends), langid.class_scores(lang, data, ends)]
+    logit = toxicity.logits(toxic, *whole[0], 1)
+    for limit in (64, 1_000):
+        monkeypatch.setattr(common.word_safe_pieces, "__defaults__", (limit,))
+        monkeypatch.setattr(toxicity, "CHUNK_BYTES", limit)
+        monkeypatch.setattr(toxicity, "SLICE", limit)
+        pieces = list(common.word_safe_pieces(data))
+        assert len(pieces) > 10 and pieces[0][0] == 0 and pieces[-1][1] == len(data)
+        for got, expected in zip(toxicity.tokens(data, ends), whole[0], strict=True):
+            assert (got == expected).all()
+        assert np.allclose(toxicity.logits(toxic, *whole[0], 1), logit, atol=1e-5)
+        assert np.allclose(langid.class_scores(lang, data, ends), whole[1], atol=1e-4)
+
+
+def test_a_text_of_64_megabytes():
+    """Scoring works on pieces: its own memory stays far below a gigabyte."""
+    code = """
+import resource, sys
+import numpy as np
+from liftlens.llm import common, langid, toxicity
+toxic = toxicity.train(["good day", "bad thing"] * 40, [0, 1] * 40)
+lang = langid.train(["good day", "guten tag"] * 40, ["en", "de"] * 40)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+data = np.frombuffer(b"good day to bad things " * (64 * 1024 * 1024 // 23), np.uint8)
+ends = np.array([0, len(data)])
+toxicity.logits(toxic, *toxicity.tokens(data, ends), 1)
+langid.class_scores(lang, data, ends)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         cwd=Path(__file__).parents[2])
+    assert float(out.stdout) < 1_000
+
+
+def test_the_sample_is_bounded_over_all_languages(spark):
+    docs = spark.range(4_000).selectExpr(
+        "id AS doc_id", "concat('word', id) AS text", "concat('l', id % 300) AS lang")
+    seen = []
+    old = langid.train
+    try:
+        langid.train = lambda texts, languages: seen.append((list(texts), languages))
+        langid.fit(docs, F.lit(True), 5, 700)
+    finally:
+        langid.train = old
+    texts, languages = seen[0]
+    assert len(texts) == 700 and len(set(languages)) == 300
+    assert max(pd.Series(languages).value_counts()) == 3
 
 
 def test_langid_held_out(spark):
