@@ -7,7 +7,9 @@ are kept in order of the room left; an item goes to the tightest bin that has
 room and no conflict: the search starts at the first bin with enough room and
 continues to its successors. Conflicts are two bitmaps a bin carries, of the
 sources and of the duplicate clusters in it: no bin holds two items of one
-source, or two of one cluster.
+source, or two of one cluster. The clusters of the registered query are the
+components of SimHash near-duplicates; ``pack_documents`` takes equal texts, for
+documents whose near-duplicates are gone.
 
 Dealing is by row and not by any column, so neither a common source nor a large
 cluster gathers in a group, and a task holds one group at a time.
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftlens.llm.common import blocks_of, table
+from liftlens.llm.simhash import near_duplicates
 
 CAPACITY = 8_192
 ITEMS_PER_GROUP = 4_096
@@ -127,5 +130,14 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 F.when(F.col("text") != "", F.xxhash64("text")), capacity=capacity)
 
 
+def pack_near_duplicates_apart(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Documents packed by UTF-8 bytes; a cluster is a SimHash component (empty texts: none)."""
+    found = near_duplicates(docs.select("doc_id", "source", "text",
+                                        F.octet_length("text").alias("bytes")),
+                            keep=("source", "bytes"))
+    return pack(found, F.col("bytes"), F.col("source"),
+                F.when(F.col("bytes") > 0, F.col("component")), capacity=capacity)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_near_duplicates_apart(table(spark, sf_dir, "documents"))

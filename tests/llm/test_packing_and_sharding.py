@@ -8,7 +8,7 @@ from collections import Counter
 
 import pandas as pd
 
-from liftlens.llm import packing, sharding
+from liftlens.llm import packing, sharding, simhash
 from tests.llm.conftest import odd_rows
 
 
@@ -63,6 +63,21 @@ def test_packing_of_documents(spark):
     docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
     rows = packing.op6_packing(spark, "/root/testdata/sf0.01").toPandas()
     _check_packing(rows, list(zip(docs.doc_id, docs.text)), packing.CAPACITY)
+    # the bins are those of the plain best fit, group by group in the order of the items
+    per_group = rows.groupby(rows.bin // (1 << 20), sort=False)
+    for _, group in per_group:
+        sources, clusters = ([None if pd.isna(v) else v for v in group[c]]
+                             for c in ("source", "cluster"))
+        assert (group.bin % (1 << 20)).tolist() == _plain_best_fit(
+            group["size"].tolist(), sources, clusters, packing.CAPACITY)
+    # the clusters are the components of near-duplicates
+    found = simhash.op3_simhash(spark, "/root/testdata/sf0.01").toPandas()
+    component = dict(zip(found.doc_id, found.component_id))
+    whole = rows.dropna(subset=["cluster"]).drop_duplicates("doc_id")
+    named = whole.doc_id.map(component)
+    assert len(whole) == (docs.text.fillna("") != "").sum()
+    assert whole.groupby("cluster").doc_id.count().max() > 1
+    assert len(set(zip(named, whole.cluster))) == whole.cluster.nunique() == named.nunique()
 
 
 def test_packing_odd_rows_in_small_groups(spark, odd_dir):
