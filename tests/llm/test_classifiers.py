@@ -41,6 +41,41 @@ def test_toxicity_reads_only_the_text(spark):
     assert one == two
 
 
+def _toxic_rows(spark, count, long):
+    """(documents, labels): every fourth text says so in one word, in a text of so many words."""
+    docs = spark.range(count).select(
+        F.col("id").alias("doc_id"), F.concat(
+            F.expr(f"repeat(concat('day', id % 7, ' '), {long})"),
+            F.when(F.col("id") % 4 == 0, "vile").otherwise("kind")).alias("text"),
+        F.lit("en").alias("lang"))
+    return docs, docs.selectExpr("doc_id", "cast(doc_id % 4 = 0 AS int) AS toxic")
+
+
+def test_toxicity_learns_from_long_texts(spark):
+    """Texts over 64 KB were left out of the sample that the model was trained on before."""
+    docs, labels = _toxic_rows(spark, 60, 15_000)
+    model = toxicity.fit(docs, labels, F.lit(True), 60)
+    assert model.constant is None
+    got = toxicity.score(docs.join(labels, "doc_id"), model, ["toxic"]).collect()
+    assert all(r.predicted == r.toxic for r in got)
+
+
+def test_toxicity_learns_from_every_row(spark, monkeypatch):
+    """No row is left out (3,000 a class before); averages of several tasks tell the classes
+    apart, and the same rows give the same model."""
+    monkeypatch.setattr(toxicity, "LEAST_ROWS", 1_200)
+    docs, labels = _toxic_rows(spark, 4_500, 3)
+    calibrated = []
+    choose = toxicity._thresholds
+    monkeypatch.setattr(toxicity, "_thresholds", lambda model, table: (
+        calibrated.append(table["n"].to_pandas().sum()), choose(model, table))[1])
+    a, b = (toxicity.fit(docs, labels, F.lit(True)) for _ in range(2))
+    assert calibrated[0] == calibrated[1] and 750 < calibrated[0] < 1_050
+    assert (a.embedding == b.embedding).all() and a.offset == b.offset
+    got = toxicity.score(docs.join(labels, "doc_id"), a, ["toxic"]).collect()
+    assert all(r.predicted == r.toxic for r in got)
+
+
 def test_language_groups_are_learned(spark):
     docs = pd.read_parquet(f"{SF}/documents.parquet").dropna(subset=["text", "lang"])
     docs = docs[docs.text.str.len() > 200].head(900)
