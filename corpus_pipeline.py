@@ -43,9 +43,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
             .dropDuplicates(["__key", "doc_id"]).drop("__key"))
 
 
-def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of strings that start in two places or more are cut from the texts."""
-    lost = (suffix_dedup.repeated_spans(docs, with_text=True)
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str, passage: int = 0) -> DataFrame:
+    """Bytes of strings that start in two places or more are cut from the texts; and, if
+    ``passage`` is given, so many words in a row that two texts or more have."""
+    lost = (suffix_dedup.repeated_spans(docs, with_text=True, passage=passage)
             .select(F.col("key").alias("__key"), F.col("kept").alias("__kept")))
     cut = docs.withColumn("__key", suffix_dedup.text_key(F.col("text"))).join(lost, "__key", "left")
     text = F.coalesce("__kept", "text")
@@ -54,6 +55,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
 
 
+def cut_repeats_and_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated byte strings are cut, and passages of over 50 words that texts share."""
+    return cut_repeats(spark, docs, sf_dir, suffix_dedup.PASSAGE)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth or more of their words in benchmark passages go."""
     judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -70,7 +76,7 @@ def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash near-dedup", drop_near_duplicates),
-    ("suffix-array dedup", cut_repeats),
+    ("suffix-array dedup", cut_repeats_and_passages),
     ("benchmark decontamination", drop_contaminated),
     ("best-fit packing", pack_bins),
 ]

@@ -33,6 +33,8 @@ where they are. Of the runs of ``GRAM`` words in a window of words the one with
 the smallest hash is its anchor; windows whose anchor other texts have too are
 compared by their hashes. Texts that lose bytes hold a repeated string as it
 is, so windows are only sent of anchors that some other text has.
+``repeated_spans`` takes the bytes of such windows away too if it is asked for
+passages: from every text that holds them, as with the byte strings.
 
 Defined results: NULL counts as the empty text; texts of fewer than ``length``
 bytes keep everything; a string that overlaps its own repetition counts; rows
@@ -229,7 +231,7 @@ def _start_rows(length: int):
     return run
 
 
-def _cut(length: int, with_text: bool):
+def _cut(length: int, with_text: bool, passage: int):
     """key, n_removed, n_spans, kept_sha256, spans (and the kept text) of marked texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,6 +253,15 @@ def _cut(length: int, with_text: bool):
                     hit = np.isin(_of_texts(last, block["owner"][at]), _of_texts(values, owner))
                     np.add.at(change, p[hit], 1)
                     np.add.at(change, p[hit] + length, -1)
+                if passage:
+                    words = Passages(data, offsets, passage)
+                    values, owner = _lists(batch.column(4), a, b)
+                    first = words.first
+                    hit = first[np.isin(
+                        _of_texts(words.runs(first, passage), words.owner[first]),
+                        _of_texts(values, owner))] if len(first) else first
+                    np.add.at(change, words.start[hit], 1)
+                    np.add.at(change, words.end[hit + passage - 1], -1)
                 covered = np.cumsum(change[:-1]) > 0
                 yield _cut_texts(batch.column(0).slice(a, b - a), data, offsets, covered,
                                  with_text)
@@ -303,8 +314,8 @@ class Passages:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, words: int):
         white = (data == 32) | ((data >= 9) & (data <= 13))
-        start, end, self.owner = word_spans(~white, offsets)
-        values = span_hash(prefix_hash(data), start, end)
+        self.start, self.end, self.owner = word_spans(~white, offsets)
+        values = span_hash(prefix_hash(data), self.start, self.end)
         up, self.down = powers(len(values) + 1)
         self.sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * up[:len(values)], out=self.sums[1:])
@@ -365,11 +376,15 @@ def _passage_windows(words: int):
     return run
 
 
-def shared_passages(texts: DataFrame, known: DataFrame, words: int = PASSAGE) -> DataFrame:
-    """key of the distinct texts (key, text, copies) that share ``words`` words in a row with
-    another text or copy; ``known`` are keys that need no answer, but answer for others."""
-    marked = texts.join(known.select("key", F.lit(True).alias("known")), "key", "left").select(
-        "key", "text", F.coalesce("known", F.lit(False)).alias("known"))
+def _passages_of_two(texts: DataFrame, words: int, known: DataFrame | None = None
+                     ) -> tuple[DataFrame, DataFrame]:
+    """(passage, key) of windows whose anchors other texts have too, and the passages that
+    several texts have."""
+    if known is None:
+        marked = texts.select("key", "text", F.lit(False).alias("known"))
+    else:
+        marked = texts.join(known.select("key", F.lit(True).alias("known")), "key", "left").select(
+            "key", "text", F.coalesce("known", F.lit(False)).alias("known"))
     anchors = marked.mapInArrow(_passage_anchors(words), "bucket bigint, key binary, known boolean")
     short = F.xxhash64("key")
     shared = written(
@@ -383,25 +398,34 @@ def shared_passages(texts: DataFrame, known: DataFrame, words: int = PASSAGE) ->
                       "passage-windows")
     twice = written(windows.groupBy("passage").agg(F.min("key").alias("a"), F.max("key").alias("b"))
                     .where("a <> b").select("passage"), "passages-of-two")
+    return windows, twice
+
+
+def shared_passages(texts: DataFrame, known: DataFrame, words: int = PASSAGE) -> DataFrame:
+    """key of the distinct texts (key, text, copies) that share ``words`` words in a row with
+    another text or copy; ``known`` are keys that need no answer, but answer for others."""
+    windows, twice = _passages_of_two(texts, words, known)
     copies = texts.where((F.col("copies") > 1) & (F.regexp_count(
         "text", F.lit("[^\\x20\\x09-\\x0D]+")) >= words)).select("key")
     return windows.join(twice, "passage").select("key").union(copies).distinct()
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH,
-                   with_text: bool = False) -> DataFrame:
+                   with_text: bool = False, passage: int = 0) -> DataFrame:
     """One row per distinct text that loses bytes: key, n_removed, kept_sha256, spans[, kept].
 
     A byte is lost if a string of ``length`` bytes that covers it starts
-    anywhere else too, judged on the input.
+    anywhere else too, judged on the input; and, if ``passage`` is given, if it
+    lies in so many words in a row that another text has too.
     """
-    return _repeated_in(_distinct_texts(docs, text, length), length, with_text)
+    least = min(length, 2 * passage - 1) if passage else length  # one letter a word at least
+    return _repeated_in(_distinct_texts(docs, text, least), length, with_text, passage)
 
 
-def _repeated_in(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
+def _repeated_in(texts: DataFrame, length: int, with_text: bool, passage: int = 0) -> DataFrame:
     if length % 16:
         raise ValueError("length must be a multiple of 16")
-    texts = texts.where(F.octet_length("text") >= length)
+    every, texts = texts, texts.where(F.octet_length("text") >= length)
     anchors = texts.select("key", "text").mapInArrow(
         _anchor_rows(length), "bucket bigint, key binary, n bigint")
     # What a bucket's rows are joined with is a table and not an aggregate on the
@@ -430,16 +454,25 @@ def _repeated_in(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
     repeated = written(starts.groupBy("core", "last").agg(F.sum("n").alias("n"))
                        .where(F.col("n") > 1).select("core", "last"), "repeated-strings")
     nothing = F.lit(None).cast("bigint")
-    marks = (blocks.join(settled, ["core", "span"]).select("key", "span", nothing.alias("last"))
-             .union(starts.join(repeated, ["core", "last"]).select("key", nothing, "last"))
-             .groupBy("key").agg(F.collect_set("span").alias("spans"),
-                                 F.collect_set("last").alias("lasts")))
+    found = (blocks.join(settled, ["core", "span"])
+             .select("key", "span", nothing.alias("last"), nothing.alias("passage"))
+             .union(starts.join(repeated, ["core", "last"]).select("key", nothing, "last", nothing)))
+    enough = F.octet_length("text") >= length
+    if passage:
+        windows, twice = _passages_of_two(every, passage)
+        found = found.union(windows.join(twice, "passage")
+                            .select("key", nothing, nothing, "passage"))
+        # a copied text has all its words in common with its copies
+        enough |= F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")) >= passage
+    marks = found.groupBy("key").agg(*[F.collect_set(c).alias(f"{c}s")
+                                       for c in ("span", "last", "passage")])
     schema = ("key binary, n_removed bigint, kept_sha256 string, "
               "spans array<struct<start:bigint,end:bigint>>" + ", kept string" * with_text)
-    cut = (texts.where("copies = 1").join(marks, "key").select("key", "text", "spans", "lasts")
-           .mapInArrow(_cut(length, with_text), schema).where("n_removed > 0"))
+    cut = (every.where("copies = 1").join(marks, "key")
+           .select("key", "text", "spans", "lasts", "passages")
+           .mapInArrow(_cut(length, with_text, passage), schema).where("n_removed > 0"))
     size = F.octet_length("text").cast("long")
-    whole = (texts.where("copies > 1")
+    whole = (every.where(F.col("copies") > 1).where(enough)
              .select("key", size.alias("n_removed"),
                      F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"),
                      F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("end")))

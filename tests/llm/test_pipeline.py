@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 import pandas as pd
 
 import corpus_pipeline as pipeline
@@ -70,3 +73,44 @@ def test_toxic_documents_go(spark):
     toxic, fine = set(labels[labels.toxic == 1].doc_id), set(labels[labels.toxic == 0].doc_id)
     assert len(toxic & left) <= 0.1 * len(toxic)
     assert len(fine - left) <= 0.02 * len(fine)
+
+
+def _without_passages(texts, words):
+    """Each text without the bytes that ``words`` words in a row cover which another text has."""
+    spans = [list(re.finditer(rb"[^\x20\x09-\x0D]+", t.encode())) for t in texts]
+    where = {}
+    for i, found in enumerate(spans):
+        for p in range(len(found) - words + 1):
+            where.setdefault(tuple(m[0] for m in found[p:p + words]), set()).add(i)
+    out = []
+    for text, found in zip(texts, spans, strict=True):
+        keep = bytearray(b"\x01" * len(text.encode()))
+        for p in range(len(found) - words + 1):
+            if len(where[tuple(m[0] for m in found[p:p + words])]) > 1:
+                a, b = found[p].start(), found[p + words - 1].end()
+                keep[a:b] = bytes(b - a)
+        out.append(bytes(c for c, k in zip(text.encode(), keep, strict=True) if k).decode())
+    return out
+
+
+def test_shared_passages_are_cut(spark):
+    """Passages of over 50 short words stayed in the texts before: 400 bytes had to repeat."""
+    rnd = random.Random(5)
+    prose = lambda n: ["".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 5)))
+                       for _ in range(n)]
+    passage, other = prose(51), prose(60)
+    texts = [prose(70) + passage + prose(20), passage + prose(9), prose(30) + passage[:50],
+             other, prose(5) + other + prose(5) + other, ["b"] * 300, prose(51), prose(90)]
+    texts = ["  ".join(t) if i == 1 else " ".join(t) for i, t in enumerate(texts)]
+    texts += [texts[6], "short", "short", ""]  # copies lose all: their words are shared
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(pipeline.STAGES)["suffix-array dedup"]
+    got = {r.doc_id: r for r in stage(spark, docs, "").collect()}
+    longest = [r[1] for r in brute.repeats(texts, 400)]
+    assert longest[5] and not any(longest[:5] + longest[6:])
+    for i, text in enumerate(_without_passages(texts, 51)):
+        if i != 5:  # repeats itself
+            assert got[i].text == text and got[i].n_chars == len(text)
+    assert all(got[i].text != texts[i] for i in (0, 1, 3, 4, 5, 6, 8))
+    assert all(got[i].text == texts[i] for i in (2, 7, 9, 10, 11))
