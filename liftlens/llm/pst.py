@@ -52,6 +52,7 @@ DIVERGENCE = 6.0
 SMOOTHING = 4.0
 FREQUENT = 1 << 16
 FOLDS = 7
+COUNTED = 2 << 20  # counted runs that a task holds before it sends their sums
 
 _BYTES = 256
 _SPACE, _END = 0x20, 0x0A
@@ -86,8 +87,7 @@ def parse(data: np.ndarray, offsets: np.ndarray) -> Words:
     base = np.append(before, before[-1] + size[-1] if len(size) else 0)[first_of_text]
     at = begin[owner] + DEPTH + before - base[owner]
     places = np.flatnonzero(is_word)
-    word = np.repeat(np.arange(len(start)), end - start)
-    stream[at[word] + places - start[word]] = data[places]
+    stream[places + np.repeat(at - start, end - start)] = data[places]
     stream[np.cumsum(per_text) - 1] = _END
     scored = np.ones(len(stream), bool)
     for j in range(DEPTH):
@@ -96,18 +96,52 @@ def parse(data: np.ndarray, offsets: np.ndarray) -> Words:
                  np.repeat(np.arange(rows), per_text - DEPTH))
 
 
+def runs(words: Words) -> np.ndarray:
+    """The DEPTH + 1 bytes that end at every scored place, as a number."""
+    two = words.stream.astype(np.uint64)
+    two[1:] |= two[:-1] << np.uint64(8)
+    two &= np.uint64(0xFFFF)
+    run = two.copy()  # DEPTH + 1 is even: two bytes at a time
+    for j in range(2, DEPTH + 1, 2):
+        run[j:] |= two[:-j] << np.uint64(8 * j)
+    return run[words.scored]
+
+
+def _summed(found: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and their counts of several counted runs."""
+    values, n = np.concatenate(found), np.concatenate(counts)
+    order = np.argsort(values)
+    values, n = values[order], n[order]
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    return values[first], np.add.reduceat(n, first)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = (_WORD, _RUN)
+    found, counts, texts = {k: [] for k in kinds}, {k: [] for k in kinds}, 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for kind in kinds:
+            if found[kind]:
+                values, n = _summed(found[kind], counts[kind])
+                yield _rows(np.full(len(values), kind), values.view(np.int64), n)
+                found[kind].clear()
+                counts[kind].clear()
+
     for batch in batches:
         for a, b, data, offsets in text_chunks(batch.column(0), 4 * CHUNK_BYTES):
             words = parse(data, offsets)
-            wide = words.stream.astype(np.uint64)
-            run = np.zeros(len(words.scored), np.uint64)
-            for j in range(DEPTH, -1, -1):
-                run = (run << np.uint64(8)) | wide[words.scored - j]
-            for kind, values in ((_WORD, words.hashes), (_RUN, run)):
-                found, n = np.unique(values, return_counts=True)
-                yield _rows(np.full(len(found), kind), found.view(np.int64), n)
-            yield _rows(np.array([_TEXT]), np.array([0]), np.array([b - a]))
+            for kind, values in ((_WORD, words.hashes), (_RUN, runs(words))):
+                if len(values):
+                    distinct, n = np.unique(values, return_counts=True)
+                    found[kind].append(distinct)
+                    counts[kind].append(n)
+            texts += b - a
+            if sum(len(x) for x in found[_RUN]) >= COUNTED:
+                yield from rows()
+    yield from rows()
+    if texts:
+        yield _rows(np.array([_TEXT]), np.array([0]), np.array([texts]))
 
 
 def _rows(kind: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -277,6 +311,19 @@ def _by_text(values: np.ndarray, owner: np.ndarray, rows: int
             np.searchsorted(o[first], np.arange(rows + 1)))
 
 
+def _by_text_and_gram(grams: np.ndarray, owner: np.ndarray
+                      ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct grams of each text in order, how often they occur, and their texts."""
+    bits = 8 * (DEPTH + 1)
+    top = 1 << (63 - bits)  # texts that fit into a number above a gram
+    out = []
+    cuts = np.searchsorted(owner, np.arange(0, int(owner[-1]) + 1 if len(owner) else 1, top))
+    for k, (lo, hi) in enumerate(zip(cuts, np.append(cuts[1:], len(owner)), strict=True)):
+        key, n = np.unique(((owner[lo:hi] - k * top) << bits) | grams[lo:hi], return_counts=True)
+        out.append((key & ((1 << bits) - 1), n.astype(np.int32), (key >> bits) + k * top))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def _scored(tree: SuffixTree, words: np.ndarray, logs: np.ndarray):
     """Scores by the frequent states, sums over the frequent words, and the other words and
     contexts with the next byte (and its log10 so far) of each text."""
@@ -286,21 +333,19 @@ def _scored(tree: SuffixTree, words: np.ndarray, logs: np.ndarray):
             for a, b, data, offsets in text_chunks(batch.column(batch.num_columns - 1)):
                 text = parse(data, offsets)
                 rows = b - a
-                wide = text.stream.astype(np.int64)
-                code = np.zeros(len(text.scored), np.int64)
-                for j in range(DEPTH, 0, -1):
-                    code = (code << 8) | wide[text.scored - j]
-                follows = wide[text.scored]
-                state = states(code)
-                value = tree.log10[state, tree.column[follows]].astype(np.float64)
-                open_ = np.flatnonzero(state < 0)
-                gram = (code[open_] << 8) | follows[open_]
-                order, first, gram_times, gram_at = _by_text(gram, text.place_owner[open_], rows)
-                grams = gram[order[first]]
+                run = runs(text).view(np.int64)
+                follows = tree.column[run & 255]
+                state = states(run >> 8)
+                settled = state >= 0
+                score = reduce_rows(np.add, tree.log10[state[settled], follows[settled]]
+                                    .astype(np.float64), text.place_owner[settled], rows, 0.0)
+                grams, gram_times, gram_owner = _by_text_and_gram(
+                    run[~settled], text.place_owner[~settled])
+                gram_at = np.searchsorted(gram_owner, np.arange(rows + 1))
                 so_far = tree.log10[_longest(tree.contexts[:DEPTH], grams >> 8),
                                     tree.column[grams & 255]]
-                value[open_[order]] = np.repeat(so_far, gram_times)
-                score = reduce_rows(np.add, value, text.place_owner, rows, 0.0)
+                score += reduce_rows(np.add, so_far.astype(np.float64) * gram_times, gram_owner,
+                                     rows, 0.0)
                 place = np.minimum(np.searchsorted(words, text.hashes), max(0, len(words) - 1))
                 known = words[place] == text.hashes if len(words) else np.zeros(
                     len(text.hashes), bool)

@@ -7,6 +7,7 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from liftlens.llm import decontaminate, licenses, pst, topk
@@ -324,3 +325,26 @@ def test_language_model_keeps_contexts_of_plain_parents_and_all_bytes(spark, tmp
 
 def test_language_model_empty(spark, empty_dir):
     assert pst.op7_pst(spark, empty_dir).collect() == []
+
+
+def test_a_task_sends_a_counted_run_once(monkeypatch):
+    """A row for every run of every chunk went into the shuffle before."""
+    monkeypatch.setattr(pst, "CHUNK_BYTES", 16)
+    texts = pa.array(["some words here", "some more words", None, "", "a  b\tc", "more words here"] * 40)
+    out = list(pst._counted(iter([pa.RecordBatch.from_arrays([texts], names=["t"])] * 2)))
+    keys = [key for batch in out for key in zip(*[batch.column(i).to_pylist() for i in (0, 1)])]
+    counts = {k: sum(n for b in out for kind, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist())
+                     if kind == k) for k in (pst._WORD, pst._RUN, pst._TEXT)}
+    assert len(keys) == len(set(keys))
+    assert counts[pst._TEXT] == 480 and counts[pst._WORD] == 80 * (3 + 3 + 0 + 0 + 3 + 3)
+    assert counts[pst._RUN] == 80 * (16 + 16 + 1 + 1 + 6 + 16)
+
+
+def test_grams_of_more_texts_than_a_number_holds():
+    owner = np.sort(np.random.default_rng(2).integers(0, 100_000, 3_000))
+    grams = np.random.default_rng(3).integers(0, 3, 3_000) << 40
+    got = pst._by_text_and_gram(grams, owner)
+    pairs = sorted(zip(owner.tolist(), grams.tolist()))
+    expected = [(k[1], len(list(g)), k[0]) for k, g in itertools.groupby(pairs)]
+    assert list(zip(*[x.tolist() for x in got])) == expected
+    assert [len(x) for x in pst._by_text_and_gram(grams[:0], owner[:0])] == [0, 0, 0]
