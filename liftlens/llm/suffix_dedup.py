@@ -385,7 +385,9 @@ def _passages_of_two(texts: DataFrame, words: int, known: DataFrame | None = Non
     else:
         marked = texts.join(known.select("key", F.lit(True).alias("known")), "key", "left").select(
             "key", "text", F.coalesce("known", F.lit(False)).alias("known"))
-    anchors = marked.mapInArrow(_passage_anchors(words), "bucket bigint, key binary, known boolean")
+    anchors = written(marked.mapInArrow(_passage_anchors(words),
+                                        "bucket bigint, key binary, known boolean"),
+                      "passage-anchors")
     short = F.xxhash64("key")
     shared = written(
         anchors.groupBy("bucket").agg(F.min(short).alias("a"), F.max(short).alias("b"),
@@ -426,8 +428,9 @@ def _repeated_in(texts: DataFrame, length: int, with_text: bool, passage: int =
     if length % 16:
         raise ValueError("length must be a multiple of 16")
     every, texts = texts, texts.where(F.octet_length("text") >= length)
-    anchors = texts.select("key", "text").mapInArrow(
-        _anchor_rows(length), "bucket bigint, key binary, n bigint")
+    # a table: counted by bucket and then put together by text
+    anchors = written(texts.select("key", "text").mapInArrow(
+        _anchor_rows(length), "bucket bigint, key binary, n bigint"), "anchors")
     # What a bucket's rows are joined with is a table and not an aggregate on the
     # join's own key, so Spark may split the rows of a common bucket.
     shared = written(anchors.groupBy("bucket").agg(F.sum("n").alias("n"))

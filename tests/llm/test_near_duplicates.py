@@ -169,3 +169,31 @@ def test_passages_of_given_documents(spark):
     assert {r.doc_id for r in out if r.repeats} == sharing | {
         r.doc_id for r in out if r.n_removed}
     assert {r.doc_id for r in out if r.repeats and not r.n_removed}
+
+
+def test_anchors_of_a_text_are_found_once(spark, monkeypatch):
+    """Both kinds of anchors were worked out twice a text before: to count and to put together."""
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("abcdef") * rnd.randint(1, 9) for _ in range(150)) for _ in range(20)]
+    texts = [t[:300] + texts[0][:450] if i % 3 else t for i, t in enumerate(texts)]
+    seen = {name: spark.sparkContext.accumulator(0) for name in ("_anchor_rows", "_passage_anchors")}
+
+    def counting(find, total):
+        def made(size):
+            inner = find(size)
+
+            def run(batches):
+                def noted():
+                    for batch in batches:
+                        total.add(batch.num_rows)
+                        yield batch
+                yield from inner(noted())
+            return run
+        return made
+
+    for name, total in seen.items():
+        monkeypatch.setattr(suffix_dedup, name, counting(getattr(suffix_dedup, name), total))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = suffix_dedup.repeated_spans(docs, passage=suffix_dedup.PASSAGE).count()
+    assert found > 10
+    assert [total.value for total in seen.values()] == [len(set(texts))] * 2
