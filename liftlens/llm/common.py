@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 import uuid
+import weakref
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,11 @@ def shared_folder(spark: SparkSession) -> str:
 #: Folders and catalog tables that this session's operators wrote on the way.
 _FOLDERS: list[str] = []
 _TABLES: list[str] = []
+_FOLDER_OF: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+#: Whether Spark removes an execution's shuffle files when it ends. Else they stay until the
+#: driver happens to collect the garbage of its plan.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -43,19 +50,45 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return _FOLDERS[-1]
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files behind: nobody reads them again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back: cuts the lineage."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDER_OF[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` returned, once all that reads them is written itself."""
+    for df in tables:
+        path = _FOLDER_OF.pop(df)
+        remove(df.sparkSession, path)
+        _FOLDERS.remove(path)
 
 
 def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     """``df`` as a table in the shared folder, bucketed and sorted by a column."""
     spark, table_name = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
     _TABLES.append(table_name)
-    (df.write.bucketBy(buckets, column).sortBy(column).option("compression", "zstd")
-     .option("path", new_folder(spark, name)).saveAsTable(table_name))
+    with shuffles_removed(spark):
+        (df.write.bucketBy(buckets, column).sortBy(column).option("compression", "zstd")
+         .option("path", new_folder(spark, name)).saveAsTable(table_name))
     return spark.table(table_name)
 
 

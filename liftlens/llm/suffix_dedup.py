@@ -25,7 +25,8 @@ What settles a string is a pair of 64-bit hashes (core and span, or core and
 last bucket). No step gathers a group: buckets are counted, and each text gets
 back only hashes of its own. Equal texts are put together at first (they are
 repeated throughout if they have ``length`` bytes at all), so a large group of
-copies is one row.
+copies is one row. A table goes as soon as what reads it is written, so that disk
+holds the distinct texts, one step's tables and one step's shuffle.
 
 Passages. ``shared_passages`` names the texts that share more than 50 words in
 a row with another text, which may be fewer than ``length`` bytes and then stay
@@ -51,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import (bucketed, mix, powers, prefix_hash, span_hash, table,
+from liftlens.llm.common import (bucketed, discard, mix, powers, prefix_hash, span_hash, table,
                                  text_chunks, word_spans, written)
 
 LENGTH = 400
@@ -398,6 +399,7 @@ def _passages_of_two(texts: DataFrame, words: int, known: DataFrame | None = Non
     windows = written(texts.join(by_text, "key").select("key", "text", "buckets")
                       .mapInArrow(_passage_windows(words), "passage bigint, key binary"),
                       "passage-windows")
+    discard(anchors, shared)
     twice = written(windows.groupBy("passage").agg(F.min("key").alias("a"), F.max("key").alias("b"))
                     .where("a <> b").select("passage"), "passages-of-two")
     return windows, twice
@@ -441,6 +443,7 @@ def _repeated_in(texts: DataFrame, length: int, with_text: bool, passage: int =
         texts.join(by_text, "key").select("key", "text", "buckets")
         .mapInArrow(_block_rows(length), "core bigint, span bigint, key binary, n bigint"),
         "repeated-blocks")
+    discard(anchors, shared)
 
     spans = written(blocks.groupBy("core", "span")
                     .agg(F.sum("n").alias("n"), F.min("key").alias("key")), "block-spans")
@@ -452,6 +455,7 @@ def _repeated_in(texts: DataFrame, length: int, with_text: bool, passage: int =
         texts.join(unsettled, "key").select("key", "text", "spans")
         .mapInArrow(_start_rows(length), "core bigint, last bigint, key binary, n bigint"),
         "repeated-starts")
+    discard(mixed)
 
     settled = spans.where(F.col("n") > 1).select("core", "span")
     repeated = written(starts.groupBy("core", "last").agg(F.sum("n").alias("n"))
@@ -460,15 +464,19 @@ def _repeated_in(texts: DataFrame, length: int, with_text: bool, passage: int =
     found = (blocks.join(settled, ["core", "span"])
              .select("key", "span", nothing.alias("last"), nothing.alias("passage"))
              .union(starts.join(repeated, ["core", "last"]).select("key", nothing, "last", nothing)))
+    spent = [blocks, spans, starts, repeated]
     enough = F.octet_length("text") >= length
     if passage:
         windows, twice = _passages_of_two(every, passage)
+        spent += [windows, twice]
         found = found.union(windows.join(twice, "passage")
                             .select("key", nothing, nothing, "passage"))
         # a copied text has all its words in common with its copies
         enough |= F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")) >= passage
-    marks = found.groupBy("key").agg(*[F.collect_set(c).alias(f"{c}s")
-                                       for c in ("span", "last", "passage")])
+    # a table: what names the strings goes before the texts are joined and cut
+    marks = written(found.groupBy("key").agg(*[F.collect_set(c).alias(f"{c}s")
+                                               for c in ("span", "last", "passage")]), "text-marks")
+    discard(*spent)
     schema = ("key binary, n_removed bigint, kept_sha256 string, "
               "spans array<struct<start:bigint,end:bigint>>" + ", kept string" * with_text)
     cut = (every.where("copies = 1").join(marks, "key")

@@ -41,9 +41,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from liftlens.llm.common import (CHUNK_BYTES, id_remainder, letters, lower_latin, prefix_hash,
-                                 reduce_rows, span_hash, table, text_chunks, word_safe_pieces,
-                                 word_spans, written)
+from liftlens.llm.common import (CHUNK_BYTES, discard, id_remainder, letters, lower_latin,
+                                 prefix_hash, reduce_rows, span_hash, table, text_chunks,
+                                 word_safe_pieces, word_spans, written)
 
 BUCKET_BITS = 16
 DIM = 16
@@ -463,6 +463,7 @@ def _learn_vocabulary(model: ToxicityModel, rows: DataFrame) -> np.ndarray:
              .where(F.col("n") >= min(LEAST_TEXTS, texts)).select("bucket").toArrow())
     rare = np.ones(_PAD + 1, bool)
     rare[found["bucket"].to_numpy()] = False
+    discard(counts)
     return rare
 
 
@@ -596,6 +597,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, updates: int = UPDATE
                .mapInArrow(_logit_counts(model, rare), "grp bigint, step bigint, label bigint, "
                                                        "n bigint")
                .groupBy("grp", "step", "label").agg(F.sum("n").alias("n")).toArrow())
+    discard(rows)
     model.thresholds = (_thresholds(model, counted) if counted.num_rows
                         else np.zeros(len(model.languages) + 1))
     return model

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import random
 import re
+import time
+from pathlib import Path
 
 import pandas as pd
 
 import corpus_pipeline as pipeline
+from liftlens.llm import common
 from liftlens.llm.common import written
 from tests.llm import brute
 from tests.llm.conftest import SCHEMA, odd_rows
@@ -114,3 +117,43 @@ def test_shared_passages_are_cut(spark):
             assert got[i].text == text and got[i].n_chars == len(text)
     assert all(got[i].text != texts[i] for i in (0, 1, 3, 4, 5, 6, 8))
     assert all(got[i].text == texts[i] for i in (2, 7, 9, 10, 11))
+
+
+def _left(spark, stage, docs, folder):
+    """Rows of a stage, and the names of the tables that lie there while it is lazy."""
+    shared = Path(common.shared_folder(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    out = stage(spark, docs, folder)
+    left = {p.name.rpartition("-")[0] for p in set(shared.iterdir()) - before}
+    return out.collect(), left
+
+
+def test_spent_tables_go(spark):
+    """The tables of anchors, blocks and windows, and the training texts, lay there before until
+    the driver ended."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stages = dict(pipeline.STAGES)
+    rows, left = _left(spark, stages["suffix-array dedup"], docs, folder)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert left == {"distinct_texts", "text-marks"}
+    assert len(rows) == len(texts) and any(r.text != texts[r.doc_id] for r in rows)
+    rows, left = _left(spark, stages["toxicity"], docs, folder)
+    assert not left and rows
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """They stayed before until the driver collected its garbage."""
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+                .localDirsString())
+    files = lambda: {p.name for d in dirs for p in Path(d).rglob("shuffle_*")}
+    before, setting = files(), spark.conf.get(common.SHUFFLE_CLEANUP)
+    rows = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    made = [written(rows, "t"), common.bucketed(rows, "t", "k", 2)]
+    for _ in range(50):  # they go in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == setting
+    assert [df.count() for df in made] == [7, 7]
